@@ -6,7 +6,7 @@ violations by arithmetic on the event number.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley import schemas as S
@@ -14,6 +14,9 @@ from trolley.operators.prefix import hot_keys, per_key, running, running_last
 from trolley.sources.tables import table
 
 
+COLUMNS = ["event_id", "user_id", "event_type", "props", "ts"]
+
+
 def hot_users(spark: SparkSession, folder: str) -> list:
     return hot_keys(table(spark, folder, "events").select("user_id"), "user_id")
 
@@ -27,57 +30,61 @@ def with_previous_ts(events: DataFrame, hot: list) -> DataFrame:
     return per_key(events, "user_id", "event_id", hot, step)
 
 
-def cart_arrivals(spark: SparkSession, folder: str, hot: list | None = None) -> DataFrame:
-    hot = hot_users(spark, folder) if hot is None else hot
-    columns = ["event_id", "user_id", "event_type", "props", "ts"]
-    events = with_previous_ts(table(spark, folder, "events").select(*columns), hot)
-    number, kind, ts = F.col("event_id"), F.col("event_type"), F.col("ts")
-
-    event_type = (
-        F.when(kind == "view", S.ADD)
-        .when(kind == "click", F.when(number % 2 == 0, S.ADD).otherwise(S.UPDATE))
-        .when(kind == "error", S.REMOVE)
-        .when(kind == "purchase", S.CHECKOUT)
-        .otherwise("signup")
-    )
-    product = F.when(
-        kind != "purchase", F.get_json_object("props", "$.k").try_cast("bigint") % 20
-    )
-    earlier = lambda seconds: F.coalesce(
-        F.col("previous_ts") - F.make_dt_interval(secs=F.lit(seconds)), ts
-    )
-    event_ts = (
-        F.when(number % 10 == 3, earlier(180)).when(number % 10 == 7, earlier(600)).otherwise(ts)
-    )
+def _as_cart_events(events: DataFrame, shifted: Column) -> DataFrame:
+    """Cart events with re-sends; ``shifted`` is the event time a row claims."""
+    kind, number = "event_type", "event_id"
     rows = events.select(
-        number.alias("number"),
-        number.cast("string").alias("event_id"),
+        F.expr(number).alias("number"),
         "user_id",
-        event_type.alias("event_type"),
-        product.alias("product_id"),
-        F.when(kind == "purchase", 0).otherwise((number % 5).cast("int")).alias("quantity"),
-        event_ts.alias("timestamp"),
-        ts.alias("arrived_at"),
-    )
-    # A re-send is the same event arriving one second later: one pass, no second scan.
-    copies = F.when(F.col("number") % 20 == 4, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
+        F.expr(
+            f"CASE {kind} WHEN 'view' THEN '{S.ADD}' "
+            f"WHEN 'click' THEN if({number} % 2 = 0, '{S.ADD}', '{S.UPDATE}') "
+            f"WHEN 'error' THEN '{S.REMOVE}' WHEN 'purchase' THEN '{S.CHECKOUT}' "
+            "ELSE 'signup' END"
+        ).alias("event_type"),
+        F.expr(
+            f"CASE WHEN {kind} <> 'purchase' "
+            "THEN try_cast(get_json_object(props, '$.k') AS BIGINT) % 20 END"
+        ).alias("product_id"),
+        F.expr(f"if({kind} = 'purchase', 0, CAST({number} % 5 AS INT))").alias("quantity"),
+        shifted.alias("timestamp"),
+        F.col("ts").alias("arrived_at"),
+        # A re-send is the same event arriving one second later: no second scan.
+        F.expr(f"explode(if({number} % 20 = 4, array(0, 1), array(0)))").alias("copy"),
     )
-    arrived = rows.withColumn("copy", F.explode(copies))
-    return arrived.select(
-        (F.col("number") * 2 + F.col("copy")).alias("seq"),
-        (F.col("arrived_at") + F.make_dt_interval(secs=F.col("copy"))).alias("arrived_at"),
-        "event_id",
+    return rows.withColumn(
+        "arrived_at", F.expr("arrived_at + make_dt_interval(0, 0, 0, copy)")
+    ).selectExpr(
+        "number * 2 + copy AS seq",
+        "arrived_at",
+        "CAST(number AS STRING) AS event_id",
         "user_id",
         "event_type",
         "product_id",
-        F.concat(F.lit("p"), F.col("product_id")).alias("product_name"),
+        "concat('p', product_id) AS product_name",
         "quantity",
-        F.when(F.col("event_type") == S.CHECKOUT, F.lit(0.0))
-        .otherwise(F.lit(9.99) + F.lit(10) * F.coalesce("product_id", F.lit(0)))
-        .alias("price"),
+        f"CASE WHEN event_type = '{S.CHECKOUT}' THEN 0D "
+        "ELSE CAST(9.99 + 10 * coalesce(product_id, 0) AS DOUBLE) END AS price",
         "timestamp",
-        F.concat(
-            F.lit("s"), F.col("user_id"), F.lit("-"), F.to_date("arrived_at").cast("string")
-        ).alias("session_id"),
+        "concat('s', user_id, '-', CAST(arrived_at AS DATE)) AS session_id",
+    )
+
+
+def cart_arrivals(spark: SparkSession, folder: str, hot: list | None = None) -> DataFrame:
+    """Arrivals in which some events claim a time shortly before their user's previous event."""
+    hot = hot_users(spark, folder) if hot is None else hot
+    events = with_previous_ts(table(spark, folder, "events").select(*COLUMNS), hot)
+    shifted = F.expr(
+        "CASE event_id % 10 WHEN 3 THEN coalesce(previous_ts - INTERVAL 180 SECONDS, ts) "
+        "WHEN 7 THEN coalesce(previous_ts - INTERVAL 600 SECONDS, ts) ELSE ts END"
+    )
+    return _as_cart_events(events, shifted)
+
+
+def shifted_arrivals(events: DataFrame) -> DataFrame:
+    """Arrivals whose late rows lie a fixed time back, so no row needs another: works on streams."""
+    shifted = F.expr(
+        "CASE event_id % 10 WHEN 3 THEN ts - INTERVAL 12 HOURS "
+        "WHEN 7 THEN ts - INTERVAL 72 HOURS ELSE ts END"
     )
+    return _as_cart_events(events, shifted)

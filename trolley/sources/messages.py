@@ -66,10 +66,8 @@ def decode(messages: DataFrame) -> DataFrame:
     parsed = F.from_json(
         "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    fields = messages.withColumn("_event", parsed).select("seq", "arrived_at", "value", "_event.*")
-    return fields.withColumn(CORRUPT, F.when(F.col("user_id").isNull() & F.col("event_id").isNull()
-                                             & F.col(CORRUPT).isNull(), F.col("value"))
-                             .otherwise(F.col(CORRUPT)))
+    fields = messages.withColumn("_event", parsed)
+    return fields.select("seq", "arrived_at", "value", "_event.*")
 
 
 def with_defaults(events: DataFrame) -> DataFrame:
