@@ -21,9 +21,8 @@ def event_json(timestamp: str = "timestamp") -> Column:
 def dead_letter(failed: DataFrame, error: Column, at: str = "arrived_at") -> DataFrame:
     """The text of an unreadable message stands for the event it should have been."""
     original = event_json()
-    if "value" in failed.columns and "decode_error" in failed.columns:
-        unreadable = F.col("decode_error").isNotNull()
-        original = F.when(unreadable, F.col("value")).otherwise(original)
+    if "value" in failed.columns:
+        original = F.coalesce("value", original)
     return failed.select(
         original.alias("original_event"), error.alias("error"), F.col(at).alias("timestamp")
     )

@@ -87,7 +87,7 @@ def coerced_timestamp(text: Column, arrived_at: Column) -> Column:
 
 
 def typed_events(messages: DataFrame) -> DataFrame:
-    """Messages to arrivals plus ``decode_error`` (null where the message is readable)."""
+    """Messages to arrivals plus, of unreadable ones only, ``decode_error`` and the ``value``."""
     events = with_defaults(decode(messages))
     ts = coerced_timestamp(F.col("timestamp"), F.col("arrived_at"))
     problem = (
@@ -99,5 +99,5 @@ def typed_events(messages: DataFrame) -> DataFrame:
         "arrived_at",
         *[ts.alias(f) if f == "timestamp" else F.col(f) for f in S.EVENT_FIELDS],
         problem.alias("decode_error"),
-        "value",
+        F.when(problem.isNotNull(), F.col("value")).alias("value"),
     )

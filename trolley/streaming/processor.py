@@ -55,6 +55,28 @@ def apply_to_cart(
     return have, total, False
 
 
+def _move_cart(row: Row, cart: list, lines: dict[int, int]) -> list:
+    """Apply an event to ``lines`` and ``cart`` (total, changes, last change, cart number)."""
+    before, epoch, line = cart[0], cart[3], None
+    if row.event_type == S.CHECKOUT:
+        lines.clear()
+        cart[0], cart[3], changed = 0.0, epoch + 1, True
+    else:
+        product = row.product_id or 0
+        line, cart[0], changed = apply_to_cart(
+            row.event_type, lines.get(product, 0), row.quantity, row.price, before
+        )
+        if line:
+            lines[product] = line
+        else:
+            lines.pop(product, None)
+    if changed:
+        cart[1] += 1
+    if changed or cart[2] is None:
+        cart[2] = row.arrived_us
+    return [epoch, line, before, cart[0], changed]
+
+
 class CartProcessor(StatefulProcessor):
     """``columns`` are the input's: they come out again, followed by the decision."""
 
@@ -78,37 +100,58 @@ class CartProcessor(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        """Events of one user in one micro-batch, which the source's rate limit bounds. The
-        shuffle does not keep arrival order, so it is restored here."""
-        mark = self.watermark.get() if self.watermark.exists() else (0, None, 0, 0)
-        cart = self.totals.get() if self.totals.exists() else (0.0, 0, None, 0)
-        mark, cart, touched = list(mark), list(cart), False
+        """Events of one user in one micro-batch, which the source's rate limit bounds.
+
+        The shuffle does not keep arrival order, so it is restored here. State is read before and
+        written after the events of the batch; between the two they work on local copies.
+        """
+        mark = list(self.watermark.get() if self.watermark.exists() else (0, None, 0, 0))
+        cart, lines = None, {}
+        marks: dict[str, int | None] = {}
         for row in sorted(rows, key=lambda r: r.seq):
-            if self._is_duplicate(row):
+            if self._is_duplicate(row, marks):
                 yield self.result(*row, *self._duplicate(row, mark[0]))
                 continue
             before = mark[0]
             action, lateness, ts = self._judge(row, mark)
             late = lateness > 0
             judged = (action, late, lateness / 1e6, before, mark[0])
+            if cart is None:
+                cart = list(self.totals.get() if self.totals.exists() else (0.0, 0, None, 0))
+                lines = {name[0]: value[0] for name, value in self.items.iterator()}
+                stored = dict(lines)
             if action == "rejected":
                 yield self.result(*row, ts, LATE_REJECTED, *judged, cart[3], *[None] * 4)
                 continue
+            marks[row.dedup_key] = row.arrived_us
             self.marks.updateValue((row.dedup_key,), (row.arrived_us,))
-            touched = True
             outcome = SAVED_LATE if late else SAVED
-            yield self.result(*row, ts, outcome, *judged, *self._move_cart(row, cart))
+            yield self.result(*row, ts, outcome, *judged, *_move_cart(row, cart, lines))
         self.watermark.update(tuple(mark))
-        if touched:
-            self.totals.update(tuple(cart))
+        if cart is not None:
+            self._store_cart(cart, lines, stored)
 
-    def _is_duplicate(self, row: Row) -> bool:
-        name = (row.dedup_key,)
-        if not self.marks.containsKey(name):
+    def _store_cart(self, cart: list, lines: dict[int, int], stored: dict[int, int]) -> None:
+        if cart[2] is not None:
+            self.totals.update(tuple(cart))
+        for product in stored.keys() - lines.keys():
+            self.items.removeKey((product,))
+        for product, quantity in lines.items():
+            if stored.get(product) != quantity:
+                self.items.updateValue((product,), (quantity,))
+
+    def _is_duplicate(self, row: Row, marks: dict[str, int | None]) -> bool:
+        """Whether a live mark exists; an expired one is removed when it is met."""
+        key = row.dedup_key
+        if key not in marks:
+            known = self.marks.getValue((key,))
+            marks[key] = known[0] if known else None
+        if marks[key] is None:
             return False
-        if row.arrived_us - self.marks.getValue(name)[0] < self.ttl_us:
+        if row.arrived_us - marks[key] < self.ttl_us:
             return True
-        self.marks.removeKey(name)
+        self.marks.removeKey((key,))
+        marks[key] = None
         return False
 
     def _duplicate(self, row: Row, watermark: int) -> list:
@@ -128,28 +171,5 @@ class CartProcessor(StatefulProcessor):
         mark[2] += 1
         return action, lateness, row.event_us
 
-    def _move_cart(self, row: Row, cart: list) -> list:
-        """Totals around the event; ``cart`` is (total, changes, last change, number)."""
-        before, epoch = cart[0], cart[3]
-        line = None
-        if row.event_type == S.CHECKOUT:
-            self.items.clear()
-            cart[0], cart[3], changed = 0.0, epoch + 1, True
-        else:
-            name = (row.product_id or 0,)
-            have = self.items.getValue(name)[0] if self.items.containsKey(name) else 0
-            line, cart[0], changed = apply_to_cart(
-                row.event_type, have, row.quantity, row.price, before
-            )
-            if changed and line:
-                self.items.updateValue(name, (line,))
-            elif changed:
-                self.items.removeKey(name)
-        if changed:
-            cart[1] += 1
-        if changed or cart[2] is None:
-            cart[2] = row.arrived_us
-        return [epoch, line, before, cart[0], changed]
-
     def close(self) -> None:
         pass
