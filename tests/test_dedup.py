@@ -11,7 +11,6 @@ from trolley.operators.dedup import (
     flag_against_marks,
     with_dedup_key,
 )
-from trolley.operators.prefix import BLOCK_ROWS, per_key  # noqa: F401
 from trolley.operators.sequential import settle
 
 
@@ -55,8 +54,8 @@ def test_content_ids_ignore_the_sent_id(frame):
     assert flags(first_copies(df, [], generate_ids=True)) == {0: False, 1: True}
 
 
-@pytest.mark.parametrize("heavy_rows", [1, 2, 1_000_000])
-def test_against_marks(frame, heavy_rows):
+@pytest.mark.parametrize(("hot", "heavy_rows"), [([], 1), ([1001], 1), ([1001], 2), ([1001], 99)])
+def test_against_marks(frame, hot, heavy_rows):
     hour = timedelta(hours=1)
     stored = frame(event(0, event_id="a"), event(1, event_id="b"), event(2, event_id="a"))
     marks = committed_marks(with_dedup_key(stored).withColumnRenamed("arrived_at", "processed_at"))
@@ -68,7 +67,7 @@ def test_against_marks(frame, heavy_rows):
         event(14, event_id="new"),
         event(15, event_id="a", user_id=5),
     )
-    out = flag_against_marks(with_dedup_key(new), marks, heavy_rows=heavy_rows)
+    out = flag_against_marks(with_dedup_key(new), marks, hot, heavy_rows=heavy_rows)
     assert flags(out) == {10: True, 11: False, 12: True, 13: False, 14: False, 15: False}
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from trolley.operators import prefix
 from trolley.operators.prefix import (
+    Peak,
     hot_keys,
     per_key,
     running,
@@ -36,6 +37,8 @@ def _step(df):
         low=running_min("v", include_row=False),
         last=running_last("v"),
         previous=running_last("v", include_row=False),
+        dip=Peak("v"),
+        odd_dip=Peak("v", "seq % 2 = 1", include_row=False),
     )
 
 
@@ -52,6 +55,19 @@ def tuple_key(row):
     return (row["k"], row["seq"])
 
 
+def test_peak_is_the_largest_negated_sum(rows):
+    sums, dips = {}, {}
+    for row in _step(rows).orderBy("seq").collect():
+        assert row.odd_dip == dips.get((row.k, "odd"))
+        if row.v is not None:
+            sums[row.k] = sums.get(row.k, 0) + row.v
+        if row.k in sums:
+            for name, counts in ((row.k, True), ((row.k, "odd"), row.seq % 2)):
+                if counts:
+                    dips[name] = max(dips.get(name, -sums[row.k]), -sums[row.k])
+        assert row.dip == dips.get(row.k)
+
+
 def test_hot_keys_are_the_largest(rows):
     sizes = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert hot_keys(rows, "k", min_rows=sizes[1]) == [1]
@@ -72,6 +88,6 @@ def test_no_task_sees_more_than_a_block(spark):
 
 
 def test_ordinary_keys_need_one_exchange(rows):
-    plan = _step(_step(rows).drop("total", "before", "top", "low", "last", "previous"))
+    plan = _step(_step(rows).select(*rows.columns))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1

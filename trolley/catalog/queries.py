@@ -220,14 +220,14 @@ def content_id_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def duplicates_against_store(spark: SparkSession, folder: str) -> DataFrame:
     """The store knows every third event; a second look at all of them a day later."""
-    valid, _ = _valid(spark, folder)
+    valid, hot = _valid(spark, folder)
     keyed = dedup.with_dedup_key(valid)
     stored = keyed.filter("CAST(event_id AS BIGINT) % 3 = 0")
     marks = dedup.committed_marks(stored.withColumnRenamed("arrived_at", "processed_at"))
     again = keyed.withColumn(
         "arrived_at", F.expr("arrived_at + make_dt_interval(0, 23, 59, 59 + seq % 2)")
     )
-    return dedup.flag_against_marks(again, marks).select("seq", "is_duplicate")
+    return dedup.flag_against_marks(again, marks, hot).select("seq", "is_duplicate")
 
 
 @register

@@ -20,18 +20,20 @@ from pyspark.sql import functions as F
 
 from trolley.functions.columns import with_exprs
 from trolley.operators.prefix import (
+    Group,
+    Peak,
     per_key,
     running,
+    running_groups,
     running_last,
-    running_max,
-    running_min,
     running_sum,
 )
 from trolley.schemas import ADD, CHECKOUT, REMOVE, UPDATE
 
 _WORK = [
-    "_kind", "_product", "_units", "_stretch", "_sum", "_low", "_lift", "_start", "_effect",
-    "_decided", "_present", "_have", "_quantity", "_delta", "_change", "_floor", "_total",
+    "_kind", "_product", "_units", "_stretch", "_sum", "_lift", "_start", "_effect", "_decided",
+    "_present", "_have", "_quantity", "_delta", "_change", "_change_before", "_floor",
+    "_floor_before",
 ]
 
 
@@ -41,18 +43,16 @@ def _quantities(rows: DataFrame) -> DataFrame:
     stretch, order = [*product, "_stretch"], ["_stretch", "seq"]
     is_update = f"_kind = '{UPDATE}'"
 
-    rows = running(rows, product, ["seq"], _stretch=running_sum(f"CAST({is_update} AS BIGINT)"))
+    signed = f"CASE _kind WHEN '{ADD}' THEN _units WHEN '{REMOVE}' THEN -_units ELSE 0L END"
     rows = running(
         rows,
         stretch,
         ["seq"],
-        _sum=running_sum(
-            f"CASE _kind WHEN '{ADD}' THEN _units WHEN '{REMOVE}' THEN -_units ELSE 0L END"
-        ),
+        _sum=running_sum(signed),
+        _lift=Peak(signed),
         _start=running_last(f"CASE WHEN {is_update} THEN greatest(_units, 0L) END"),
     )
-    rows = running(rows, stretch, ["seq"], _low=running_min("_sum"))
-    rows = with_exprs(rows, _lift="greatest(-_low, 0L)", _start="coalesce(_start, 0L)")
+    rows = with_exprs(rows, _lift="greatest(_lift, 0L)", _start="coalesce(_start, 0L)")
 
     # Is the product in the cart after this row: whatever came before the stretch (true or
     # false), or the same as before it (null)?
@@ -93,16 +93,20 @@ def _totals(rows: DataFrame) -> DataFrame:
         ),
     )
     lifts = f"_kind = '{UPDATE}' AND _have > 0"
-    rows = running(rows, by, order, _change=running_sum("_delta"))
-    rows = running(rows, by, order, _floor=running_max(f"CASE WHEN {lifts} THEN -_change END"))
-    rows = with_exprs(rows, _total="_change + greatest(coalesce(_floor, 0D), 0D)")
     rows = running(
-        rows, by, order, cart_total_before=running_last("_total", include_row=False)
+        rows,
+        by,
+        order,
+        _change=running_sum("_delta"),
+        _change_before=running_sum("_delta", include_row=False),
+        _floor=Peak("_delta", lifts),
+        _floor_before=Peak("_delta", lifts, include_row=False),
     )
+    total = "coalesce({0}, 0D) + greatest(coalesce({1}, 0D), 0D)"
     return with_exprs(
         rows,
-        cart_total_before="coalesce(cart_total_before, 0D)",
-        cart_total_after=f"if(_kind = '{CHECKOUT}', 0D, _total)",
+        cart_total_before=total.format("_change_before", "_floor_before"),
+        cart_total_after=f"if(_kind = '{CHECKOUT}', 0D, {total.format('_change', '_floor')})",
     )
 
 
@@ -114,8 +118,11 @@ def _replay(rows: DataFrame, applies: str) -> DataFrame:
         _units="CAST(quantity AS BIGINT)",
     )
     checkouts = f"CAST(_kind = '{CHECKOUT}' AS BIGINT)"
-    rows = running(
-        rows, ["user_id"], ["seq"], cart_epoch=running_sum(checkouts, include_row=False)
+    updates = f"CAST(_kind = '{UPDATE}' AS BIGINT)"
+    rows = running_groups(
+        rows,
+        Group(["user_id"], ["seq"], {"cart_epoch": running_sum(checkouts, include_row=False)}),
+        Group(["user_id", "_product"], ["seq"], {"_stretch": running_sum(updates)}),
     )
     rows = with_exprs(rows, cart_epoch="coalesce(cart_epoch, 0L)")
     rows = _totals(_quantities(rows))

@@ -64,18 +64,24 @@ def committed_marks(events: DataFrame) -> DataFrame:
 def flag_against_marks(
     events: DataFrame,
     marks: DataFrame,
+    hot: list,
     ttl_hours: float = DEDUP_TTL_HOURS,
     heavy_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Flag events whose (user, id) holds a live mark; nothing is marked, so equal new ones agree.
 
-    Ids with very many new copies are matched without moving the copies: there are at most 1,000
-    of them and ``marks`` has one row per id, so their marks are always small enough to broadcast.
+    Only a heavy user can have an id with very many new copies. Such copies are matched without
+    moving them: there are at most 1,000 such ids and ``marks`` has one row per id, so their marks
+    are always small enough to broadcast.
     """
     keys = ["user_id", DEDUP_KEY]
-    sizes = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.filter(F.col("_rows") >= heavy_rows).orderBy(F.desc("_rows"), *keys)
-    heavy = largest.limit(MOST_HOT_KEYS).select(*keys).collect()
+    heavy = []
+    if hot:
+        sizes = events.filter(F.col("user_id").isin(hot)).groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_rows")
+        )
+        largest = sizes.filter(F.col("_rows") >= heavy_rows).orderBy(F.desc("_rows"), *keys)
+        heavy = largest.limit(MOST_HOT_KEYS).select(*keys).collect()
 
     def match(rows: DataFrame, known: DataFrame) -> DataFrame:
         joined = rows.join(known.withColumnRenamed("processed_at", "_marked"), keys, "left")

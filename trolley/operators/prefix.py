@@ -91,6 +91,19 @@ class Running:
         }[self.kind]
 
 
+@dataclass(frozen=True)
+class Peak:
+    """How far the running sum of ``value`` has been below zero: the largest -sum so far, taken
+    at the rows where ``where`` holds."""
+
+    value: str
+    where: str = "true"
+    include_row: bool = True
+
+    def over(self, run: str) -> Running:
+        return Running("max", f"CASE WHEN {self.where} THEN -{run} END", self.include_row)
+
+
 def running_sum(value: str, include_row: bool = True) -> Running:
     return Running("sum", value, include_row)
 
@@ -107,37 +120,88 @@ def running_last(value: str, include_row: bool = True) -> Running:
     return Running("last", value, include_row)
 
 
-def running(df: DataFrame, by: list[str], order: list[str], **columns: Running) -> DataFrame:
-    """Add the running aggregates per ``by`` in ``order``; null where no row has contributed.
+@dataclass(frozen=True)
+class Group:
+    """Running aggregates that share their keys and order; ``by`` columns must not be null."""
+
+    by: list[str]
+    order: list[str]
+    columns: dict[str, Running | Peak]
+
+    def with_sums(self, df: DataFrame, by: list[str]) -> tuple[DataFrame, dict[str, Running]]:
+        """The frame with the running sums peaks are taken of, and all columns as plain ones."""
+        peaks = {n: c for n, c in self.columns.items() if isinstance(c, Peak)}
+        sums = [
+            f"{running_sum(peak.value).local(by, self.order)} AS _run_{name}"
+            for name, peak in peaks.items()
+        ]
+        plain = {
+            name: column.over(f"_run_{name}") if name in peaks else column
+            for name, column in self.columns.items()
+        }
+        return (df.selectExpr("*", *sums) if sums else df), plain
+
+    def add_windows(self, df: DataFrame) -> DataFrame:
+        df, plain = self.with_sums(df, self.by)
+        added = [f"{run.local(self.by, self.order)} AS {name}" for name, run in plain.items()]
+        return df.selectExpr("*", *added).drop(*[c for c in df.columns if c.startswith("_run_")])
+
+    def carries(self, rows: DataFrame) -> DataFrame:
+        """Per block, what the key's earlier blocks add up to."""
+        keys = [*self.by, BLOCK]
+        rows, plain = self.with_sums(rows, keys)
+        totals = [F.expr(r.total(self.order)).alias(f"_total_{n}") for n, r in plain.items()]
+        peaks = {n: c for n, c in self.columns.items() if isinstance(c, Peak)}
+        totals += [F.sum(F.expr(p.value)).alias(f"_moved_{n}") for n, p in peaks.items()]
+        blocks = rows.groupBy(*keys).agg(*totals)
+        if peaks:
+            # A block's peak counts from the sum its key had reached when the block began.
+            shift = Running("sum", "")
+            blocks = blocks.selectExpr(
+                "*",
+                *[f"coalesce({shift.carry(f'_moved_{n}', self.by)}, 0) AS _shift_{n}"
+                  for n in peaks],
+            )
+        total = {n: f"_total_{n} - _shift_{n}" if n in peaks else f"_total_{n}" for n in plain}
+        return blocks.selectExpr(
+            *keys,
+            *[f"{run.carry(total[n], self.by)} AS _carry_{n}" for n, run in plain.items()],
+            *[f"_shift_{n}" for n in peaks],
+        )
 
-    ``by`` columns must not be null.
-    """
-    if BLOCK not in df.columns:
-        return df.selectExpr(
-            "*", *[f"{run.local(by, order)} AS {name}" for name, run in columns.items()]
+    def add_blocks(self, df: DataFrame, carries: DataFrame) -> DataFrame:
+        keys = [*self.by, BLOCK]
+        rows, plain = self.with_sums(df, keys)
+        local = rows.selectExpr(
+            "*", *[f"{run.local(keys, self.order)} AS _local_{n}" for n, run in plain.items()]
         )
+        here = {
+            n: f"(_local_{n} - _shift_{n})" if isinstance(c, Peak) else f"_local_{n}"
+            for n, c in self.columns.items()
+        }
+        return local.join(carries, keys, "left").selectExpr(
+            *df.columns,
+            *[f"{run.combine(here[n], f'_carry_{n}')} AS {n}" for n, run in plain.items()],
+        )
+
 
-    # The rows feed both the totals and the result: keep them once, on storage that survives.
+def running_groups(df: DataFrame, *groups: Group) -> DataFrame:
+    """Add several groups of running aggregates none of which reads another's result."""
+    if BLOCK not in df.columns:
+        for group in groups:
+            df = group.add_windows(df)
+        return df
+    # The rows feed both the carries and the result: keep them once, on storage that survives.
     shared_dir(df.sparkSession)
-    df = df.checkpoint()
-    keys = [*by, BLOCK]
-    totals = df.groupBy(*keys).agg(
-        *[F.expr(run.total(order)).alias(f"_total_{name}") for name, run in columns.items()]
-    )
-    carries = totals.selectExpr(
-        *keys,
-        *[
-            f"{run.carry(f'_total_{name}', by)} AS _carry_{name}"
-            for name, run in columns.items()
-        ],
-    )
-    local = df.selectExpr(
-        "*", *[f"{run.local(keys, order)} AS _local_{name}" for name, run in columns.items()]
-    )
-    return local.join(carries, keys, "left").selectExpr(
-        *df.columns,
-        *[
-            f"{run.combine(f'_local_{name}', f'_carry_{name}')} AS {name}"
-            for name, run in columns.items()
-        ],
-    )
+    kept = df.checkpoint()
+    result = kept
+    for group in groups:
+        result = group.add_blocks(result, group.carries(kept))
+    return result
+
+
+def running(
+    df: DataFrame, by: list[str], order: list[str], **columns: Running | Peak
+) -> DataFrame:
+    """Add running aggregates per ``by`` in ``order``; null where no row has contributed."""
+    return running_groups(df, Group(by, order, columns))
