@@ -41,6 +41,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "8g",
+            # Small partitions on purpose: the tables are small and the work per row is not.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.ui.showConsoleProgress": "false",
         },
     )

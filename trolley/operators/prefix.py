@@ -47,6 +47,8 @@ def per_key(
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     width = F.lit(block_rows or BLOCK_ROWS)
     blocks = df.filter(is_hot).withColumn(BLOCK, F.floor(F.col(order) / width))
+    # The one shuffle of these rows: everything per block happens where it puts them.
+    blocks = blocks.repartition(key, BLOCK)
     return step(df.filter(~is_hot)).unionByName(step(blocks).drop(BLOCK))
 
 
@@ -185,6 +187,31 @@ class Group:
         )
 
 
+# Settings under which a checkpoint remembers how its rows are partitioned, and a join uses it.
+_KEEP_PARTITIONING = {
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
+
+def _kept(blocks: DataFrame) -> DataFrame:
+    """The rows of blocks on checkpoint storage, partitioned by key and block.
+
+    Blocks are of bounded size, so there is nothing for adaptive execution to even out, and with
+    their partitioning kept the windows and joins of all later steps move no rows again.
+    """
+    spark = blocks.sparkSession
+    shared_dir(spark)
+    before = {name: spark.conf.get(name) for name in _KEEP_PARTITIONING}
+    try:
+        for name, value in _KEEP_PARTITIONING.items():
+            spark.conf.set(name, value)
+        return blocks.checkpoint()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def running_groups(df: DataFrame, *groups: Group) -> DataFrame:
     """Add several groups of running aggregates none of which reads another's result."""
     if BLOCK not in df.columns:
@@ -192,9 +219,7 @@ def running_groups(df: DataFrame, *groups: Group) -> DataFrame:
             df = group.add_windows(df)
         return df
     # The rows feed both the carries and the result: keep them once, on storage that survives.
-    shared_dir(df.sparkSession)
-    kept = df.checkpoint()
-    result = kept
+    kept = result = _kept(df)
     for group in groups:
         result = group.add_blocks(result, group.carries(kept))
     return result
