@@ -5,7 +5,7 @@ import pytest
 from conftest import by_seq, event
 
 from trolley import schemas as S
-from trolley.operators.cart import cart_snapshot, open_carts, with_cart
+from trolley.operators.cart import cart_of_user, cart_snapshot, open_carts, with_cart
 
 
 def replay(frame, *steps):
@@ -94,7 +94,10 @@ def test_unknown_type_leaves_the_cart(frame):
 
 def test_open_carts(frame):
     df = with_cart(frame(event(0), event(1, user_id=2), event(2, user_id=2, event_type=S.REMOVE)), [])
-    assert [r.user_id for r in open_carts(cart_snapshot(df)).collect()] == [1001]
+    snapshot = cart_snapshot(df)
+    assert [r.user_id for r in open_carts(snapshot).collect()] == [1001]
+    assert cart_of_user(snapshot, 2).first().event_count == 2
+    assert cart_of_user(snapshot, 3).first() is None
 
 
 @pytest.mark.parametrize(("seed", "block_rows"), [(1, None), (2, None), (3, 1), (4, 5), (5, 17)])

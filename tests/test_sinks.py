@@ -6,13 +6,19 @@ from pyspark.sql import functions as F
 
 from trolley import schemas as S
 from trolley.operators.listings import retained
+from trolley.operators.metrics import flush_errors
 from trolley.plans.batch import accepted_events, outcomes
 from trolley.plans.ingest import Tables, ingest_batch, stored_rollup
 from trolley.operators.rollups import MINUTE
-from trolley.sinks.dead_letters import dead_letters, late_rejections, out_of_range
+from trolley.sinks.dead_letters import (
+    dead_letters,
+    failed_flush,
+    late_rejections,
+    out_of_range,
+)
 from trolley.sinks.flush import FlushError, flush
 from trolley.sinks.publish import enriched_messages, wire_messages
-from trolley.sinks.tables import drop_expired, write_fact
+from trolley.sinks.tables import drop_expired, write_batch, write_fact
 from trolley.sources.tables import fact_events
 
 
@@ -46,6 +52,13 @@ def test_failed_flush_dead_letters_the_whole_batch(accepted):
     assert commits == []
 
 
+def test_flush_errors_are_counted_by_row_and_batch(spark, accepted, tmp_path):
+    for batch_id in (1, 2):
+        write_batch(failed_flush(accepted, "disk full"), str(tmp_path / "letters"), batch_id)
+    row = flush_errors(spark.read.parquet(str(tmp_path / "letters"))).first()
+    assert (row.event_type, row.value, row.failed_batches) == (S.ADD, 6, 2)
+
+
 def test_empty_flush_does_nothing(accepted):
     written = Recorder()
     assert not flush(accepted.limit(0), written, written)

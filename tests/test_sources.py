@@ -14,6 +14,7 @@ from trolley.sinks.dead_letters import dead_letters
 from trolley.sources.arrivals import cart_arrivals
 from trolley.sources.messages import packed_sequence, typed_events
 from trolley.sources.replay import replay_events
+from trolley.sources.tables import table
 
 
 def messages(spark, *values):
@@ -85,7 +86,7 @@ def test_five_minutes(spark):
 
 
 def test_fixture_counts(spark):
-    out = outcomes(cart_arrivals(spark, SMALL, []), Settings(), [])
+    out = outcomes(cart_arrivals(table(spark, SMALL, "events"), []), Settings(), [])
     counts = {r.outcome: r["count"] for r in out.groupBy("outcome").count().collect()}
     assert counts == {
         "saved": 573, "saved_late": 34, "late_rejected": 35, "duplicate": 38, "invalid": 370,
@@ -100,8 +101,8 @@ def test_heavy_users_change_nothing(spark, monkeypatch, block_rows):
     hot = hot_keys(events, "user_id", min_rows=60)
     assert len(hot) > 3
     keep = ["seq", "outcome", "lateness_seconds", "cart_total_after", "line_quantity"]
-    plain = outcomes(cart_arrivals(spark, SMALL, []), Settings(clean_resends=True), [])
-    cut = outcomes(cart_arrivals(spark, SMALL, hot), Settings(clean_resends=True), hot)
+    plain = outcomes(cart_arrivals(table(spark, SMALL, "events"), []), Settings(clean_resends=True), [])
+    cut = outcomes(cart_arrivals(table(spark, SMALL, "events"), hot), Settings(clean_resends=True), hot)
     a, b = plain.select(keep).orderBy("seq").collect(), cut.select(keep).orderBy("seq").collect()
     assert [r[:3] for r in a] == [r[:3] for r in b]
     for x, y in zip(a, b):

@@ -63,9 +63,16 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events")
 
 
+def _arrivals(spark: SparkSession, folder: str) -> tuple[DataFrame, list]:
+    """Arrivals and the heavy users among them."""
+    events = _events(spark, folder)
+    hot = hot_users(events)
+    return cart_arrivals(events, hot), hot
+
+
 def _valid(spark: SparkSession, folder: str) -> tuple[DataFrame, list]:
-    hot = hot_users(spark, folder)
-    return valid_events(cart_arrivals(spark, folder, hot)), hot
+    arrivals, hot = _arrivals(spark, folder)
+    return valid_events(arrivals), hot
 
 
 def _fresh(spark: SparkSession, folder: str) -> tuple[DataFrame, list]:
@@ -76,13 +83,13 @@ def _fresh(spark: SparkSession, folder: str) -> tuple[DataFrame, list]:
 
 
 def _results(spark: SparkSession, folder: str, settings: Settings = CLEAN) -> DataFrame:
-    hot = hot_users(spark, folder)
-    return outcomes(cart_arrivals(spark, folder, hot), settings, hot)
+    arrivals, hot = _arrivals(spark, folder)
+    return outcomes(arrivals, settings, hot)
 
 
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
-    hot = hot_users(spark, folder)
-    return fact_from_events(cart_arrivals(spark, folder, hot), CLEAN, hot)
+    arrivals, hot = _arrivals(spark, folder)
+    return fact_from_events(arrivals, CLEAN, hot)
 
 
 def _money(df: DataFrame) -> DataFrame:
@@ -101,7 +108,7 @@ def _money(df: DataFrame) -> DataFrame:
 
 @register
 def decoded_messages(spark: SparkSession, folder: str) -> DataFrame:
-    arrivals = cart_arrivals(spark, folder)
+    arrivals, _ = _arrivals(spark, folder)
     number = F.col("event_id").cast("bigint") % 40
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     whole = F.to_json(
@@ -169,7 +176,7 @@ def time_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def content_ids(spark: SparkSession, folder: str) -> DataFrame:
-    arrivals = cart_arrivals(spark, folder)
+    arrivals, _ = _arrivals(spark, folder)
     # Whole seconds on some rows: their text has no fraction.
     ts = F.when(F.col("seq") % 3 == 0, whole_second(F.col("timestamp"))).otherwise(
         F.col("timestamp")
@@ -193,13 +200,14 @@ def _broken(arrivals: DataFrame) -> DataFrame:
 
 @register
 def broken_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return with_errors(_broken(cart_arrivals(spark, folder))).select("seq", "error")
+    arrivals, _ = _arrivals(spark, folder)
+    return with_errors(_broken(arrivals)).select("seq", "error")
 
 
 @register
 def broken_producer_rules(spark: SparkSession, folder: str) -> DataFrame:
-    broken = _broken(cart_arrivals(spark, folder))
-    return with_errors(broken, PRODUCER_RULES).select("seq", "error")
+    arrivals, _ = _arrivals(spark, folder)
+    return with_errors(_broken(arrivals), PRODUCER_RULES).select("seq", "error")
 
 
 # Duplicates
@@ -377,7 +385,8 @@ def late_rejections(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def validation_failures(spark: SparkSession, folder: str) -> DataFrame:
-    failed = with_errors(cart_arrivals(spark, folder)).withColumn(
+    arrivals, _ = _arrivals(spark, folder)
+    failed = with_errors(arrivals).withColumn(
         "outcome", F.when(F.col("error").isNotNull(), "invalid")
     )
     return dead_letters.validation_failures(failed)
@@ -394,7 +403,7 @@ def streamed_fact_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The streaming job over the events as they lie in storage, read back from its fact table."""
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
     # A pattern, since a stream takes a folder or a pattern but no single file.
-    files = file_messages(spark, f"{folder}/[e]vents.parquet", schema, max_files=20)
+    files = file_messages(spark, f"{folder}/[e]vents.parquet", schema, max_bytes=64 << 20)
     arrivals = shifted_arrivals(utc_timestamps(files))
     run = f"{shared_dir(spark)}/streamed-{uuid.uuid4().hex}"
     tables = Tables(f"{run}/tables")

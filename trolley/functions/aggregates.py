@@ -22,7 +22,3 @@ def sum_where(value: Column, condition: Column) -> Column:
 def avg_double(total: Column, rows: Column) -> Column:
     """Average from an exact sum and a count, so partial results can be merged."""
     return total.cast("double") / rows
-
-
-def money(value: Column) -> Column:
-    return F.round(value.cast("double"), 2)

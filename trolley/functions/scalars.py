@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 from trolley.functions.times import iso_text
 
 
-def or_zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))
-
-
-def or_empty(value: Column) -> Column:
-    return F.coalesce(value, F.lit(""))
-
-
 def content_id(user_id: Column, event_type: Column, product_id: Column, ts: Column) -> Column:
     """An id derived from what the event says, for producers that send none."""
     product = F.coalesce(product_id.cast("string"), F.lit("None"))

@@ -29,10 +29,6 @@ def whole_second(ts: Column) -> Column:
     return F.date_trunc("SECOND", ts)
 
 
-def whole_millisecond(ts: Column) -> Column:
-    return F.date_trunc("MILLISECOND", ts)
-
-
 def weekday_from_monday(ts: Column) -> Column:
     """Monday 0 .. Sunday 6."""
     return F.weekday(ts)

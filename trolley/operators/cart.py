@@ -187,6 +187,11 @@ def cart_snapshot(carts: DataFrame) -> DataFrame:
     )
 
 
+def cart_of_user(snapshot: DataFrame, user_id: int) -> DataFrame:
+    """One user's cart; no row for a user never seen."""
+    return snapshot.filter(F.col("user_id") == user_id)
+
+
 def open_carts(snapshot: DataFrame) -> DataFrame:
     """Users whose cart holds something."""
     return snapshot.filter(F.size("items") > 0)

@@ -34,6 +34,17 @@ def events_processed(results: DataFrame) -> DataFrame:
     return counted.groupBy("event_type", "status").agg(F.count(F.lit(1)).alias("value"))
 
 
+def flush_errors(letters: DataFrame) -> DataFrame:
+    """Events lost to failed writes per type, and the batches they came in, from stored letters."""
+    failed = letters.filter(F.col("error").startswith("sink_write_failed"))
+    per_batch = failed.groupBy(
+        F.get_json_object("original_event", "$.event_type").alias("event_type"), "batch_id"
+    ).agg(F.count(F.lit(1)).alias("value"))
+    return per_batch.groupBy("event_type").agg(
+        F.sum("value").alias("value"), F.count(F.lit(1)).alias("failed_batches")
+    )
+
+
 def duplicate_events(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if(F.col("outcome") == "duplicate").alias("value"))
 

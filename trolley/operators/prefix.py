@@ -194,19 +194,19 @@ _KEEP_PARTITIONING = {
 }
 
 
-def _kept(blocks: DataFrame) -> DataFrame:
-    """The rows of blocks on checkpoint storage, partitioned by key and block.
+def kept(rows: DataFrame) -> DataFrame:
+    """The rows on checkpoint storage, still partitioned by their keys.
 
-    Blocks are of bounded size, so there is nothing for adaptive execution to even out, and with
-    their partitioning kept the windows and joins of all later steps move no rows again.
+    Users and blocks are of bounded size here, so there is no skew for adaptive execution to even
+    out, and with their partitioning kept the windows and joins of later steps move no rows again.
     """
-    spark = blocks.sparkSession
+    spark = rows.sparkSession
     shared_dir(spark)
     before = {name: spark.conf.get(name) for name in _KEEP_PARTITIONING}
     try:
         for name, value in _KEEP_PARTITIONING.items():
             spark.conf.set(name, value)
-        return blocks.checkpoint()
+        return rows.checkpoint()
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
@@ -219,9 +219,9 @@ def running_groups(df: DataFrame, *groups: Group) -> DataFrame:
             df = group.add_windows(df)
         return df
     # The rows feed both the carries and the result: keep them once, on storage that survives.
-    kept = result = _kept(df)
+    rows = result = kept(df)
     for group in groups:
-        result = group.add_blocks(result, group.carries(kept))
+        result = group.add_blocks(result, group.carries(rows))
     return result
 
 

@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame
 from trolley.functions.columns import with_exprs
 from trolley.operators.dedup import DEDUP_KEY, ttl_micros, with_dedup_key
 from trolley.operators.lateness import ACCEPT, judged, with_watermark
-from trolley.operators.prefix import per_key, running, running_last, running_min
+from trolley.operators.prefix import kept, per_key, running, running_last, running_min
 from trolley.schemas import ALLOWED_LATENESS_SECONDS, DEDUP_TTL_HOURS
-from trolley.session import shared_dir
 
 COPIES = ["user_id", DEDUP_KEY]
 DECISION = [
@@ -103,13 +102,12 @@ def settle(
     if clean_resends:
         return rows.drop("irregular")
 
-    shared_dir(valid.sparkSession)
-    rows = rows.checkpoint()
+    rows = kept(rows)
     finished = []
     undecided = rows.filter("irregular").select("user_id").distinct()
     while not undecided.isEmpty():
         finished.append(rows.join(undecided, "user_id", "left_anti"))
-        rows = per_user(rows.join(undecided, "user_id", "left_semi"), next_pass).checkpoint()
+        rows = kept(per_user(rows.join(undecided, "user_id", "left_semi"), next_pass))
         undecided = rows.filter("irregular").select("user_id").distinct()
     for part in finished:
         rows = rows.unionByName(part)

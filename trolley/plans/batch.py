@@ -88,6 +88,15 @@ def judged_outcomes(
     )
 
 
+def invalid_outcomes(checked: DataFrame, own: list[str]) -> DataFrame:
+    """The outcome rows of events with an ``error``."""
+    known = {"outcome": F.lit(INVALID), "error": F.col("error")}
+    empty = {name: F.lit(None) for name in OUTCOME_COLUMNS} | known
+    return checked.filter("error IS NOT NULL").select(
+        *own, *[empty[name].cast(kind).alias(name) for name, kind in OUTCOME_COLUMNS.items()]
+    )
+
+
 def outcomes(
     events: DataFrame, settings: Settings = Settings(), hot: list | None = None
 ) -> DataFrame:
@@ -96,18 +105,9 @@ def outcomes(
     Invalid events skip the per-user work, so a missing or broken user id never gathers rows.
     """
     checked = with_errors(events, settings.rules)
-    bad = F.col("error").isNotNull()
-    judged = judged_outcomes(checked.filter(~bad).drop("error", "decode_error"), settings, hot)
     own = [c for c in events.columns if c != "decode_error"]
-    known = {"outcome": F.lit(INVALID), "error": F.col("error")}
-    invalid = checked.filter(bad).select(
-        *own,
-        *[
-            known.get(name, F.lit(None)).cast(kind).alias(name)
-            for name, kind in OUTCOME_COLUMNS.items()
-        ],
-    )
-    return judged.select(*own, *OUTCOME_COLUMNS).unionByName(invalid)
+    judged = judged_outcomes(checked.filter("error IS NULL").select(*own), settings, hot)
+    return judged.select(*own, *OUTCOME_COLUMNS).unionByName(invalid_outcomes(checked, own))
 
 
 def accepted_events(results: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ DEFAULT_SESSION = ""
 ALLOWED_LATENESS_SECONDS = 300
 DEDUP_TTL_HOURS = 24
 RETENTION_DAYS = 30
-FLUSH_BATCH_ROWS = 10_000
 
 EVENT_FIELDS = [
     "event_id",
@@ -92,11 +91,3 @@ FACT = T.StructType(
         T.StructField("cart_total_after", T.DecimalType(10, 2)),
     ]
 )
-
-DEAD_LETTER = T.StructType(
-    [
-        T.StructField("original_event", T.StringType()),
-        T.StructField("error", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
-    ]
-)

@@ -6,19 +6,18 @@ violations by arithmetic on the event number.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley import schemas as S
 from trolley.operators.prefix import hot_keys, per_key, running, running_last
-from trolley.sources.tables import table
 
 
 COLUMNS = ["event_id", "user_id", "event_type", "props", "ts"]
 
 
-def hot_users(spark: SparkSession, folder: str) -> list:
-    return hot_keys(table(spark, folder, "events").select("user_id"), "user_id")
+def hot_users(events: DataFrame) -> list:
+    return hot_keys(events.select("user_id"), "user_id")
 
 
 def with_previous_ts(events: DataFrame, hot: list) -> DataFrame:
@@ -70,10 +69,9 @@ def _as_cart_events(events: DataFrame, shifted: Column) -> DataFrame:
     )
 
 
-def cart_arrivals(spark: SparkSession, folder: str, hot: list | None = None) -> DataFrame:
+def cart_arrivals(events: DataFrame, hot: list) -> DataFrame:
     """Arrivals in which some events claim a time shortly before their user's previous event."""
-    hot = hot_users(spark, folder) if hot is None else hot
-    events = with_previous_ts(table(spark, folder, "events").select(*COLUMNS), hot)
+    events = with_previous_ts(events.select(*COLUMNS), hot)
     shifted = F.expr(
         "CASE event_id % 10 WHEN 3 THEN coalesce(previous_ts - INTERVAL 180 SECONDS, ts) "
         "WHEN 7 THEN coalesce(previous_ts - INTERVAL 600 SECONDS, ts) ELSE ts END"

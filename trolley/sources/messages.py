@@ -51,9 +51,16 @@ def file_messages(
     fmt: str = "parquet",
     streaming: bool = True,
     max_files: int = 100,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Messages (or typed arrivals, by ``schema``) landed as files."""
-    if streaming:
+    """Messages (or typed arrivals, by ``schema``) landed as files.
+
+    A stream takes at most ``max_files`` files per micro-batch, or files of ``max_bytes`` in all:
+    one of the two bounds what the stateful operator sees of one user at a time.
+    """
+    if streaming and max_bytes:
+        reader = spark.readStream.option("maxBytesPerTrigger", max_bytes)
+    elif streaming:
         reader = spark.readStream.option("maxFilesPerTrigger", max_files)
     else:
         reader = spark.read

@@ -5,14 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trolley.functions.columns import with_exprs
-from trolley.operators.dedup import DEDUP_KEY, with_dedup_key
+from trolley.operators.dedup import with_dedup_key
 from trolley.operators.validate import with_errors
-from trolley.plans.batch import INVALID, LATE_ERROR, LATE_REJECTED, OUTCOME_COLUMNS, Settings
+from trolley.plans.batch import (
+    LATE_ERROR,
+    LATE_REJECTED,
+    OUTCOME_COLUMNS,
+    Settings,
+    invalid_outcomes,
+)
 from trolley.plans.ingest import Tables, store_results
 from trolley.streaming.processor import DECISION, CartProcessor
 
@@ -46,15 +51,7 @@ def stream_outcomes(events: DataFrame, settings: Settings = Settings()) -> DataF
         watermark_after="timestamp_micros(watermark_after_us)",
         error=f"CASE WHEN outcome = '{LATE_REJECTED}' THEN '{LATE_ERROR}' END",
     ).select(*own, *OUTCOME_COLUMNS)
-    known = {"outcome": F.lit(INVALID), "error": F.col("error")}
-    invalid = checked.filter("error IS NOT NULL").select(
-        *own,
-        *[
-            known.get(name, F.lit(None)).cast(kind).alias(name)
-            for name, kind in OUTCOME_COLUMNS.items()
-        ],
-    )
-    return judged.unionByName(invalid)
+    return judged.unionByName(invalid_outcomes(checked, own))
 
 
 def start_job(

@@ -17,26 +17,21 @@ def _state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
     )
 
 
-def cart_lines(spark: SparkSession, checkpoint: str) -> DataFrame:
-    lines = _state(spark, checkpoint, ITEMS)
-    return _flat_map(lines, "product_id", "quantity")
-
-
-def _flat_map(state: DataFrame, key: str, value: str) -> DataFrame:
-    """Map state comes one map per group; older readers give one row per entry."""
-    if "map_value" in state.columns:
-        state = state.select("key", F.explode("map_value").alias("user_map_key", "user_map_value"))
-    else:
-        state = state.withColumnRenamed("user_map_value", "user_map_value")
-    return state.select(
+def _entries(spark: SparkSession, checkpoint: str, variable: str, key: str, value: str) -> DataFrame:
+    """Map state, one row per entry."""
+    return _state(spark, checkpoint, variable).select(
         F.col("key.user_id").alias("user_id"),
         F.col(f"user_map_key.{key}").alias(key),
         F.col(f"user_map_value.{value}").alias(value),
     )
 
 
+def cart_lines(spark: SparkSession, checkpoint: str) -> DataFrame:
+    return _entries(spark, checkpoint, ITEMS, "product_id", "quantity")
+
+
 def committed_marks(spark: SparkSession, checkpoint: str) -> DataFrame:
-    marks = _flat_map(_state(spark, checkpoint, MARKS), "dedup_key", "processed_us")
+    marks = _entries(spark, checkpoint, MARKS, "dedup_key", "processed_us")
     return marks.select(
         "user_id", "dedup_key", F.timestamp_micros("processed_us").alias("processed_at")
     )
