@@ -68,6 +68,22 @@ def test_peak_is_the_largest_negated_sum(rows):
         assert row.dip == dips.get(row.k)
 
 
+def test_long_key_lists_are_joined(rows, monkeypatch):
+    expected = sorted(per_key(rows, "k", "seq", [1, 3], _step, 50).collect(), key=tuple_key)
+    monkeypatch.setattr(prefix, "LISTED_KEYS", 1)
+    joined = per_key(rows, "k", "seq", [1, 3], _step, 50)
+    assert sorted(joined.select(*_step(rows).columns).collect(), key=tuple_key) == expected
+
+
+def test_split_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k long")
+    for listed in (0, 10):
+        prefix.LISTED_KEYS, before = listed, prefix.LISTED_KEYS
+        heavy, others = prefix.split_by_keys(df, "k", [1])
+        prefix.LISTED_KEYS = before
+        assert (heavy.count(), others.count()) == (1, 2)
+
+
 def test_hot_keys_are_the_largest(rows):
     sizes = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert hot_keys(rows, "k", min_rows=sizes[1]) == [1]

@@ -19,6 +19,7 @@ from trolley.operators.prefix import (
     per_key,
     running,
     running_last,
+    split_by_keys,
 )
 from trolley.schemas import DEDUP_TTL_HOURS
 
@@ -71,15 +72,14 @@ def flag_against_marks(
     """Flag events whose (user, id) holds a live mark; nothing is marked, so equal new ones agree.
 
     Only a heavy user can have an id with very many new copies. Such copies are matched without
-    moving them: there are at most 1,000 such ids and ``marks`` has one row per id, so their marks
+    moving them: there are at most 100,000 such ids and ``marks`` has one row per id, so their marks
     are always small enough to broadcast.
     """
     keys = ["user_id", DEDUP_KEY]
     heavy = []
     if hot:
-        sizes = events.filter(F.col("user_id").isin(hot)).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_rows")
-        )
+        copies, _ = split_by_keys(events, "user_id", hot)
+        sizes = copies.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         largest = sizes.filter(F.col("_rows") >= heavy_rows).orderBy(F.desc("_rows"), *keys)
         heavy = largest.limit(MOST_HOT_KEYS).select(*keys).collect()
 

@@ -19,20 +19,32 @@ from trolley.session import shared_dir
 BLOCK = "_block"
 BLOCK_ROWS = 1 << 20
 HOT_ROWS = 1_000_000
-MOST_HOT_KEYS = 1_000
+MOST_HOT_KEYS = 100_000
+# Up to this many keys are written into the plan; more are joined.
+LISTED_KEYS = 1_000
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """The keys with at least ``min_rows`` rows, at most 1,000 of them.
+    """The keys with at least ``min_rows`` rows, at most 100,000 of them.
 
-    Beyond the 1,000 largest keys none can hold more than a thousandth of the rows, so the list is
-    bounded without leaving a dangerous key out.
+    Beyond the 100,000 largest keys none can hold more than a hundred-thousandth of the rows, so
+    the list is bounded without leaving a dangerous key out.
     """
     sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     largest = sizes.filter(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), key)
     return [row[0] for row in largest.limit(MOST_HOT_KEYS).select(key).collect()]
 
 
+def split_by_keys(df: DataFrame, key: str, keys: list) -> tuple[DataFrame, DataFrame]:
+    """The rows of the (bounded) ``keys``, and all others, without moving any."""
+    if len(keys) <= LISTED_KEYS:
+        chosen = F.coalesce(F.col(key).isin(keys), F.lit(False))
+        return df.filter(chosen), df.filter(~chosen)
+    listed = df.sparkSession.createDataFrame([(k,) for k in keys], df.select(key).schema)
+    listed = F.broadcast(listed)
+    return df.join(listed, key, "left_semi"), df.join(listed, key, "left_anti")
+
+
 def per_key(
     df: DataFrame,
     key: str,
@@ -44,12 +56,12 @@ def per_key(
     """Apply ``step`` to ordinary keys as they are and to hot keys in blocks of ``order``."""
     if not hot:
         return step(df)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    heavy, others = split_by_keys(df, key, hot)
     width = F.lit(block_rows or BLOCK_ROWS)
-    blocks = df.filter(is_hot).withColumn(BLOCK, F.floor(F.col(order) / width))
+    blocks = heavy.withColumn(BLOCK, F.floor(F.col(order) / width))
     # The one shuffle of these rows: everything per block happens where it puts them.
     blocks = blocks.repartition(key, BLOCK)
-    return step(df.filter(~is_hot)).unionByName(step(blocks).drop(BLOCK))
+    return step(others).unionByName(step(blocks).drop(BLOCK))
 
 
 @dataclass(frozen=True)

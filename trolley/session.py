@@ -19,6 +19,7 @@ def build_session(app: str = "trolley", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Plans here hold some hundred expressions; tracing each costs more than planning them.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
