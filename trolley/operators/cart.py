@@ -30,6 +30,7 @@ from trolley.operators.prefix import (
 )
 from trolley.schemas import ADD, CHECKOUT, REMOVE, UPDATE
 
+_OUT, _IN, _SAME = 0, 1, 2
 _WORK = [
     "_kind", "_product", "_units", "_stretch", "_sum", "_lift", "_start", "_effect", "_decided",
     "_present", "_have", "_quantity", "_delta", "_change", "_change_before", "_floor",
@@ -54,11 +55,11 @@ def _quantities(rows: DataFrame) -> DataFrame:
     )
     rows = with_exprs(rows, _lift="greatest(_lift, 0L)", _start="coalesce(_start, 0L)")
 
-    # Is the product in the cart after this row: whatever came before the stretch (true or
-    # false), or the same as before it (null)?
+    # Is the product in the cart after this row: yes or no whatever came before the stretch, or
+    # the same as before it?
     effect = (
-        "CASE WHEN _sum + _lift > 0 THEN 'in' "
-        "WHEN _sum + greatest(_start, _lift) > 0 THEN 'same' ELSE 'out' END"
+        f"CASE WHEN _sum + _lift > 0 THEN {_IN} "
+        f"WHEN _sum + greatest(_start, _lift) > 0 THEN {_SAME} ELSE {_OUT} END"
     )
     rows = running(
         with_exprs(rows, _effect=effect),
@@ -71,8 +72,8 @@ def _quantities(rows: DataFrame) -> DataFrame:
         product,
         order,
         _present=running_last(
-            f"CASE WHEN {is_update} AND coalesce(_decided, 'out') <> 'same' "
-            "THEN coalesce(_decided, 'out') = 'in' END"
+            f"CASE WHEN {is_update} AND coalesce(_decided, {_OUT}) <> {_SAME} "
+            f"THEN coalesce(_decided, {_OUT}) = {_IN} END"
         ),
     )
     rows = with_exprs(rows, _quantity="_sum + greatest(if(_present, _start, 0L), _lift)")

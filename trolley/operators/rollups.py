@@ -230,7 +230,11 @@ def active_carts(fact: DataFrame, as_of: datetime | str | Column | None = None)
         F.max("cart_total_after").alias("current_cart_value"),
         F.max("session_id").alias("current_session"),
     )
-    return carts.filter(F.col("net_adds") > 0).orderBy(F.desc("last_activity"), "user_id")
+    active = carts.filter(F.col("net_adds") > 0)
+    # Sorting reads its input twice, to sample it first: let that be the few carts.
+    return active.repartition("user_id", "last_activity").orderBy(
+        F.desc("last_activity"), "user_id"
+    )
 
 
 def summed_merge(rollup: Rollup, fact: DataFrame, insert_block: Column) -> DataFrame:
