@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+import trolley
 from trolley.functions.columns import with_exprs
 from trolley.operators.dedup import with_dedup_key
 from trolley.operators.validate import with_errors
@@ -21,6 +23,9 @@ from trolley.plans.batch import (
 from trolley.plans.ingest import Tables, store_results
 from trolley.streaming.processor import DECISION, CartProcessor
 
+# The processor travels with the query, so Python workers need no copy of this package.
+cloudpickle.register_pickle_by_value(trolley)
+
 
 def stream_outcomes(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every arrival with its outcome, as the batch job gives it; works on streams.
