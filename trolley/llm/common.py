@@ -6,17 +6,12 @@ from collections.abc import Callable, Iterator
 import uuid
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import trolley.llm
 from trolley.llm.text import slices
 from trolley.session import shared_dir
 
-# Functions run by Python workers travel with the query; the package need not be installed there.
-cloudpickle.register_pickle_by_value(trolley.llm)
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -12,6 +12,7 @@ from trolley.llm.decontamination import decontaminate
 from trolley.llm.packing import pack
 from trolley.llm.quality_rules import quality_rules
 from trolley.llm.token_counts import section_token_counts
+from trolley.llm.substring_dedup import substring_dedup
 from trolley.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,11 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return section_token_counts(table(spark, folder, "documents"))
 
 
+@register
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup(table(spark, folder, "documents"))
+
+
 @register
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
