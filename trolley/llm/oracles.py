@@ -32,3 +32,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+SQL["op10_minhash_dedup"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS p FROM d)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS MATERIALIZED (
+  SELECT a, b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS joint
+        FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * joint >= 85 * (na.n + nb.n - joint)),
+reach(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT b, c FROM reach JOIN pairs ON a = doc_id)
+SELECT doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(c) AS component_id,
+       doc_id = min(c) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""

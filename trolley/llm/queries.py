@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.llm import oracles
 from trolley.llm.common import table
 from trolley.llm.decontamination import decontaminate
+from trolley.llm.near_dedup import near_dedup
 from trolley.llm.packing import pack
 from trolley.llm.quality_rules import quality_rules
 from trolley.llm.token_counts import section_token_counts
@@ -48,3 +49,8 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
+
+
+@register
+def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup(table(spark, folder, "documents"))
