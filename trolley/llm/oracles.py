@@ -54,3 +54,17 @@ SELECT doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(c) AS co
        doc_id = min(c) AS kept
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
+
+SQL["op2_warc_normaliser"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha1(coalesce(html, '')) AS h FROM pages),
+w AS (SELECT h, max(page_id) AS winner FROM p GROUP BY h)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes,
+       array_to_string([
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((CAST('0x' || substr(h, CAST(x // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (x % 4) AS INT)) & 31) + 1, 1)
+         FOR x IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id < winner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < winner THEN winner END AS refers_to
+FROM p JOIN w USING (h)
+"""

@@ -14,6 +14,7 @@ from trolley.llm.packing import pack
 from trolley.llm.quality_rules import quality_rules
 from trolley.llm.token_counts import section_token_counts
 from trolley.llm.substring_dedup import substring_dedup
+from trolley.llm.warc import round_trip
 from trolley.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,12 @@ def register(function: Callable[[SparkSession, str], DataFrame]) -> Callable:
     return function
 
 
+@register
+def op2_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
+    records = round_trip(table(spark, folder, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
