@@ -1,5 +1,7 @@
 """DuckDB SQL with the same results as the registered queries, where SQL can express them."""
 
+from trolley.llm import licenses
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {}
@@ -68,3 +70,51 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id < winner THEN winner END AS refers_to
 FROM p JOIN w USING (h)
 """
+
+
+def _licences() -> str:
+    """Sentences and rules as tables; a rule holds if each of its sentences is found after the one
+    before, taking the first place possible."""
+    known = ", ".join(f"('{i}', '{s}')" for i, s in licenses.SENTENCES.items())
+    names = sorted({name for name, _ in licenses.RULES})
+
+    def holds(rule: list[str]) -> str:
+        # The place of each sentence, or nothing.
+        place = "0"
+        for sentence in rule:
+            after = f"ids[CAST({place} AS BIGINT) + 1 :]"
+            place = f"({place} + nullif(list_position({after}, '{sentence}'), 0))"
+        return f"coalesce({place} > 0, false)"
+
+    tests = {n: " OR ".join(holds(r) for name, r in licenses.RULES if name == n) for n in names}
+    for small, large in licenses.CONTAINED.items():
+        tests[small] = f"({tests[small]}) AND NOT ({tests[large]})"
+    found = ", ".join(f"CASE WHEN {tests[n]} THEN '{n}' END" for n in names)
+    folded = "trim(regexp_replace(translate({}, '" + licenses.UPPER + "', '" + licenses.LOWER + "'), '[^a-z0-9]+', ' ', 'g'))"
+    return rf"""
+WITH known(id, sentence) AS (VALUES {known}),
+c AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS n, unnest(parts) AS c
+  FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '{licenses.ENDS}') AS parts FROM documents)),
+s AS (SELECT doc_id, n, c, id FROM c LEFT JOIN known ON sentence = {folded.format("c")}
+      WHERE regexp_matches(c, '[A-Za-z0-9]')),
+l AS (
+  SELECT doc_id, n, m, id
+  FROM (SELECT doc_id, n, generate_subscripts(lines, 1) AS m, unnest(lines) AS line
+        FROM (SELECT doc_id, n, string_split(c, chr(10)) AS lines FROM s WHERE id IS NULL AND contains(c, chr(10))))
+  JOIN known ON sentence = {folded.format("line")}),
+f AS (SELECT doc_id, n, 0 AS m, id FROM s WHERE id IS NOT NULL UNION ALL SELECT * FROM l),
+i AS (SELECT doc_id, list(id ORDER BY n, m) AS ids FROM f GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_sentences FROM s GROUP BY doc_id),
+r AS (
+  SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(ids, []) AS ids
+  FROM documents LEFT JOIN t USING (doc_id) LEFT JOIN i USING (doc_id)),
+h AS (SELECT *, list_filter([{found}], lambda x: x IS NOT NULL) AS found FROM r)
+SELECT doc_id, CAST(n_sentences AS BIGINT) AS n_sentences, CAST(len(ids) AS BIGINT) AS n_licence_sentences,
+       array_to_string(ids, ' ') AS sequence, array_to_string(found, ',') AS licences,
+       CAST(len(found) AS BIGINT) AS n_licences
+FROM h
+"""
+
+
+SQL["op3_licence_scan"] = _licences()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.llm import oracles
 from trolley.llm.common import table
 from trolley.llm.decontamination import decontaminate
+from trolley.llm.licenses import scan_licences
 from trolley.llm.near_dedup import near_dedup
 from trolley.llm.packing import pack
 from trolley.llm.quality_rules import quality_rules
@@ -32,6 +33,11 @@ def op2_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register
+def op3_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licences(table(spark, folder, "documents"))
+
+
 @register
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
