@@ -12,9 +12,11 @@ from trolley.llm.decontamination import decontaminate
 from trolley.llm.licenses import scan_licences
 from trolley.llm.near_dedup import near_dedup
 from trolley.llm.packing import pack
+from trolley.llm.quality_classifier import classify
 from trolley.llm.quality_rules import quality_rules
 from trolley.llm.token_counts import section_token_counts
 from trolley.llm.substring_dedup import substring_dedup
+from trolley.llm.toxicity import score_toxicity
 from trolley.llm.warc import round_trip
 from trolley.session import prepare
 
@@ -27,6 +29,11 @@ def register(function: Callable[[SparkSession, str], DataFrame]) -> Callable:
     return function
 
 
+@register
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register
 def op2_warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     records = round_trip(table(spark, folder, "pages"))
@@ -59,6 +66,11 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup(table(spark, folder, "documents"))
 
 
+@register
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
