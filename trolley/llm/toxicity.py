@@ -7,9 +7,10 @@ to the whole corpus, taken one standard error towards zero; a word's is the larg
 less ``DRIFT``, so that ordinary text scores below zero. A linear-time scan finds all maximal
 segments of positive total. Under the scores' distribution in clean text, a segment of score ``s`` in
 ``n`` words is expected ``K n exp(-lambda s)`` times by chance; segments expected fewer than
-``EXPECTED`` times are significant. A document's evidence is its best segment's and the sum of its
-significant ones', in units of expectation, and a logistic curve fitted on other labelled rows than
-the counts turns it into the score.
+``EXPECTED`` times are significant. A document's evidence is its best segment's surprise (the negative
+logarithm of how many are expected), the sum and number of its significant ones', and the pooled
+surprise of all segments that a single word seldom begins (fewer than ``SELDOM`` times), for what is
+spread thinly. A logistic curve fitted on other labelled rows than the counts makes it the score.
 
 Learning takes at most ``SAMPLE`` labelled ids (those with the smallest hashes), which are sent to
 the executors, 16 bytes each; texts are never shuffled. Rows whose crc32 of the id (as text) is 2
@@ -43,6 +44,7 @@ PREFIXES = (4, 5, 6, 7, 8)
 PRIOR = 0.1
 DRIFT = 0.3
 EXPECTED = 0.05
+SELDOM = 1e-3
 CUT = 0.3
 
 
@@ -211,17 +213,19 @@ def _logistic(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return w
 
 
-def _evidence(found: np.ndarray) -> np.ndarray:
-    """What the logistic curve reads: capped, so that no single document bends it."""
-    best, total, count = found.T
-    return np.column_stack([np.clip(best, -10, 20), np.log1p(np.maximum(total, 0)), np.log1p(count)])
+#: What the logistic curve reads, as SQL: capped or on a log scale, so that no document bends it.
+_EVIDENCE = [
+    "greatest(least(best, 20), -10)", "ln(1 + greatest(total, 0))", "ln(1 + n_found)",
+    "ln(1 + pooled)", "ln(1 + n_words)",
+]
 
 
 def find_passages(docs: DataFrame, table: np.ndarray, chance: Chance) -> DataFrame:
-    """``doc_id, n_words, best, total, n_found, passages`` of each row: the surprise of the best
-    segment, the sum over significant ones, their number, and their byte spans."""
+    """``doc_id, n_words, best, total, n_found, pooled, passages`` of each row: the surprise of the
+    best segment, the sum over significant ones, their number, the pooled surprise of all seldom
+    ones, and the significant ones' byte spans."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    need = -np.log(EXPECTED)
+    need, seldom = -np.log(EXPECTED), -np.log(SELDOM)
     rate, size = chance.rate, chance.size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,10 +236,12 @@ def find_passages(docs: DataFrame, table: np.ndarray, chance: Chance) -> DataFra
                 slot, owner, start = slots_of(texts)
                 scores = word_scores(slot, shared.value)
                 edges = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
-                best, total, count, spans = [], [], [], []
+                best, total, count, pooled, spans = [], [], [], [], []
                 for i, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                     found = maximal_segments(scores[low:high])
                     gains = known.surprise(np.array([s for _, _, s in found]), np.array(high - low))
+                    single = gains + np.log(max(high - low, 1))
+                    pooled.append(float(single[single >= seldom].sum()))
                     best.append(float(gains.max(initial=-10.0)))
                     strong = np.flatnonzero(gains >= need)
                     total.append(float(gains[strong].sum()))
@@ -248,13 +254,14 @@ def find_passages(docs: DataFrame, table: np.ndarray, chance: Chance) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array(np.diff(edges)), pa.array(best, pa.float64()),
-                        pa.array(total, pa.float64()), pa.array(count, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
+                        pa.array(total, pa.float64()), pa.array(count, pa.int64()), pa.array(pooled, pa.float64()),
+                        pa.array(spans, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_words", "best", "total", "n_found", "passages"],
+                    ["doc_id", "n_words", "best", "total", "n_found", "pooled", "passages"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words long, best double, total double, n_found long, passages array<long>"
+    schema = f"doc_id {kind}, n_words long, best double, total double, n_found long, pooled double, passages array<long>"
     return docs.mapInArrow(run, schema)
 
 
@@ -290,18 +297,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     aside = found.sparkSession.createDataFrame(
         pa.table({"_id": ids[~learn], "label": marks[~learn]}) if (~learn).any() else [], "_id long, label long"
     )
-    rows = found.join(aside, F.expr("doc_id = _id")).select("best", "total", "n_found", "label")
+    rows = found.join(aside, F.expr("doc_id = _id")).selectExpr(*_EVIDENCE, "label")
     rows = rows.toArrow().to_pandas().to_numpy(np.float64)
-    targets = rows[:, 3] if len(rows) else np.zeros(0)
-    if len(set(targets)) == 2:
-        w = _logistic(_evidence(rows[:, :3]), targets)
+    if len(set(rows[:, -1])) == 2:
+        curve = _logistic(rows[:, :-1], rows[:, -1]).tolist()
     else:
-        share = (targets.sum() + 1) / (len(targets) + 2)
-        w = np.array([0, 0, 0, np.log(share / (1 - share))])
-    line = (
-        f"{w[0]!r} * greatest(least(best, 20), -10) + {w[1]!r} * ln(1 + greatest(total, 0))"
-        f" + {w[2]!r} * ln(1 + n_found) + {w[3]!r}"
-    ).replace("np.float64", "")
+        share = (rows[:, -1].sum() + 1) / (len(rows) + 2)
+        curve = [0.0] * len(_EVIDENCE) + [float(np.log(share / (1 - share)))]
+    line = " + ".join(f"{w!r}D * {e}" for w, e in zip(curve, [*_EVIDENCE, "1"], strict=True))
     return found.select(
         "doc_id",
         F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
