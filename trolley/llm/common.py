@@ -8,6 +8,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trolley.llm.text import slices
 from trolley.session import shared_dir
@@ -18,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def per_slice(
-    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text"
+    df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, text: str = "text"
 ) -> DataFrame:
     """Map runs of rows with a bounded amount of ``text`` to batches of ``schema``."""
 
@@ -45,8 +46,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_column(df: DataFrame, name: str = "text") -> F.Column:
-    return F.coalesce(df[name].cast("string"), F.lit("")).alias(name)
+def carrying(df: DataFrame, carried: list[str], made: str) -> T.StructType:
+    """The ``carried`` columns of ``df`` (as they are, whatever their names) and the ``made`` ones."""
+    return T.StructType([*[df.schema[c] for c in carried], *T.StructType.fromDDL(made)])
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import per_slice, stored
+from trolley.llm.common import carrying, per_slice, stored
 from trolley.llm.text import ALNUM, Words, as_texts, ragged, runs_of, split_words
 
 WINDOW = 10
@@ -134,7 +134,7 @@ def occurrences(words: Words, names: np.ndarray, patterns: Patterns) -> list[tup
     ]
 
 
-def _search(docs: DataFrame, found: list[Patterns], last: bool) -> DataFrame:
+def _search(docs: DataFrame, found: list[Patterns], carried: str, last: bool) -> DataFrame:
     """Add a block's hits to ``_spans`` (first and last word) and ``_items`` of each document, or,
     at the last block, make the result rows."""
     shared = docs.sparkSession.sparkContext.broadcast(
@@ -142,7 +142,7 @@ def _search(docs: DataFrame, found: list[Patterns], last: bool) -> DataFrame:
     )
 
     def make(rows: pa.RecordBatch) -> pa.RecordBatch:
-        words = split_words(as_texts(rows.column("text")), ALNUM)
+        words = split_words(as_texts(rows.column("_text")), ALNUM)
         names = words.names()
         spans = [s or [] for s in rows.column("_spans").to_pylist()]
         items = [set(s or []) for s in rows.column("_items").to_pylist()]
@@ -157,12 +157,12 @@ def _search(docs: DataFrame, found: list[Patterns], last: bool) -> DataFrame:
         if not last:
             return pa.RecordBatch.from_arrays(
                 [
-                    rows.column("doc_id"),
-                    rows.column("text"),
+                    rows.column(carried),
+                    rows.column("_text"),
                     pa.array(spans, pa.list_(pa.int64())),
                     pa.array([sorted(i) for i in items], pa.list_(pa.string())),
                 ],
-                ["doc_id", "text", "_spans", "_items"],
+                [carried, "_text", "_spans", "_items"],
             )
         hits = []
         for span in spans:
@@ -174,7 +174,7 @@ def _search(docs: DataFrame, found: list[Patterns], last: bool) -> DataFrame:
         digests = [hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for i in items]
         return pa.RecordBatch.from_arrays(
             [
-                rows.column("doc_id"),
+                rows.column(carried),
                 pa.array(words.counts.astype(np.int64)),
                 pa.array(hits, pa.int64()),
                 pa.array([len(i) for i in items], pa.int64()),
@@ -182,16 +182,15 @@ def _search(docs: DataFrame, found: list[Patterns], last: bool) -> DataFrame:
                 pa.array([h > 0 for h in hits], pa.bool_()),
                 pa.array([sorted(i) for i in items], pa.list_(pa.string())),
             ],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
+            [carried, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
         )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, " + (
+    made = (
         "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
         if last
-        else "text string, _spans array<long>, _items array<string>"
+        else "_text string, _spans array<long>, _items array<string>"
     )
-    return per_slice(docs, make, schema)
+    return per_slice(docs, make, carrying(docs, [carried], made), "_text")
 
 
 def decontaminate(
@@ -199,6 +198,17 @@ def decontaminate(
 ) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items`` of each row of
     ``docs`` (``doc_id, text``) against the windows of ``benchmark`` (``item_id, text``)."""
+    return _searched(docs, "doc_id", benchmark, window, block_bytes)
+
+
+def contaminated_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The same columns beside ``_row``, a column of any type that ``docs`` has."""
+    return _searched(docs, "_row", benchmark, WINDOW, BLOCK_BYTES)
+
+
+def _searched(
+    docs: DataFrame, carried: str, benchmark: DataFrame, window: int, block_bytes: int
+) -> DataFrame:
     items = benchmark.filter("item_id IS NOT NULL").select(
         F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
@@ -206,14 +216,14 @@ def decontaminate(
     blocks = 1 + size // block_bytes
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     rows = docs.select(
-        "doc_id",
-        "text",
+        carried,
+        F.col("text").alias("_text"),
         F.lit(None).cast("array<bigint>").alias("_spans"),
         F.lit(None).cast("array<string>").alias("_items"),
     )
     for k in range(blocks):
         chosen = items.filter(block == k).distinct().collect()
-        rows = _search(rows, tables([tuple(r) for r in chosen], window), k == blocks - 1)
+        rows = _search(rows, tables([tuple(r) for r in chosen], window), carried, k == blocks - 1)
         if k < blocks - 1:
             rows = stored(rows, "hits")
     return rows

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.llm.common import carrying
 from trolley.llm.text import Texts, as_texts, eights, mix, ragged, slices
 
 LENGTH = 50
@@ -329,7 +330,7 @@ def cut_substrings(docs: DataFrame, carried: list[str], with_text: bool = False)
     count = max(8, -(-size // BLOCK_BYTES))
     number = F.col("doc_id").cast("long").alias("id")
     block = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(count)).cast("int").alias("block")
-    row = F.struct(*[F.col(c) for c in carried]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")
     blocks = docs.select(block, number, F.col("text").alias("text"), row).repartition(count, "block")
 
     def bucket_of(held: _Block, chosen: np.ndarray) -> np.ndarray:
@@ -395,9 +396,8 @@ def cut_substrings(docs: DataFrame, carried: list[str], with_text: bool = False)
         .groupBy("bucket").applyInArrow(_second_round, _ANSWERS)
         .repartition(count, "block")
     )
-    kind = blocks.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    schema += ", kept_text string" if with_text else ""
+    made = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = carrying(blocks, ["row"], made + (", kept_text string" if with_text else ""))
 
     def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         made = []
