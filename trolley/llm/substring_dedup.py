@@ -155,12 +155,15 @@ class _Block:
         self.buckets = full[self.first] >> np.uint64(32)
 
 
+def _alike(tags: np.ndarray) -> list[np.ndarray]:
+    """The places of each tag."""
+    order = np.argsort(tags, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(tags[order])) + 1) if len(order) else []
+
+
 def _send(bucket: np.ndarray, block: int, short: np.ndarray, whole: np.ndarray, docs: np.ndarray) -> Iterator[list]:
     """A row per bucket of the pairs that go there."""
-    order = np.argsort(bucket, kind="stable")
-    edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)) if len(order) else []
-    for low, high in zip(edges, [*edges[1:], len(order)], strict=True):
-        chosen = order[low:high]
+    for chosen in _alike(bucket):
         base = int(docs[chosen].min())
         packed = _pack(short[chosen], whole[chosen], _narrow(docs[chosen], base))
         yield [int(bucket[chosen[0]]), block, base, len(chosen), packed]
@@ -189,11 +192,8 @@ def _records(table: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _answers(block: np.ndarray, short: np.ndarray, whole: np.ndarray, mask: np.ndarray) -> pa.Table:
-    order = np.argsort(block, kind="stable")
-    edges = np.flatnonzero(np.append(True, np.diff(block[order]) != 0)) if len(order) else []
     rows = []
-    for low, high in zip(edges, [*edges[1:], len(order)], strict=True):
-        chosen = order[low:high]
+    for chosen in _alike(block):
         rows.append([int(block[chosen[0]]), len(chosen), _pack(short[chosen], whole[chosen], mask[chosen])])
     batch = _rows(rows, ["block", "n", "data"], [pa.int32(), pa.int32(), pa.binary()])
     return pa.Table.from_batches([batch])
