@@ -3,7 +3,7 @@
 from trolley import schemas as S
 
 
-def run(events, policy="accept", allowed=300, ttl_hours=24):
+def run(events, policy="accept", allowed=300, ttl_hours=24, all_fit=False):
     """``{seq: (outcome, before, after)}`` of valid events."""
     marks, watermarks, carts, results = {}, {}, {}, {}
     for e in sorted(events, key=lambda e: e["seq"]):
@@ -21,6 +21,9 @@ def run(events, policy="accept", allowed=300, ttl_hours=24):
                 continue
         else:
             watermarks[user] = ts
+        if not all_fit and not 0 <= e["quantity"] <= 65_535:
+            results[e["seq"]] = ("sink_range", None, None)
+            continue
         marks[key] = now
         cart = carts.setdefault(user, {"items": {}, "total": 0.0, "count": 0})
         before = cart["total"]

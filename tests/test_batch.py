@@ -6,6 +6,7 @@ from conftest import at, by_seq, event
 from scenario import PLAN, scenario_events
 
 from trolley import schemas as S
+from trolley.operators.metrics import events_processed
 from trolley.operators.rollups import MINUTE, active_carts
 from trolley.plans.batch import Settings, fact_from_events, outcomes
 
@@ -64,8 +65,48 @@ def test_events_outside_the_sinks_range_stay_out_of_the_fact_table(frame):
         event(3, price=1e9),
         event(4, event_id="ok"),
     )
-    ids = {r.event_id for r in fact_from_events(df, hot=[]).collect()}
-    assert "e0" in ids and not ids & {"e1", "e2", "e3"}
+    fact = {r.event_id: r for r in fact_from_events(df, hot=[]).collect()}
+    assert set(fact) == {"e0", "ok"}
+    assert float(fact["ok"].cart_total_before) == 9.99
+    assert float(fact["ok"].cart_total_after) == 19.98
+
+
+MISFITS = [
+    event(0, quantity=1),
+    event(1, event_type=S.UPDATE, quantity=-1),
+    event(2, quantity=70_000),
+    event(3, price=1e9),
+    event(4, event_id="e3", price=1.0),
+    event(5, price=float("nan"), event_id="n"),
+    event(6, event_id="n"),
+    event(7, user_id=7, price=99_999_999.0),
+    event(8, user_id=7, price=1.0, event_id="big"),
+    event(9, user_id=7, price=0.5, event_id="fits"),
+    event(10, user_id=7, price=0.25, event_id="big"),
+    event(11, product_id=5_000_000_000),
+]
+MISFIT_OUTCOMES = {
+    0: ("saved", 9.99), 1: ("sink_range", None), 2: ("sink_range", None), 3: ("sink_range", None),
+    4: ("saved", 10.99), 5: ("sink_range", None), 6: ("saved", 20.98), 7: ("saved", 99_999_999.0),
+    8: ("sink_range", None), 9: ("saved", 99_999_999.5), 10: ("saved", 99_999_999.75),
+    11: ("sink_range", None),
+}
+
+
+@pytest.mark.parametrize("hot", [[], [7]])
+def test_what_does_not_fit_changes_nothing(frame, hot):
+    """It leaves no mark, so a corrected re-send is new, and the cart stays as it was."""
+    out = outcomes(frame(*MISFITS), hot=hot)
+    assert by_seq(out, "outcome", "cart_total_after") == MISFIT_OUTCOMES
+    assert by_seq(out, "error")[8] == "sink_range: cart_total_after"
+    counts = {(r.event_type, r.status): r.value for r in events_processed(out).collect()}
+    assert counts[(S.ADD, "success")] == 6 and counts[(S.ADD, "flush_error")] == 5
+
+
+def test_a_broken_promise_is_noticed(frame):
+    df = frame(*[e for e in MISFITS if e["user_id"] == 7])
+    with pytest.raises(Exception, match="outgrows the fact table"):
+        outcomes(df, Settings(clean_resends=True), hot=[]).collect()
 
 
 @pytest.mark.parametrize("policy", ["accept", "reject", "adjust_window"])

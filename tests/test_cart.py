@@ -107,7 +107,7 @@ def test_against_the_model(frame, monkeypatch, seed, block_rows):
     if block_rows:
         monkeypatch.setattr("trolley.operators.prefix.BLOCK_ROWS", block_rows)
         hot = [1, 2]
-    expected, carts, _ = model.run(events)
+    expected, carts, _ = model.run(events, all_fit=True)
     out = with_cart(frame(*events), hot).cache()
     got = by_seq(out, "cart_total_before", "cart_total_after")
     for seq, (_, before, after) in expected.items():
@@ -117,3 +117,16 @@ def test_against_the_model(frame, monkeypatch, seed, block_rows):
         assert final[user]["items"] == cart["items"]
         assert final[user].event_count == cart["count"]
         assert final[user].total_value == pytest.approx(cart["total"], abs=1e-9)
+
+
+def test_quantities_beyond_an_int_and_carts_that_were_emptied(frame):
+    events, seq = [event(0, quantity=2_000_000_000), event(1, quantity=2_000_000_000)], 2
+    for cart in range(20):
+        for product in range(10):
+            events.append(event(seq, user_id=2, product_id=100 * cart + product + 1))
+            seq += 1
+        events.append(event(seq, user_id=2, event_type=S.CHECKOUT, quantity=0, price=0.0))
+        seq += 1
+    snapshot = {r.user_id: r for r in cart_snapshot(with_cart(frame(*events), [])).collect()}
+    assert snapshot[1001]["items"] == {101: 4_000_000_000}
+    assert snapshot[2]["items"] == {} and snapshot[2].event_count == 220

@@ -5,13 +5,21 @@ import pytest
 from conftest import T0, at, by_seq, event
 from pyspark.sql import functions as F
 
+from trolley.operators import fold
 from trolley.operators.dedup import (
     committed_marks,
     first_copies,
     flag_against_marks,
     with_dedup_key,
 )
-from trolley.operators.sequential import settle
+from trolley.plans import batch
+from trolley.plans.batch import Settings, judged_outcomes
+
+
+def settle(df, hot, **settings):
+    """Valid events through the whole job."""
+    out = judged_outcomes(df, Settings(**settings), hot)
+    return out.withColumn("is_duplicate", F.col("outcome") == "duplicate")
 
 
 def flags(df):
@@ -54,8 +62,7 @@ def test_content_ids_ignore_the_sent_id(frame):
     assert flags(first_copies(df, [], generate_ids=True)) == {0: False, 1: True}
 
 
-@pytest.mark.parametrize(("hot", "heavy_rows"), [([], 1), ([1001], 1), ([1001], 2), ([1001], 99)])
-def test_against_marks(frame, hot, heavy_rows):
+def test_against_marks(frame):
     hour = timedelta(hours=1)
     stored = frame(event(0, event_id="a"), event(1, event_id="b"), event(2, event_id="a"))
     marks = committed_marks(with_dedup_key(stored).withColumnRenamed("arrived_at", "processed_at"))
@@ -67,10 +74,32 @@ def test_against_marks(frame, hot, heavy_rows):
         event(14, event_id="new"),
         event(15, event_id="a", user_id=5),
     )
-    out = flag_against_marks(with_dedup_key(new), marks, hot, heavy_rows=heavy_rows)
+    out = flag_against_marks(with_dedup_key(new), marks.unionByName(marks))
     assert flags(out) == {10: True, 11: False, 12: True, 13: False, 14: False, 15: False}
 
 
+def test_marks_too_old_to_live_are_not_read(spark, frame, tmp_path):
+    stored = with_dedup_key(frame(event(0))).withColumnRenamed("arrived_at", "processed_at")
+    stored.write.parquet(str(tmp_path / "marks"))
+    marks = spark.read.parquet(str(tmp_path / "marks"))
+    out = flag_against_marks(with_dedup_key(frame(event(90_000))), marks)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(processed_at), GreaterThan(processed_at," in text
+
+
+def test_a_chain_of_copies_takes_one_more_pass(spark, frame, monkeypatch):
+    """Forty copies, thirteen hours apart: every second one is new."""
+    passes = []
+    monkeypatch.setattr(
+        batch, "one_by_one", lambda *a: passes.append(1) or fold.one_by_one(*a)
+    )
+    df = frame(
+        *[event(i, event_id="a", arrived_at=at(i * 13 * 3600), timestamp=at(0)) for i in range(40)]
+    )
+    assert flags(settle(df, [])) == {i: i % 2 == 1 for i in range(40)}
+    assert len(passes) == 1
+
+
 def test_ttl_chain(frame):
     """Kept at 0 h; dropped at 23 h, which does not refresh the mark; kept at 25 h and marked
     anew; dropped at 48 h; kept at exactly 24 h after the second mark."""

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from trolley import schemas as S
 from trolley.operators import listings, metrics
-from trolley.plans.batch import outcomes
+from trolley.plans.batch import fact_from_events, outcomes
+from trolley.sinks.tables import write_fact
 
 
 @pytest.fixture
@@ -111,3 +112,26 @@ def test_retention_boundary(spark):
     df = spark.createDataFrame([(at(0),), (at(0.9),), (at(1),)], "processed_at timestamp")
     kept = listings.retained(df, "2026-01-31 12:00:00").collect()
     assert [r.processed_at.second for r in kept] == [1]
+
+
+def test_retention_opens_no_expired_day(spark, frame, tmp_path):
+    fact = fact_from_events(frame(event(0), event(90_000)), hot=[])
+    write_fact(fact, str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    kept = listings.retained(stored, "2026-02-01 00:00:00")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(processed_date" in plan
+    assert "GreaterThanOrEqual(processed_at," in plan
+    assert [r.event_id for r in kept.collect()] == ["e90000"]
+
+
+def test_totals_are_lazy_and_carry_over_days(spark):
+    rows = [(at(h * 3600), label, 1) for h in range(60) for label in ("a", None)]
+    df = spark.createDataFrame(rows, "minute timestamp, label string, value long")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    total = metrics.cumulative(df, "minute", "label")
+    assert len(tracker.getJobIdsForGroup()) == before
+    for label in ("a", None):
+        values = total.filter(F.col("label").eqNullSafe(label)).orderBy("minute").collect()
+        assert [r.value for r in values] == list(range(1, 61))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trolley.operators import prefix
@@ -68,39 +69,36 @@ def test_peak_is_the_largest_negated_sum(rows):
         assert row.dip == dips.get(row.k)
 
 
-def test_long_key_lists_are_joined(rows, monkeypatch):
-    expected = sorted(per_key(rows, "k", "seq", [1, 3], _step, 50).collect(), key=tuple_key)
-    monkeypatch.setattr(prefix, "LISTED_KEYS", 1)
-    joined = per_key(rows, "k", "seq", [1, 3], _step, 50)
-    assert sorted(joined.select(*_step(rows).columns).collect(), key=tuple_key) == expected
+def test_keys_may_be_a_table(spark, rows):
+    keys = spark.createDataFrame([(1,), (3,)], "k long")
+    cut = per_key(rows, "k", "seq", keys, _step, 50)
+    expected = sorted(_step(rows).collect(), key=tuple_key)
+    assert sorted(cut.select(*_step(rows).columns).collect(), key=tuple_key) == expected
 
 
 def test_split_keeps_rows_without_a_key(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k long")
-    for listed in (0, 10):
-        prefix.LISTED_KEYS, before = listed, prefix.LISTED_KEYS
-        heavy, others = prefix.split_by_keys(df, "k", [1])
-        prefix.LISTED_KEYS = before
-        assert (heavy.count(), others.count()) == (1, 2)
+    heavy, others = prefix.split_by_keys(df, "k", [1])
+    assert (heavy.count(), others.count()) == (1, 2)
 
 
-def test_hot_keys_are_the_largest(rows):
+def test_hot_keys_are_all_of_them(rows):
     sizes = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    assert hot_keys(rows, "k", min_rows=sizes[1]) == [1]
+    assert [r.k for r in hot_keys(rows, "k", min_rows=sizes[1]).collect()] == [1]
+    assert {r.k for r in hot_keys(rows, "k", min_rows=1).collect()} == {1, 2, 3}
     assert hot_keys(rows, "k", min_rows=401) == []
 
 
-def test_hot_key_list_is_bounded(rows, monkeypatch):
-    monkeypatch.setattr(prefix, "MOST_HOT_KEYS", 2)
-    assert len(hot_keys(rows, "k", min_rows=1)) == 2
-
-
 def test_no_task_sees_more_than_a_block(spark):
+    """The sizes of the groups that windows really get."""
     data = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("seq"))
-    blocks = per_key(data, "k", "seq", [1], lambda df: df.withColumn("size", F.lit(0)), 100)
-    assert blocks.count() == 1000
-    seen = data.withColumn(prefix.BLOCK, F.floor(F.col("seq") / 100)).groupBy(prefix.BLOCK).count()
-    assert seen.agg(F.max("count")).first()[0] == 100
+
+    def step(df):
+        by = [c for c in ("k", prefix.BLOCK) if c in df.columns]
+        return df.withColumn("size", F.count("*").over(Window.partitionBy(*by)))
+
+    blocks = per_key(data, "k", "seq", [1], step, 100)
+    assert {r.size for r in blocks.collect()} == {100} and blocks.count() == 1000
 
 
 def test_ordinary_keys_need_one_exchange(rows):

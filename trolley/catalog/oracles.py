@@ -338,6 +338,82 @@ SQL["event_outcomes"] = _upto(
     f"""SELECT seq, user_id, outcome, error, round(lateness, 6) AS lateness_seconds,
   {_number('after_total', 'cart_total_after')} FROM results""",
 )
+# Events taken one by one: a row per user and step, with all the user's state in it.
+_ONE_BY_ONE = f"""
+changed AS (
+  SELECT seq, user_id, event_id, event_type, coalesce(product_id, 0) AS p, ts, arrived_at,
+    CASE WHEN event_type = 'update_quantity' AND seq % 14 = 4 THEN -1
+      WHEN event_type = 'add_to_cart' AND seq % 46 = 10 THEN 70000 ELSE quantity END AS q,
+    seq % 80 IN (8, 48) AS bad_price,
+    CASE WHEN event_type = 'add_to_cart' AND seq % 30 = 14 THEN 45000000.25 ELSE price END AS price,
+    row_number() OVER (PARTITION BY user_id ORDER BY seq) AS k
+  FROM valid),
+step AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS seq, CAST('' AS VARCHAR) AS event_type,
+    CAST(NULL AS VARCHAR) AS outcome, CAST(NULL AS VARCHAR) AS error, {EPOCH} AS wm,
+    CAST(MAP {{}} AS MAP(VARCHAR, TIMESTAMP)) AS marks, CAST(MAP {{}} AS MAP(BIGINT, BIGINT)) AS items,
+    CAST(0 AS DECIMAL(20, 2)) AS total
+  FROM (SELECT DISTINCT user_id FROM changed)
+  UNION ALL
+  SELECT user_id, k, seq, event_type, outcome,
+    CASE outcome WHEN 'late_rejected' THEN 'late_event_beyond_tolerance' WHEN 'sink_range' THEN misfit END,
+    CASE WHEN outcome = 'duplicate' THEN wm ELSE greatest(wm, ts) END,
+    CASE WHEN saved THEN map_concat(marks, MAP([event_id], [arrived_at])) ELSE marks END,
+    CASE WHEN NOT saved THEN items
+      WHEN event_type = 'checkout' THEN CAST(MAP {{}} AS MAP(BIGINT, BIGINT))
+      ELSE map_concat(items, MAP([p], [line])) END,
+    CASE WHEN saved THEN CAST(new_total AS DECIMAL(20, 2)) ELSE total END
+  FROM (
+    SELECT *, outcome IN ('saved', 'saved_late') AS saved FROM (
+      SELECT *,
+        CASE WHEN is_duplicate THEN 'duplicate'
+          WHEN epoch_us(wm) - epoch_us(ts) > 300000000 THEN 'late_rejected'
+          WHEN misfit IS NOT NULL THEN 'sink_range'
+          WHEN ts < wm THEN 'saved_late' ELSE 'saved' END AS outcome
+      FROM (
+        SELECT *,
+          CASE WHEN q NOT BETWEEN 0 AND 65535 THEN 'sink_range: quantity'
+            WHEN bad_price THEN 'sink_range: price'
+            WHEN abs(new_total) > 99999999.99 THEN 'sink_range: cart_total_after' END AS misfit
+        FROM (
+          SELECT *,
+            CASE event_type WHEN 'checkout' THEN 0
+              WHEN 'add_to_cart' THEN total + q * price
+              WHEN 'remove_item' THEN total - (have - line) * price
+              ELSE CASE WHEN have > 0 THEN greatest(0, total + (line - have) * price) ELSE total END
+            END AS new_total
+          FROM (
+            SELECT *,
+              CASE event_type WHEN 'add_to_cart' THEN have + q
+                WHEN 'remove_item' THEN greatest(0, have - q)
+                ELSE CASE WHEN have > 0 THEN greatest(q, 0) ELSE 0 END END AS line
+            FROM (
+              SELECT c.user_id, c.k, c.seq, c.event_type, c.event_id, c.p, c.q, c.price, c.bad_price,
+                c.ts, c.arrived_at, s.wm, s.marks, s.items, s.total,
+                coalesce(s.items[c.p], 0) AS have,
+                coalesce(epoch_us(c.arrived_at) - epoch_us(s.marks[c.event_id]) < 86400000000, false)
+                  AS is_duplicate
+              FROM step s JOIN changed c ON c.user_id = s.user_id AND c.k = s.k + 1)))))))"""
+SQL["sink_range_outcomes"] = _with(
+    "valid",
+    _ONE_BY_ONE,
+    """
+SELECT seq, user_id, outcome, error,
+  CASE WHEN outcome IN ('saved', 'saved_late') THEN CAST(total AS DOUBLE) END AS cart_total_after
+FROM step WHERE k > 0
+UNION ALL
+SELECT seq, user_id, 'invalid', error, NULL FROM checked WHERE error IS NOT NULL""",
+)
+SQL["events_processed_with_misfits"] = _with(
+    "valid",
+    _ONE_BY_ONE,
+    """
+SELECT event_type, CASE outcome WHEN 'sink_range' THEN 'flush_error' ELSE 'success' END AS status,
+  count(*) AS value
+FROM step WHERE outcome IN ('saved', 'saved_late', 'sink_range') GROUP BY ALL
+UNION ALL
+SELECT event_type, 'validation_error', count(*) FROM checked WHERE error IS NOT NULL GROUP BY ALL""",
+)
 _FACT = f"""SELECT event_id, user_id, session_id, event_type, product_id, product_name, quantity,
   {_number('price', 'price')}, "timestamp", processed_at, processing_lag, is_late, hour_of_day,
   day_of_week, {_number('cart_total_before', 'cart_total_before')},

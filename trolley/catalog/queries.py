@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trolley import schemas as S
 from trolley.functions.scalars import content_id
 from trolley.functions.times import (
     seconds_between,
@@ -23,9 +24,15 @@ from trolley.functions.times import (
     whole_second,
 )
 from trolley.operators import cart, dedup, lateness, listings, metrics, rollups
-from trolley.operators.sequential import settle
+from trolley.operators.prefix import Keys
 from trolley.operators.validate import PRODUCER_RULES, valid_events, with_errors
-from trolley.plans.batch import Settings, accepted_events, fact_from_events, outcomes
+from trolley.plans.batch import (
+    Settings,
+    accepted_events,
+    fact_from_events,
+    judged_outcomes,
+    outcomes,
+)
 from trolley.plans.ingest import Tables
 from trolley.session import prepare, shared_dir
 from trolley.sinks import dead_letters
@@ -63,19 +70,19 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events")
 
 
-def _arrivals(spark: SparkSession, folder: str) -> tuple[DataFrame, list]:
+def _arrivals(spark: SparkSession, folder: str) -> tuple[DataFrame, Keys]:
     """Arrivals and the heavy users among them."""
     events = _events(spark, folder)
     hot = hot_users(events)
     return cart_arrivals(events, hot), hot
 
 
-def _valid(spark: SparkSession, folder: str) -> tuple[DataFrame, list]:
+def _valid(spark: SparkSession, folder: str) -> tuple[DataFrame, Keys]:
     arrivals, hot = _arrivals(spark, folder)
     return valid_events(arrivals), hot
 
 
-def _fresh(spark: SparkSession, folder: str) -> tuple[DataFrame, list]:
+def _fresh(spark: SparkSession, folder: str) -> tuple[DataFrame, Keys]:
     """Valid first copies and the heavy users."""
     valid, hot = _valid(spark, folder)
     first = dedup.first_copies(valid, hot).filter("NOT is_duplicate").drop("is_duplicate")
@@ -228,14 +235,14 @@ def content_id_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def duplicates_against_store(spark: SparkSession, folder: str) -> DataFrame:
     """The store knows every third event; a second look at all of them a day later."""
-    valid, hot = _valid(spark, folder)
+    valid, _ = _valid(spark, folder)
     keyed = dedup.with_dedup_key(valid)
     stored = keyed.filter("CAST(event_id AS BIGINT) % 3 = 0")
     marks = dedup.committed_marks(stored.withColumnRenamed("arrived_at", "processed_at"))
     again = keyed.withColumn(
         "arrived_at", F.expr("arrived_at + make_dt_interval(0, 23, 59, 59 + seq % 2)")
     )
-    return dedup.flag_against_marks(again, marks, hot).select("seq", "is_duplicate")
+    return dedup.flag_against_marks(again, marks).select("seq", "is_duplicate")
 
 
 @register
@@ -248,7 +255,8 @@ def duplicates_with_expiry(spark: SparkSession, folder: str) -> DataFrame:
             "timestamp": F.col("arrived_at"),
         }
     )
-    return settle(coarse, hot).select("seq", "user_id", "is_duplicate")
+    decided = judged_outcomes(coarse, Settings(), hot)
+    return decided.select("seq", "user_id", (F.col("outcome") == "duplicate").alias("is_duplicate"))
 
 
 # Lateness
@@ -365,6 +373,34 @@ def event_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _misfits(spark: SparkSession, folder: str) -> DataFrame:
+    """Outcomes of arrivals some of which the fact table cannot hold: by quantity, by price, or by
+    the total they lead to; re-sends of some come with a price that fits."""
+    arrivals, hot = _arrivals(spark, folder)
+    quantity = (
+        f"CASE WHEN event_type = '{S.UPDATE}' AND seq % 14 = 4 THEN -1 "
+        f"WHEN event_type = '{S.ADD}' AND quantity > 0 AND seq % 46 = 10 THEN 70000 ELSE quantity END"
+    )
+    price = (
+        "CASE WHEN seq % 80 = 8 THEN 1e9D WHEN seq % 80 = 48 THEN double('NaN') "
+        f"WHEN event_type = '{S.ADD}' AND seq % 30 = 14 THEN 45000000.25D ELSE price END"
+    )
+    changed = arrivals.withColumns({"quantity": F.expr(quantity), "price": F.expr(price)})
+    return outcomes(changed, Settings(), hot)
+
+
+@register
+def sink_range_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    return _misfits(spark, folder).select(
+        "seq", "user_id", "outcome", "error", F.round("cart_total_after", 2).alias("cart_total_after")
+    )
+
+
+@register
+def events_processed_with_misfits(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics.events_processed(_misfits(spark, folder))
+
+
 # Sinks
 
 

@@ -9,18 +9,23 @@ value at any update is the last constant one before it.
 Totals. The total is the running sum D of value changes, except that an update lifts a negative
 total to zero: T = D + max(0, -min of D over those updates). Checkout starts a new cart.
 
+Money is summed in whole cents, held in doubles: such sums are exact, so it makes no difference in
+which order or in how many blocks they are taken. A price that cannot be stored counts as nothing;
+the job keeps such events from the cart.
+
 All of it is running aggregates, so one exchange by user serves every step and heavy users are cut
 into blocks by ``running``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import with_exprs
 from trolley.operators.prefix import (
     Group,
+    Keys,
     Peak,
     per_key,
     running,
@@ -32,7 +37,7 @@ from trolley.schemas import ADD, CHECKOUT, REMOVE, UPDATE
 
 _OUT, _IN, _SAME = 0, 1, 2
 _WORK = [
-    "_kind", "_product", "_units", "_stretch", "_sum", "_lift", "_start", "_effect", "_decided",
+    "_kind", "_product", "_units", "_cents", "_stretch", "_sum", "_lift", "_start", "_effect", "_decided",
     "_present", "_have", "_quantity", "_delta", "_change", "_change_before", "_floor",
     "_floor_before",
 ]
@@ -87,9 +92,9 @@ def _totals(rows: DataFrame) -> DataFrame:
     rows = with_exprs(
         rows,
         _delta=(
-            f"CASE WHEN _kind = '{ADD}' THEN price * _units "
-            f"WHEN _kind = '{REMOVE}' AND _have > 0 THEN -price * least(_have, _units) "
-            f"WHEN _kind = '{UPDATE}' AND _have > 0 THEN price * (greatest(_units, 0L) - _have) "
+            f"CASE WHEN _kind = '{ADD}' THEN _cents * _units "
+            f"WHEN _kind = '{REMOVE}' AND _have > 0 THEN -_cents * least(_have, _units) "
+            f"WHEN _kind = '{UPDATE}' AND _have > 0 THEN _cents * (greatest(_units, 0L) - _have) "
             "ELSE 0D END"
         ),
     )
@@ -103,7 +108,7 @@ def _totals(rows: DataFrame) -> DataFrame:
         _floor=Peak("_delta", lifts),
         _floor_before=Peak("_delta", lifts, include_row=False),
     )
-    total = "coalesce({0}, 0D) + greatest(coalesce({1}, 0D), 0D)"
+    total = "(coalesce({0}, 0D) + greatest(coalesce({1}, 0D), 0D)) / 100"
     return with_exprs(
         rows,
         cart_total_before=total.format("_change_before", "_floor_before"),
@@ -117,6 +122,7 @@ def _replay(rows: DataFrame, applies: str) -> DataFrame:
         _kind=f"if({applies}, event_type, '')",
         _product="coalesce(product_id, 0L)",
         _units="CAST(quantity AS BIGINT)",
+        _cents="CAST(try_cast(price AS DECIMAL(10,2)) * 100 AS DOUBLE)",
     )
     checkouts = f"CAST(_kind = '{CHECKOUT}' AS BIGINT)"
     updates = f"CAST(_kind = '{UPDATE}' AS BIGINT)"
@@ -140,7 +146,7 @@ def _replay(rows: DataFrame, applies: str) -> DataFrame:
     ).drop(*_WORK)
 
 
-def with_cart(events: DataFrame, hot: list, applies: str = "true") -> DataFrame:
+def with_cart(events: DataFrame, hot: Keys, applies: str = "true") -> DataFrame:
     """Add the cart around each event: totals before and after, line quantity, cart number.
 
     Events for which ``applies`` is false pass through untouched and leave the cart as it is.
@@ -151,8 +157,8 @@ def with_cart(events: DataFrame, hot: list, applies: str = "true") -> DataFrame:
 def cart_snapshot(carts: DataFrame) -> DataFrame:
     """The cart each user has now, from the output of ``with_cart``.
 
-    Lines are reduced per product before they meet their user, so a user's history never gathers;
-    what does is the cart itself.
+    Lines are reduced per product, and lines of carts that were checked out are dropped before
+    anything is gathered: what meets in one row is the user's current cart.
     """
     seen = carts.filter(F.col("cart_total_after").isNotNull())
     done = F.col("event_type") == CHECKOUT
@@ -164,24 +170,20 @@ def cart_snapshot(carts: DataFrame) -> DataFrame:
         F.max(F.when(F.col("cart_changed"), F.col("arrived_at"))).alias("changed_at"),
         F.min("arrived_at").alias("first_at"),
     )
-    users = lines.groupBy("user_id").agg(
+    newest = Window.partitionBy("user_id")
+    current = lines.withColumn("epoch", F.max("epoch").over(newest)).withColumn(
+        "held", F.expr("line.cart_epoch = epoch AND line.line_quantity > 0")
+    )
+    users = current.groupBy("user_id").agg(
         F.max("latest").alias("latest"),
-        F.max("epoch").alias("epoch"),
         F.sum("changes").alias("event_count"),
         F.max("changed_at").alias("changed_at"),
         F.min("first_at").alias("first_at"),
-        F.collect_list(
-            F.when(
-                F.col("line.line_quantity") > 0,
-                F.struct("product_id", "line.line_quantity", "line.cart_epoch"),
-            )
-        ).alias("lines"),
+        F.collect_list(F.when(F.col("held"), F.struct("product_id", "line.line_quantity"))).alias("lines"),
     )
     return users.selectExpr(
         "user_id",
-        "map_from_entries(transform("
-        "  array_sort(filter(lines, l -> l.cart_epoch = epoch)),"
-        "  l -> struct(l.product_id, CAST(l.line_quantity AS INT)))) AS items",
+        "map_from_entries(array_sort(lines)) AS items",
         "latest.cart_total_after AS total_value",
         "coalesce(changed_at, first_at) AS last_updated",
         "event_count",

@@ -1,26 +1,20 @@
 """Duplicates per user and event id.
 
 Copies of one id may be very many, so nothing here gathers them: the first copy is found by a
-pre-aggregated minimum or a running window, and marks reach rows by a join that treats heavy ids
-apart.
+pre-aggregated minimum or a running window, and marks reach rows by an outer join.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import with_exprs
 from trolley.functions.scalars import content_id
 from trolley.functions.times import micros_between
-from trolley.operators.prefix import (
-    HOT_ROWS,
-    MOST_HOT_KEYS,
-    per_key,
-    running,
-    running_last,
-    split_by_keys,
-)
+from trolley.operators.prefix import Keys, per_key, running, running_last
 from trolley.schemas import DEDUP_TTL_HOURS
 
 DEDUP_KEY = "dedup_key"
@@ -45,7 +39,7 @@ def within_ttl(now: Column, processed_at: Column, ttl_hours: float) -> Column:
     return micros_between(now, processed_at) < F.lit(ttl_micros(ttl_hours))
 
 
-def first_copies(events: DataFrame, hot: list, generate_ids: bool = False) -> DataFrame:
+def first_copies(events: DataFrame, hot: Keys, generate_ids: bool = False) -> DataFrame:
     """Flag ``is_duplicate`` on every copy after the first of (user, id), by arrival."""
 
     def step(rows: DataFrame) -> DataFrame:
@@ -65,34 +59,23 @@ def committed_marks(events: DataFrame) -> DataFrame:
 def flag_against_marks(
     events: DataFrame,
     marks: DataFrame,
-    hot: list,
     ttl_hours: float = DEDUP_TTL_HOURS,
-    heavy_rows: int = HOT_ROWS,
+    earliest: datetime | None = None,
 ) -> DataFrame:
     """Flag events whose (user, id) holds a live mark; nothing is marked, so equal new ones agree.
 
-    Only a heavy user can have an id with very many new copies. Such copies are matched without
-    moving them: there are at most 100,000 such ids and ``marks`` has one row per id, so their marks
-    are always small enough to broadcast.
+    ``marks`` may be all of the store's. Those too old to be live when the first event arrived (at
+    ``earliest``, looked up if not given) are left out by a filter that reaches the scan. The join
+    keeps all events, so adaptive execution can split the partitions of an id with very many copies.
     """
+    if earliest is None:
+        earliest = events.agg(F.min("arrived_at")).first()[0]
     keys = ["user_id", DEDUP_KEY]
-    heavy = []
-    if hot:
-        copies, _ = split_by_keys(events, "user_id", hot)
-        sizes = copies.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        largest = sizes.filter(F.col("_rows") >= heavy_rows).orderBy(F.desc("_rows"), *keys)
-        heavy = largest.limit(MOST_HOT_KEYS).select(*keys).collect()
-
-    def match(rows: DataFrame, known: DataFrame) -> DataFrame:
-        joined = rows.join(known.withColumnRenamed("processed_at", "_marked"), keys, "left")
-        live = within_ttl(F.col("arrived_at"), F.col("_marked"), ttl_hours)
-        return joined.withColumn("is_duplicate", F.coalesce(live, F.lit(False))).drop("_marked")
-
-    if not heavy:
-        return match(events, marks)
-    heavy_keys = F.broadcast(
-        events.sparkSession.createDataFrame(heavy, events.select(*keys).schema)
-    )
-    light = match(events.join(heavy_keys, keys, "left_anti"), marks)
-    few_marks = F.broadcast(marks.join(heavy_keys, keys, "left_semi"))
-    return light.unionByName(match(events.join(heavy_keys, keys, "left_semi"), few_marks))
+    if earliest is not None:
+        oldest = F.lit(earliest) - F.expr(f"make_dt_interval(0, 0, 0, {ttl_micros(ttl_hours) / 1e6!r})")
+        marks = marks.filter(F.col("processed_at") > oldest)
+    # A second mark of an id would give its events twice.
+    newest = marks.groupBy(*keys).agg(F.max("processed_at").alias("_marked"))
+    live = within_ttl(F.col("arrived_at"), F.col("_marked"), ttl_hours)
+    joined = events.join(newest, keys, "left")
+    return joined.withColumn("is_duplicate", F.coalesce(live, F.lit(False))).drop("_marked")

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from trolley.functions.columns import text_list, with_exprs
+from trolley.operators.fold import MAX_QUANTITY, MAX_UINT32, SINK_RANGE
 from trolley.schemas import FACT
 
 ACCEPTED = ("saved", "saved_late")
 IS_ACCEPTED = f"outcome IN ({text_list(ACCEPTED)})"
-MAX_QUANTITY = 65_535
-MAX_UINT32 = 4_294_967_295
 MONEY = "decimal(10,2)"
 
 
@@ -22,19 +21,17 @@ def enriched(accepted: DataFrame) -> DataFrame:
         processing_lag="(unix_micros(arrived_at) - unix_micros(timestamp)) / 1e6D",
         hour_of_day="hour(timestamp)",
         day_of_week="weekday(timestamp)",
-        sink_error=sink_range_error(),
     )
 
 
-def sink_range_error() -> str:
-    """Why an event does not fit the fact table, or null."""
+def misfit() -> str:
+    """Why an event by itself does not fit the fact table, or null."""
     cases = [
-        f"WHEN quantity NOT BETWEEN 0 AND {MAX_QUANTITY} THEN 'sink_range: quantity'",
+        f"WHEN quantity NOT BETWEEN 0 AND {MAX_QUANTITY} THEN '{SINK_RANGE}: quantity'",
         f"WHEN coalesce(product_id, 0) NOT BETWEEN 0 AND {MAX_UINT32} "
-        "THEN 'sink_range: product_id'",
+        f"THEN '{SINK_RANGE}: product_id'",
+        f"WHEN try_cast(price AS {MONEY}) IS NULL THEN '{SINK_RANGE}: price'",
     ]
-    for name in ("price", "cart_total_before", "cart_total_after"):
-        cases.append(f"WHEN try_cast({name} AS {MONEY}) IS NULL THEN 'sink_range: {name}'")
     return f"CASE {' '.join(cases)} END"
 
 

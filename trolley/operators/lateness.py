@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.columns import with_exprs
-from trolley.operators.prefix import per_key, running, running_max
+from trolley.operators.prefix import Keys, per_key, running, running_max
 from trolley.schemas import ALLOWED_LATENESS_SECONDS
 
 ACCEPT = "accept"
@@ -55,7 +55,7 @@ def with_watermark(rows: DataFrame, counted: str | None = None) -> DataFrame:
 
 def classify(
     events: DataFrame,
-    hot: list,
+    hot: Keys,
     policy: str = ACCEPT,
     allowed_seconds: float = ALLOWED_LATENESS_SECONDS,
 ) -> DataFrame:

@@ -34,6 +34,15 @@ def retained(
     as_of: datetime | str | Column | None = None,
     days: int = RETENTION_DAYS,
 ) -> DataFrame:
-    """Rows that have not reached their retention age."""
+    """Rows that have not reached their retention age, which counts whole seconds.
+
+    The bound is on the bare column, and on the table's partition column where there is one, so that
+    whole days are never opened.
+    """
     horizon = moment(as_of) - F.make_dt_interval(days=F.lit(days))
-    return fact.filter(whole_second(F.col("processed_at")) > horizon)
+    kept = fact.filter(
+        F.col("processed_at") >= whole_second(horizon) + F.make_dt_interval(secs=F.lit(1))
+    )
+    if "processed_date" in fact.columns:
+        kept = kept.filter(F.col("processed_date") >= F.to_date(horizon))
+    return kept

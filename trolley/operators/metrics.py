@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.functions.times import moment, start_of_five_minutes, start_of_minute
-from trolley.operators.prefix import BLOCK, running, running_sum
 
 # Upper bounds of the latency histogram in seconds; the last bucket is open.
 BUCKETS = [
@@ -20,12 +21,13 @@ LOOK_BACK_MINUTES = 15
 
 def status() -> Column:
     """The status an outcome is counted under; duplicates and rejections have counters of
-    their own."""
+    their own, and what the fact table cannot hold counts as a failed write."""
     error = F.coalesce("error", F.lit(""))
     return (
         F.when(F.col("outcome").isin("saved", "saved_late"), "success")
         .when(error.startswith("validation_error"), "validation_error")
         .when(F.col("outcome") == "invalid", "error")
+        .when(F.col("outcome") == "sink_range", "flush_error")
     )
 
 
@@ -117,13 +119,27 @@ def increase_per_minute(events: DataFrame, ts: str, *labels: str) -> DataFrame:
 def cumulative(increases: DataFrame, ts: str, *labels: str) -> DataFrame:
     """A counter's running total from its increases.
 
-    Days are summed apart and carried forward, so a long series never sits in one task.
+    Days are summed apart and what earlier days add up to is joined to each, so a long series never
+    sits in one task. Nothing runs before the result is asked for.
     """
-    by = [*labels] or ["_all"]
-    series = increases if labels else increases.withColumn("_all", F.lit(0))
-    days = series.withColumn(BLOCK, F.to_date(ts))
-    totals = running(days, by, [ts], total=running_sum("value"))
-    return totals.select(ts, *labels, F.col("total").alias("value"))
+    by = [*labels, "_day"]
+    days = increases.withColumn("_day", F.to_date(ts))
+    sums = days.groupBy(*by).agg(F.sum("value").alias("_moved"))
+    # One row per day and series.
+    earlier = (
+        Window.partitionBy(*labels or [F.lit(0)]).orderBy("_day")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = sums.select(
+        *[F.col(c).alias(f"_{c}") for c in by], F.sum("_moved").over(earlier).alias("_carry")
+    )
+    today = Window.partitionBy(*by).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    total = F.coalesce(F.col("_carry"), F.lit(0)) + F.col("_today")
+    return (
+        days.withColumn("_today", F.sum("value").over(today))
+        .join(carried, same).select(ts, *labels, total.alias("value"))
+    )
 
 
 def consumer_lag(offsets: DataFrame, *by: str) -> DataFrame:

@@ -14,47 +14,43 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.session import shared_dir
+from trolley.session import shared_dir, stored
 
 BLOCK = "_block"
 BLOCK_ROWS = 1 << 20
 HOT_ROWS = 1_000_000
-MOST_HOT_KEYS = 100_000
-# Up to this many keys are written into the plan; more are joined.
-LISTED_KEYS = 1_000
+# Heavy keys: a table of one column, or a plain list; empty if there are none.
+Keys = DataFrame | list | None
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """The keys with at least ``min_rows`` rows, at most 100,000 of them.
-
-    Beyond the 100,000 largest keys none can hold more than a hundred-thousandth of the rows, so
-    the list is bounded without leaving a dangerous key out.
-    """
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> Keys:
+    """The keys with at least ``min_rows`` rows, however many, as a table; ``[]`` without any."""
     sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.filter(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), key)
-    return [row[0] for row in largest.limit(MOST_HOT_KEYS).select(key).collect()]
+    largest = sizes.filter(F.col("_rows") >= min_rows).select(key)
+    return [] if largest.isEmpty() else stored(largest, "heavy")
 
 
-def split_by_keys(df: DataFrame, key: str, keys: list) -> tuple[DataFrame, DataFrame]:
-    """The rows of the (bounded) ``keys``, and all others, without moving any."""
-    if len(keys) <= LISTED_KEYS:
-        chosen = F.coalesce(F.col(key).isin(keys), F.lit(False))
-        return df.filter(chosen), df.filter(~chosen)
-    listed = df.sparkSession.createDataFrame([(k,) for k in keys], df.select(key).schema)
-    listed = F.broadcast(listed)
-    return df.join(listed, key, "left_semi"), df.join(listed, key, "left_anti")
+def split_by_keys(df: DataFrame, key: str, keys: Keys) -> tuple[DataFrame, DataFrame]:
+    """The rows of the heavy ``keys``, and all others.
+
+    Neither side is forced to be broadcast. A key table small enough is, and no row moves; with a
+    larger one the rows of a heavy key are many partitions' work by adaptive skew handling.
+    """
+    if isinstance(keys, list):
+        keys = df.sparkSession.createDataFrame([(k,) for k in keys], df.select(key).schema)
+    return df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
 
 
 def per_key(
     df: DataFrame,
     key: str,
     order: str,
-    hot: list,
+    hot: Keys,
     step: Callable[[DataFrame], DataFrame],
     block_rows: int | None = None,
 ) -> DataFrame:
     """Apply ``step`` to ordinary keys as they are and to hot keys in blocks of ``order``."""
-    if not hot:
+    if hot is None or isinstance(hot, list) and not hot:
         return step(df)
     heavy, others = split_by_keys(df, key, hot)
     width = F.lit(block_rows or BLOCK_ROWS)

@@ -1,10 +1,9 @@
 """Duplicate and lateness decisions as if events were taken one by one.
 
 The two depend on each other: a duplicate does not move the watermark, and only events that were
-kept can make later ones duplicates. ``settle`` guesses the duplicates, derives watermarks and
-marks from the guess with running aggregates, and corrects the guess until it reproduces itself.
-Decisions only look at earlier arrivals, so each pass makes at least one more event per user final
-and the result is the sequential one. Clean re-sends are right at the first guess.
+stored can make later ones duplicates. ``first_pass`` decides all users whose re-sends are clean
+with running aggregates, and flags where that may be wrong; the users it cannot decide go, once,
+through the ordered pass of ``fold.one_by_one``.
 """
 
 from __future__ import annotations
@@ -12,36 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from trolley.functions.columns import with_exprs
-from trolley.operators.dedup import DEDUP_KEY, ttl_micros, with_dedup_key
-from trolley.operators.lateness import ACCEPT, judged, with_watermark
-from trolley.operators.prefix import kept, per_key, running, running_last, running_min
-from trolley.schemas import ALLOWED_LATENESS_SECONDS, DEDUP_TTL_HOURS
+from trolley.operators.dedup import DEDUP_KEY, ttl_micros
+from trolley.operators.lateness import judged, with_watermark
+from trolley.operators.prefix import running, running_last, running_min
 
 COPIES = ["user_id", DEDUP_KEY]
-DECISION = [
-    "watermark_before",
-    "is_late",
-    "lateness_seconds",
-    "action",
-    "watermark_after",
-    "original_timestamp",
-]
 
 
 def first_pass(
     rows: DataFrame, policy: str, allowed_seconds: float, ttl_hours: float
 ) -> DataFrame:
-    """Flag copies of an earlier kept event, and ``irregular`` where that may be wrong.
+    """Flag copies of an earlier stored event, and ``irregular`` where that may be wrong.
 
-    Regular copies repeat the event time of the first and arrive within the TTL. They meet the
-    same or a higher watermark, so the first copy decides for all and none can move the watermark.
+    ``misfit`` says why an event cannot be stored, if so. Regular copies repeat the event time of
+    the first and arrive within the TTL. They meet the same or a higher watermark, so the first
+    copy that fits decides for all and none can move the watermark.
     """
     rows = judged(with_watermark(rows), policy, allowed_seconds)
     rows = running(
         rows,
         COPIES,
         ["seq"],
-        _kept=running_last("CASE WHEN action <> 'rejected' THEN true END", include_row=False),
+        _kept=running_last(
+            "CASE WHEN action <> 'rejected' AND misfit IS NULL THEN true END", include_row=False
+        ),
         _previous=running_last("original_timestamp", include_row=False),
         _first=running_min("arrived_at", include_row=False),
     )
@@ -54,61 +47,3 @@ def first_pass(
             f"OR {age} >= {ttl_micros(ttl_hours)}, false)"
         ),
     ).drop("_kept", "_previous", "_first")
-
-
-def next_pass(
-    rows: DataFrame, policy: str, allowed_seconds: float, ttl_hours: float
-) -> DataFrame:
-    """One correction: ``is_duplicate`` is re-derived, ``irregular`` says whether it changed."""
-    rows = with_exprs(rows, timestamp="original_timestamp").drop(*DECISION)
-    rows = judged(with_watermark(rows, counted="NOT is_duplicate"), policy, allowed_seconds)
-    kept = "NOT is_duplicate AND action <> 'rejected'"
-    rows = running(
-        rows,
-        COPIES,
-        ["seq"],
-        _marked=running_last(f"CASE WHEN {kept} THEN arrived_at END", include_row=False),
-    )
-    age = "(unix_micros(arrived_at) - unix_micros(_marked))"
-    rows = with_exprs(rows, _now=f"coalesce({age} < {ttl_micros(ttl_hours)}, false)")
-    return with_exprs(rows, irregular="_now <> is_duplicate", is_duplicate="_now").drop(
-        "_marked", "_now"
-    )
-
-
-def settle(
-    valid: DataFrame,
-    hot: list,
-    policy: str = ACCEPT,
-    allowed_seconds: float = ALLOWED_LATENESS_SECONDS,
-    ttl_hours: float = DEDUP_TTL_HOURS,
-    generate_ids: bool = False,
-    clean_resends: bool = False,
-) -> DataFrame:
-    """Add ``is_duplicate`` and the lateness columns to valid events.
-
-    ``clean_resends=True`` asserts that copies of an event repeat its event time and arrive within
-    the TTL; the plan is then a single lazy pass. Without the assertion the first pass is kept in
-    the checkpoint folder and only the users it cannot decide go through correcting passes.
-    """
-
-    def per_user(rows: DataFrame, step) -> DataFrame:
-        return per_key(
-            rows, "user_id", "seq", hot,
-            lambda part: step(part, policy, allowed_seconds, ttl_hours),
-        )
-
-    rows = per_user(with_dedup_key(valid, generate_ids), first_pass)
-    if clean_resends:
-        return rows.drop("irregular")
-
-    rows = kept(rows)
-    finished = []
-    undecided = rows.filter("irregular").select("user_id").distinct()
-    while not undecided.isEmpty():
-        finished.append(rows.join(undecided, "user_id", "left_anti"))
-        rows = kept(per_user(rows.join(undecided, "user_id", "left_semi"), next_pass))
-        undecided = rows.filter("irregular").select("user_id").distinct()
-    for part in finished:
-        rows = rows.unionByName(part)
-    return rows.drop("irregular")

@@ -10,23 +10,34 @@ from pyspark.sql import functions as F
 from trolley import schemas as S
 from trolley.functions.columns import with_exprs
 from trolley.operators.cart import with_cart
-from trolley.operators.dedup import DEDUP_KEY
-from trolley.operators.enrich import IS_ACCEPTED, enriched, fact_rows
+from trolley.operators.dedup import DEDUP_KEY, ttl_micros, with_dedup_key
+from trolley.operators.enrich import IS_ACCEPTED, enriched, fact_rows, misfit
+from trolley.operators.fold import (
+    DECISION,
+    DUPLICATE,
+    LATE_ERROR,
+    LATE_REJECTED,
+    MAX_CENTS,
+    SAVED,
+    SAVED_LATE,
+    SINK_RANGE,
+    one_by_one,
+)
 from trolley.operators.lateness import ACCEPT
-from trolley.operators.prefix import hot_keys
-from trolley.operators.sequential import settle
+from trolley.operators.prefix import Keys, hot_keys, per_key
+from trolley.operators.sequential import first_pass
 from trolley.operators.validate import CONSUMER_RULES, valid_events, with_errors
+from trolley.session import stored
 
 INVALID = "invalid"
-DUPLICATE = "duplicate"
-LATE_REJECTED = "late_rejected"
-SAVED = "saved"
-SAVED_LATE = "saved_late"
-LATE_ERROR = "late_event_beyond_tolerance"
 
 
 @dataclass(frozen=True)
 class Settings:
+    """``clean_resends=True`` asserts that copies of an event repeat its event time and arrive
+    within the TTL, and that no cart's total outgrows the fact table; the plan is then a single
+    lazy pass. A total that does outgrow it fails the query."""
+
     policy: str = ACCEPT
     allowed_seconds: float = S.ALLOWED_LATENESS_SECONDS
     ttl_hours: float = S.DEDUP_TTL_HOURS
@@ -55,18 +66,24 @@ OUTCOME_COLUMNS = {
 
 
 def judged_outcomes(
-    valid: DataFrame, settings: Settings = Settings(), hot: list | None = None
+    valid: DataFrame, settings: Settings = Settings(), hot: Keys = None
 ) -> DataFrame:
-    """Outcomes and carts of valid events."""
+    """Outcomes and carts of valid events.
+
+    Without the promise of ``clean_resends`` the first pass is stored, and the users it cannot
+    decide (a re-send that claims another time or comes after the TTL, a cart that outgrows the fact
+    table) go through one ordered pass; all others stay as they are.
+    """
     hot = hot_keys(valid, "user_id") if hot is None else hot
-    rows = settle(
-        valid,
+    keyed = with_exprs(with_dedup_key(valid, settings.generate_ids), misfit=misfit())
+    rows = per_key(
+        keyed,
+        "user_id",
+        "seq",
         hot,
-        settings.policy,
-        settings.allowed_seconds,
-        settings.ttl_hours,
-        settings.generate_ids,
-        settings.clean_resends,
+        lambda part: first_pass(
+            part, settings.policy, settings.allowed_seconds, settings.ttl_hours
+        ),
     )
     # A duplicate is never judged for lateness.
     rows = with_exprs(
@@ -74,6 +91,7 @@ def judged_outcomes(
         outcome=(
             f"CASE WHEN is_duplicate THEN '{DUPLICATE}' "
             f"WHEN action = 'rejected' THEN '{LATE_REJECTED}' "
+            f"WHEN misfit IS NOT NULL THEN '{SINK_RANGE}' "
             f"WHEN is_late THEN '{SAVED_LATE}' ELSE '{SAVED}' END"
         ),
         timestamp="if(is_duplicate, original_timestamp, timestamp)",
@@ -82,10 +100,58 @@ def judged_outcomes(
         action="if(is_duplicate, NULL, action)",
         watermark_after="if(is_duplicate, watermark_before, watermark_after)",
     ).drop("is_duplicate")
-    carts = with_cart(rows, hot, applies=IS_ACCEPTED)
+    rows = with_exprs(
+        with_cart(rows, hot, applies=IS_ACCEPTED),
+        error=(
+            f"CASE WHEN outcome = '{LATE_REJECTED}' THEN '{LATE_ERROR}' "
+            f"WHEN outcome = '{SINK_RANGE}' THEN misfit END"
+        ),
+        _outgrown=f"coalesce(abs(cart_total_after) * 100 > {MAX_CENTS}.5D, false)",
+    ).drop("misfit")
+    if settings.clean_resends:
+        promise = "raise_error('a cart total outgrows the fact table, against clean_resends')"
+        return with_exprs(rows, outcome=f"if(_outgrown, {promise}, outcome)").drop(
+            "_outgrown", "irregular"
+        )
+    rows = stored(rows, "first-pass")
+    undecided = rows.filter("irregular OR _outgrown").select("user_id").distinct()
+    if undecided.isEmpty():
+        return rows.drop("_outgrown", "irregular")
+    own = [*valid.columns, DEDUP_KEY]
+    again = keyed.select(*own).join(undecided, "user_id", "left_semi")
+    decided = rows.join(undecided, "user_id", "left_anti").drop("_outgrown", "irregular")
+    ordered = stored(ordered_outcomes(again, settings).select(*decided.columns), "ordered")
+    return decided.unionByName(ordered)
+
+
+def plain_numbers(keyed: DataFrame) -> DataFrame:
+    """Times as microseconds, so that no time zone is involved on the way through Python."""
+    return with_exprs(
+        keyed, event_us="unix_micros(timestamp)", arrived_us="unix_micros(arrived_at)"
+    ).drop("timestamp", "arrived_at")
+
+
+def with_times(decided: DataFrame) -> DataFrame:
+    """The opposite of ``plain_numbers``, with the decision's times."""
     return with_exprs(
-        carts, error=f"CASE WHEN outcome = '{LATE_REJECTED}' THEN '{LATE_ERROR}' END"
+        decided,
+        arrived_at="timestamp_micros(arrived_us)",
+        timestamp="timestamp_micros(adjusted_us)",
+        original_timestamp="timestamp_micros(event_us)",
+        watermark_before="timestamp_micros(watermark_before_us)",
+        watermark_after="timestamp_micros(watermark_after_us)",
+    ).drop("arrived_us", "event_us", *[n for n in DECISION.names if n.endswith("_us")])
+
+
+def ordered_outcomes(keyed: DataFrame, settings: Settings) -> DataFrame:
+    """Outcomes of events taken one by one."""
+    decided = one_by_one(
+        plain_numbers(keyed),
+        settings.policy,
+        settings.allowed_seconds,
+        ttl_micros(settings.ttl_hours),
     )
+    return with_times(decided)
 
 
 def invalid_outcomes(checked: DataFrame, own: list[str]) -> DataFrame:
@@ -98,7 +164,7 @@ def invalid_outcomes(checked: DataFrame, own: list[str]) -> DataFrame:
 
 
 def outcomes(
-    events: DataFrame, settings: Settings = Settings(), hot: list | None = None
+    events: DataFrame, settings: Settings = Settings(), hot: Keys = None
 ) -> DataFrame:
     """Every arrival with its outcome.
 
@@ -111,14 +177,13 @@ def outcomes(
 
 
 def accepted_events(results: DataFrame) -> DataFrame:
-    """Accepted events, enriched, with ``sink_error`` where one does not fit the fact table."""
+    """Accepted events, enriched; all of them fit the fact table."""
     return enriched(results.filter(IS_ACCEPTED))
 
 
 def fact_from_events(
-    events: DataFrame, settings: Settings = Settings(), hot: list | None = None
+    events: DataFrame, settings: Settings = Settings(), hot: Keys = None
 ) -> DataFrame:
     """Arrivals straight to fact rows; the invalid branch is not planned at all."""
     valid = valid_events(events, settings.rules)
-    accepted = accepted_events(judged_outcomes(valid, settings, hot))
-    return fact_rows(accepted.filter("sink_error IS NULL"))
+    return fact_rows(accepted_events(judged_outcomes(valid, settings, hot)))

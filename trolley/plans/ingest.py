@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trolley.operators.enrich import fact_rows
 from trolley.operators.metrics import samples_of
+from trolley.operators.prefix import Keys
 from trolley.operators.rollups import ROLLUPS
 from trolley.plans.batch import Settings, accepted_events, outcomes
-from trolley.sinks.dead_letters import dead_letters, out_of_range
+from trolley.sinks.dead_letters import dead_letters
 from trolley.sinks.publish import enriched_messages
 from trolley.sinks.tables import write_batch, write_fact
-from trolley.session import shared_dir
+from trolley.session import stored
 
 
 @dataclass(frozen=True)
@@ -52,12 +53,10 @@ def store_results(results: DataFrame, tables: Tables, batch_id: int) -> None:
     failure anywhere is repaired by running the batch again.
     """
     accepted = accepted_events(results)
-    fitting = accepted.filter("sink_error IS NULL")
-    fact = fact_rows(fitting)
+    fact = fact_rows(accepted)
     write_fact(fact, tables.fact, batch_id)
-    failures = dead_letters(results).unionByName(out_of_range(accepted))
-    write_batch(failures, tables.dead_letter, batch_id)
-    write_batch(enriched_messages(fitting), tables.enriched, batch_id)
+    write_batch(dead_letters(results), tables.dead_letter, batch_id)
+    write_batch(enriched_messages(accepted), tables.enriched, batch_id)
     for name, rollup in ROLLUPS.items():
         write_batch(rollup.partial(fact), tables.partials(name), batch_id)
     write_batch(samples_of(results), tables.metrics, batch_id)
@@ -68,11 +67,13 @@ def ingest_batch(
     tables: Tables,
     batch_id: int = 0,
     settings: Settings = Settings(),
-    hot: list | None = None,
+    hot: Keys = None,
 ) -> DataFrame:
     """Process a batch of arrivals and store all of it; returns the outcomes."""
-    shared_dir(events.sparkSession)
-    results = outcomes(events, settings, hot).checkpoint()
+    results = outcomes(events, settings, hot)
+    if settings.clean_resends:
+        # Otherwise what is costly has been stored on the way.
+        results = stored(results, "outcomes")
     store_results(results, tables, batch_id)
     return results
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.times import ISO_MICROS
+from trolley.operators.fold import SINK_RANGE
 from trolley.schemas import EVENT_FIELDS
 
 
@@ -29,7 +30,8 @@ def dead_letter(failed: DataFrame, error: Column, at: str = "arrived_at") -> Dat
 
 
 def dead_letters(results: DataFrame) -> DataFrame:
-    """Dead letters of every outcome that has an error: broken rules and rejected late events."""
+    """Dead letters of every outcome that has an error: broken rules, rejected late events, and
+    events the fact table cannot hold."""
     return dead_letter(results.filter(F.col("error").isNotNull()), F.col("error"))
 
 
@@ -41,9 +43,9 @@ def validation_failures(results: DataFrame) -> DataFrame:
     return dead_letters(results.filter(F.col("error").startswith("validation_error")))
 
 
-def out_of_range(accepted: DataFrame) -> DataFrame:
-    """Accepted events the fact table cannot hold."""
-    return dead_letter(accepted.filter(F.col("sink_error").isNotNull()), F.col("sink_error"))
+def out_of_range(results: DataFrame) -> DataFrame:
+    """Events the fact table cannot hold."""
+    return dead_letters(results.filter(F.col("outcome") == SINK_RANGE))
 
 
 def failed_flush(accepted: DataFrame, reason: str) -> DataFrame:

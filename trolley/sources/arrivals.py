@@ -10,17 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley import schemas as S
-from trolley.operators.prefix import hot_keys, per_key, running, running_last
+from trolley.operators.prefix import Keys, hot_keys, per_key, running, running_last
 
 
 COLUMNS = ["event_id", "user_id", "event_type", "props", "ts"]
 
 
-def hot_users(events: DataFrame) -> list:
+def hot_users(events: DataFrame) -> Keys:
     return hot_keys(events.select("user_id"), "user_id")
 
 
-def with_previous_ts(events: DataFrame, hot: list) -> DataFrame:
+def with_previous_ts(events: DataFrame, hot: Keys) -> DataFrame:
     def step(rows: DataFrame) -> DataFrame:
         return running(
             rows, ["user_id"], ["event_id"], previous_ts=running_last("ts", include_row=False)
@@ -69,7 +69,7 @@ def _as_cart_events(events: DataFrame, shifted: Column) -> DataFrame:
     )
 
 
-def cart_arrivals(events: DataFrame, hot: list) -> DataFrame:
+def cart_arrivals(events: DataFrame, hot: Keys) -> DataFrame:
     """Arrivals in which some events claim a time shortly before their user's previous event."""
     events = with_previous_ts(events.select(*COLUMNS), hot)
     shifted = F.expr(

@@ -11,7 +11,11 @@ from trolley import schemas as S
 # One broker partition's offsets fit below this; the partition number goes above.
 OFFSET_BITS = 48
 CORRUPT = "_corrupt"
+ISO_TIME = (
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+)
 MAX_OFFSETS_PER_TRIGGER = 1_000_000
+MAX_BYTES_PER_TRIGGER = 64 << 20
 
 
 def packed_sequence(partition: Column, offset: Column) -> Column:
@@ -50,18 +54,18 @@ def file_messages(
     schema: T.StructType = S.RAW_MESSAGE,
     fmt: str = "parquet",
     streaming: bool = True,
-    max_files: int = 100,
-    max_bytes: int | None = None,
+    max_files: int | None = None,
+    max_bytes: int = MAX_BYTES_PER_TRIGGER,
 ) -> DataFrame:
     """Messages (or typed arrivals, by ``schema``) landed as files.
 
-    A stream takes at most ``max_files`` files per micro-batch, or files of ``max_bytes`` in all:
-    one of the two bounds what the stateful operator sees of one user at a time.
+    A stream takes files of at most ``max_bytes`` in all per micro-batch, which bounds what the
+    stateful operator sees of one user at a time; or ``max_files`` files, if given.
     """
-    if streaming and max_bytes:
-        reader = spark.readStream.option("maxBytesPerTrigger", max_bytes)
-    elif streaming:
+    if streaming and max_files:
         reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    elif streaming:
+        reader = spark.readStream.option("maxBytesPerTrigger", max_bytes)
     else:
         reader = spark.read
     return reader.format(fmt).schema(schema).load(path)
@@ -89,8 +93,13 @@ def with_defaults(events: DataFrame) -> DataFrame:
 
 
 def coerced_timestamp(text: Column, arrived_at: Column) -> Column:
-    """ISO text to a timestamp; an absent one is the arrival time; unreadable text gives null."""
-    return F.when(text.isNull(), arrived_at).otherwise(text.try_cast("timestamp"))
+    """ISO text to a timestamp; an absent one is the arrival time; unreadable text gives null.
+
+    Only a whole date, with a time or without, is ISO text: the cast alone would take a time of day
+    for one of today, or a year for its first day.
+    """
+    read = F.when(text.rlike(ISO_TIME), text.try_cast("timestamp"))
+    return F.when(text.isNull(), arrived_at).otherwise(read)
 
 
 def typed_events(messages: DataFrame) -> DataFrame:

@@ -4,27 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-import trolley
-from trolley.functions.columns import with_exprs
 from trolley.operators.dedup import with_dedup_key
+from trolley.operators.fold import DECISION
 from trolley.operators.validate import with_errors
 from trolley.plans.batch import (
-    LATE_ERROR,
-    LATE_REJECTED,
     OUTCOME_COLUMNS,
     Settings,
     invalid_outcomes,
+    plain_numbers,
+    with_times,
 )
 from trolley.plans.ingest import Tables, store_results
-from trolley.streaming.processor import DECISION, CartProcessor
-
-# The processor travels with the query, so Python workers need no copy of this package.
-cloudpickle.register_pickle_by_value(trolley)
+from trolley.streaming.processor import CartProcessor
 
 
 def stream_outcomes(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -37,25 +32,14 @@ def stream_outcomes(events: DataFrame, settings: Settings = Settings()) -> DataF
     valid = with_dedup_key(
         checked.filter("error IS NULL").select(*own), settings.generate_ids
     )
-    # The stateful operator works on plain numbers: no time zone is involved on the way.
-    plain = with_exprs(
-        valid, event_us="unix_micros(timestamp)", arrived_us="unix_micros(arrived_at)"
-    ).drop("timestamp", "arrived_at")
+    plain = plain_numbers(valid)
     judged = plain.groupBy("user_id").transformWithState(
         statefulProcessor=CartProcessor(settings, plain.columns),
         outputStructType=T.StructType([*plain.schema.fields, *DECISION.fields]),
         outputMode="Append",
         timeMode="None",
     )
-    judged = with_exprs(
-        judged,
-        arrived_at="timestamp_micros(arrived_us)",
-        timestamp="timestamp_micros(adjusted_us)",
-        original_timestamp="timestamp_micros(event_us)",
-        watermark_before="timestamp_micros(watermark_before_us)",
-        watermark_after="timestamp_micros(watermark_after_us)",
-        error=f"CASE WHEN outcome = '{LATE_REJECTED}' THEN '{LATE_ERROR}' END",
-    ).select(*own, *OUTCOME_COLUMNS)
+    judged = with_times(judged).select(*own, *OUTCOME_COLUMNS)
     return judged.unionByName(invalid_outcomes(checked, own))
 
 

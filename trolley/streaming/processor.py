@@ -10,80 +10,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import Row
-from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from trolley import schemas as S
 from trolley.operators.dedup import ttl_micros
-from trolley.operators.lateness import TOLERATED
-from trolley.plans.batch import DUPLICATE, LATE_REJECTED, SAVED, SAVED_LATE, Settings
+from trolley.operators.fold import DECISION, SAVED, SAVED_LATE, UserFold
+from trolley.plans.batch import Settings
 
 MARKS, WATERMARK, ITEMS, TOTALS = "marks", "watermark", "items", "totals"
 
-# What the processor adds to an event.
-DECISION = T.StructType(
-    [
-        T.StructField("adjusted_us", T.LongType()),
-        T.StructField("outcome", T.StringType()),
-        T.StructField("action", T.StringType()),
-        T.StructField("is_late", T.BooleanType()),
-        T.StructField("lateness_seconds", T.DoubleType()),
-        T.StructField("watermark_before_us", T.LongType()),
-        T.StructField("watermark_after_us", T.LongType()),
-        T.StructField("cart_epoch", T.LongType()),
-        T.StructField("line_quantity", T.LongType()),
-        T.StructField("cart_total_before", T.DoubleType()),
-        T.StructField("cart_total_after", T.DoubleType()),
-        T.StructField("cart_changed", T.BooleanType()),
-    ]
-)
-
-
-def apply_to_cart(
-    kind: str, have: int, units: int, price: float, total: float
-) -> tuple[int, float, bool]:
-    """One event on one product line: the line's quantity, the cart's total, and whether either
-    changed. Only an update keeps the total from falling below zero."""
-    if kind == S.ADD:
-        return have + units, total + price * units, True
-    if kind == S.REMOVE and have:
-        taken = min(have, units)
-        return have - taken, total - price * taken, True
-    if kind == S.UPDATE and have:
-        left = max(units, 0)
-        return left, max(0.0, total + (left - have) * price), True
-    return have, total, False
-
-
-def _move_cart(row: Row, cart: list, lines: dict[int, int]) -> list:
-    """Apply an event to ``lines`` and ``cart`` (total, changes, last change, cart number)."""
-    before, epoch, line = cart[0], cart[3], None
-    if row.event_type == S.CHECKOUT:
-        lines.clear()
-        cart[0], cart[3], changed = 0.0, epoch + 1, True
-    else:
-        product = row.product_id or 0
-        line, cart[0], changed = apply_to_cart(
-            row.event_type, lines.get(product, 0), row.quantity, row.price, before
-        )
-        if line:
-            lines[product] = line
-        else:
-            lines.pop(product, None)
-    if changed:
-        cart[1] += 1
-    if changed or cart[2] is None:
-        cart[2] = row.arrived_us
-    return [epoch, line, before, cart[0], changed]
-
 
 class CartProcessor(StatefulProcessor):
     """``columns`` are the input's: they come out again, followed by the decision."""
 
     def __init__(self, settings: Settings, columns: list[str]) -> None:
         self.ttl_us = ttl_micros(settings.ttl_hours)
+        self.policy = settings.policy
         self.allowed_us = round(settings.allowed_seconds * 1_000_000)
-        self.tolerated = TOLERATED[settings.policy]
         self.result = Row(*columns, *DECISION.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -102,38 +44,45 @@ class CartProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         """Events of one user in one micro-batch, which the source's rate limit bounds.
 
-        The shuffle does not keep arrival order, so it is restored here. State is read before and
-        written after the events of the batch; between the two they work on local copies.
+        The shuffle does not keep arrival order, so it is restored here. The watermark and the cart
+        are read before and written after the events; marks are read once per id of the batch, and
+        written once, after all events.
         """
-        mark = list(self.watermark.get() if self.watermark.exists() else (0, None, 0, 0))
-        cart, lines = None, {}
+        mark = list(self.watermark.get()) if self.watermark.exists() else None
+        fold = UserFold(self.policy, self.allowed_us, mark)
+        stored: dict[int, int] | None = None
         marks: dict[str, int | None] = {}
+        new: set[str] = set()
         for row in sorted(rows, key=lambda r: r.seq):
             if self._is_duplicate(row, marks):
-                yield self.result(*row, *self._duplicate(row, mark[0]))
+                yield self.result(*row, *fold.duplicate(row.event_us))
                 continue
-            before = mark[0]
-            action, lateness, ts = self._judge(row, mark)
-            late = lateness > 0
-            judged = (action, late, lateness / 1e6, before, mark[0])
-            if cart is None:
-                cart = list(self.totals.get() if self.totals.exists() else (0.0, 0, None, 0))
-                lines = {name[0]: value[0] for name, value in self.items.iterator()}
-                stored = dict(lines)
-            if action == "rejected":
-                yield self.result(*row, ts, LATE_REJECTED, *judged, cart[3], *[None] * 4)
-                continue
-            marks[row.dedup_key] = row.arrived_us
-            self.marks.updateValue((row.dedup_key,), (row.arrived_us,))
-            outcome = SAVED_LATE if late else SAVED
-            yield self.result(*row, ts, outcome, *judged, *_move_cart(row, cart, lines))
-        self.watermark.update(tuple(mark))
-        if cart is not None:
-            self._store_cart(cart, lines, stored)
+            if stored is None:
+                stored = self._load_cart(fold)
+            decision = fold.step(
+                row.event_type, row.product_id, row.quantity, row.price, row.event_us, row.arrived_us
+            )
+            if decision[1] in (SAVED, SAVED_LATE):
+                marks[row.dedup_key] = row.arrived_us
+                new.add(row.dedup_key)
+            yield self.result(*row, *decision)
+        self.watermark.update(tuple(fold.mark))
+        for name in new:
+            self.marks.updateValue((name,), (marks[name],))
+        if stored is not None:
+            self._store_cart(fold.cart, fold.lines, stored)
+
+    def _load_cart(self, fold: UserFold) -> dict[int, int]:
+        """Give the fold its cart; the lines as they are stored."""
+        if self.totals.exists():
+            total, *rest = self.totals.get()
+            fold.cart = [float(round(total * 100)), *rest]
+        fold.lines = {name[0]: value[0] for name, value in self.items.iterator()}
+        return dict(fold.lines)
 
     def _store_cart(self, cart: list, lines: dict[int, int], stored: dict[int, int]) -> None:
         if cart[2] is not None:
-            self.totals.update(tuple(cart))
+            self.totals.update((cart[0] / 100, *cart[1:]))
         for product in stored.keys() - lines.keys():
             self.items.removeKey((product,))
         for product, quantity in lines.items():
@@ -154,22 +103,5 @@ class CartProcessor(StatefulProcessor):
         marks[key] = None
         return False
 
-    def _duplicate(self, row: Row, watermark: int) -> list:
-        return [row.event_us, DUPLICATE, None, False, 0.0, watermark, watermark, None,
-                None, None, None, None]
-
-    def _judge(self, row: Row, mark: list) -> tuple[str, int, int]:
-        """The action, the lateness in microseconds and the event's time; moves ``mark``."""
-        lateness = max(0, mark[0] - row.event_us)
-        if not lateness:
-            mark[0], mark[1] = max(mark[0], row.event_us), row.arrived_us
-            return "on_time", 0, row.event_us
-        action = self.tolerated if lateness <= self.allowed_us else "rejected"
-        if action == "adjusted":
-            mark[3] += 1
-            return action, lateness, mark[0]
-        mark[2] += 1
-        return action, lateness, row.event_us
-
     def close(self) -> None:
         pass

@@ -52,7 +52,7 @@ def cart_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
     lines = cart_lines(spark, checkpoint).groupBy("user_id").agg(
         F.map_from_entries(
             F.array_sort(
-                F.collect_list(F.struct("product_id", F.col("quantity").cast("int")))
+                F.collect_list(F.struct("product_id", "quantity"))
             )
         ).alias("items")
     )
@@ -62,7 +62,7 @@ def cart_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
         F.timestamp_micros("value.last_updated_us").alias("last_updated"),
         "value.event_count",
     )
-    no_items = F.expr("CAST(map() AS map<bigint, int>)")
+    no_items = F.expr("CAST(map() AS map<bigint, bigint>)")
     return totals.join(lines, "user_id", "left").select(
         "user_id",
         F.coalesce("items", no_items).alias("items"),
