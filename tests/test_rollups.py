@@ -13,6 +13,8 @@ from trolley.operators.rollups import (
     summed_merge,
 )
 from trolley.plans.batch import fact_from_events
+from trolley.plans.ingest import Tables, compact_partials, partial_of, stored_rollup
+from trolley.sinks.tables import write_batch
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +95,20 @@ def test_active_carts_window_is_strict(fact):
     newest = fact.filter("event_type <> 'checkout'").agg(F.max("timestamp").alias("t"))
     edge = newest.select(F.col("t") + F.expr("INTERVAL 1 HOUR")).first()[0]
     assert active_carts(fact, f"{edge}").count() == 0
+
+
+def test_what_batches_leave_of_minutes_is_a_row_each(spark, fact, tmp_path):
+    tables = Tables(str(tmp_path))
+    for i in range(3):
+        part = fact.filter(F.abs(F.hash("event_id")) % 3 == i)
+        write_batch(partial_of("minute", part), tables.partials("minute"), i)
+        minutes = part.select(F.date_trunc("minute", "timestamp")).distinct().count()
+        stored = spark.read.parquet(f"{tables.partials('minute')}/batch_id={i}")
+        assert stored.count() == minutes
+    whole = sorted(MINUTE.of(fact).collect())
+    assert sorted(stored_rollup(spark, tables, "minute").collect()) == whole
+    compact_partials(spark, tables, "minute", 1)
+    assert {r.batch_id for r in spark.read.parquet(tables.partials("minute")).collect()} == {1, 2}
+    assert sorted(stored_rollup(spark, tables, "minute").collect()) == whole
+    compact_partials(spark, tables, "minute", 2)
+    assert spark.read.parquet(tables.partials("minute")).count() == len(whole)

