@@ -63,9 +63,9 @@ def test_near_duplicates(spark, documents, monkeypatch):
         expected = brute.near(rows)
         assert sum(not r[3] for r in expected) > 3
         assert rows_of(near_dedup(docs)) == sorted(expected, key=repr)
-    # The same with blocks of two in the buckets and one pair a group.
+    # The same with blocks of two in the buckets and of a text or two in the clusters.
     monkeypatch.setattr(near_module, "BUCKET_BLOCK", 2)
-    monkeypatch.setattr(near_module, "PAIRS_TOGETHER", 1)
+    monkeypatch.setattr(near_module, "CLUSTER_BYTES", 2_000)
     assert rows_of(near_dedup(docs)) == sorted(expected, key=repr)
 
 

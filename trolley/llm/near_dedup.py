@@ -7,16 +7,16 @@ of 0.85 all bands miss a pair with probability 6e-11, and the estimate falls ``M
 deviations short with 1e-9. What passes is confirmed on the full sets of shingles.
 
 1. Rows with one set are a class; only classes go on, named by their smallest document.
-2. In every band bucket, classes are paired with the bucket's smallest (a row each, no pair more),
-   estimated, confirmed and joined to components.
-3. In buckets that still hold several components, the pairs across components are estimated, in
-   blocks of at most ``BUCKET_BLOCK`` classes against each other, inside the tasks; a pair is handed
-   on once, by the first bucket that holds it, if its estimate passes. These are confirmed as well.
+2. Inside the task that has a band bucket, signatures are compared until it is known which classes
+   hang together by estimates that pass; a spanning forest of them is handed on. The forests'
+   components are clusters: no link leaves one.
+3. A cluster's texts meet once, and their full sets are intersected by an inverted index inside the
+   task; a spanning forest of the confirmed links is handed on, and its components are the result.
 
-No link is lost by hubs: a pair is left out only when its ends are in one component already.
-
-Sets are built again from texts, which are smaller than their shingles. A pair's texts meet by the
-first of the two, with a salt so that a hub of very many pairs is split over tasks.
+No link is lost: a pair is left out only when its ends are in one component already, or its estimate
+does not pass. What is handed on is linear in the classes, however many pairs a group has. A bucket
+of more than ``BUCKET_BLOCK`` classes, or a cluster of more than ``CLUSTER_BYTES`` of text, is cut
+into blocks, and every two blocks meet in a task of their own.
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with
 nothing. A row without an id is linked with nothing: its component is null and it is kept. Rows of
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.common import components, per_slice, stored
-from trolley.llm.text import SPACED, Texts, as_texts, mix, runs_of, slices, split_words
+from trolley.llm.text import SPACED, Texts, as_texts, mix, ragged, runs_of, slices, split_words
 
 SHINGLE = 5
 HASHES = 128
@@ -43,8 +43,7 @@ BANDS = HASHES // ROWS
 LOW_BITS = 4
 MARGIN = 6.0
 BUCKET_BLOCK = 2_000
-#: Pairs of one document in one group of the confirmation.
-PAIRS_TOGETHER = 256
+CLUSTER_BYTES = 4 << 20
 
 _LANES = HASHES * LOW_BITS // 64
 _random = np.random.default_rng(20240229)
@@ -116,87 +115,39 @@ def _most_differences(threshold: float) -> int:
     return int(HASHES * (1 - agree + MARGIN * spread))
 
 
-def _differences(a: str, b: str) -> str:
-    """SQL for the number of places in which two signatures differ."""
-
-    def lane(k: int) -> str:
-        x = f"({a}[{k}] ^ {b}[{k}])"
-        folded = " | ".join([x, *[f"shiftrightunsigned({x}, {s})" for s in range(1, LOW_BITS)]])
-        return f"bit_count(({folded}) & {int(_NIBBLE)}L)"
-
-    return " + ".join(lane(k) for k in range(_LANES))
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (``a, b``; distinct) whose ``texts`` (``id, text``) are similar on full sets."""
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_TOGETHER).alias("_parts"))
-    salted = pairs.join(many, "a").select(
-        "a", "b", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int").alias("salt")
-    )
-    heads = salted.select("a", "salt").distinct().withColumn("b", F.lit(None).cast("long"))
-    members = salted.join(texts, salted["b"] == texts["id"]).select("a", "salt", "b", "text")
-    heads = heads.join(texts, heads["a"] == texts["id"]).select("a", "salt", "b", "text")
-    rows = heads.unionByName(members).repartition("a", "salt")
-    rows = rows.sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int | None, list[np.ndarray]] = (None, [])
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found: list[tuple[int, int]] = []
-                sets = shingle_sets(as_texts(part.column("text")))
-                firsts, seconds = part.column("a").to_pylist(), part.column("b").to_pylist()
-                for a, b, names in zip(firsts, seconds, sets, strict=True):
-                    if b is None:
-                        # A document of several texts is compared by each.
-                        held = (a, [*held[1], names] if held[0] == a else [names])
-                        continue
-                    for head in held[1] if held[0] == a else []:
-                        both = _common(head, names)
-                        if both and 100 * both >= percent * (len(head) + len(names) - both):
-                            found.append((a, b))
-                            break
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
-                    ["a", "b"],
-                )
-
-    return rows.mapInArrow(compare, "a long, b long")
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    at = np.searchsorted(a, b)
-    at[at == len(a)] = 0
-    return int((a[at] == b).sum()) if len(a) else 0
-
-
-def _across(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs of different components within the groups of consecutive equal ``key, i, j``."""
-
-    def search(rows: pa.Table) -> pa.RecordBatch:
-        ids, parts = rows.column("id").to_numpy(), rows.column("component").to_numpy()
-        side, i = rows.column("part").to_numpy(), rows.column("i").to_numpy()[0]
-        j = rows.column("j").to_numpy()[0]
-        lanes = np.array(rows.column("signature").combine_chunks().values).reshape(-1, _LANES).view(np.uint64)
-        prints = np.frombuffer(b"".join(rows.column("prints").to_pylist()), np.uint32).reshape(-1, BANDS)
-        band = rows.column("band").to_numpy()[0]
-        left = np.flatnonzero(side == i)
-        right = np.flatnonzero(side == j)
-        made = []
-        for k in left.tolist():
-            other = right[ids[right] > ids[k]] if i == j else right
-            other = other[parts[other] != parts[k]]
-            if not len(other):
-                continue
-            x = lanes[other] ^ lanes[k]
-            for s in (1, 2):
-                x |= x >> np.uint64(s)
-            other = other[np.bitwise_count(x & _NIBBLE).sum(axis=1) <= most]
-            # Another, earlier bucket that holds both hands the pair on.
-            other = other[~(prints[other, :band] == prints[k, :band]).any(axis=1)]
-            made.append(np.stack([np.minimum(ids[other], ids[k]), np.maximum(ids[other], ids[k])]))
-        pairs = np.concatenate(made, axis=1) if made else np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+def _forest(
+    left: np.ndarray, right: np.ndarray | None, linked: Callable[[int, np.ndarray], np.ndarray], n: int
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links between ``left`` and ``right`` (within ``left`` if None).
+
+    ``linked(k, others)`` says which of the others are linked with ``k``. Pairs whose ends hang
+    together already are not asked for.
+    """
+    part = np.arange(n)
+    found = []
+    for place, k in enumerate(left.tolist()):
+        others = left[place + 1 :] if right is None else right
+        others = others[part[others] != part[k]]
+        if not len(others):
+            continue
+        others = others[linked(k, others)]
+        for other in others.tolist():
+            if part[other] != part[k]:
+                part[part == part[other]] = part[k]
+                found.append((k, other))
+    return found
+
+
+def _groups(
+    keys: tuple[str, ...], work: Callable[[pa.Table], tuple[np.ndarray, list[tuple[int, int]]]]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Run ``work`` on each group of consecutive rows of equal keys; it gives ids, and edges between
+    places in them."""
+
+    def edges(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ids, found = work(pa.Table.from_batches(batches))
+        ends = ids[np.array(found, np.int64).reshape(-1, 2)]
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -204,21 +155,86 @@ def _across(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
-            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            for low, high in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
-                tag = tuple(keys[:, low].tolist())
+            tags = np.stack([batch.column(c).to_numpy() for c in keys])
+            cuts = np.flatnonzero((tags[:, 1:] != tags[:, :-1]).any(axis=0)) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                tag = tuple(tags[:, low].tolist())
                 if held and tag != now:
-                    yield search(pa.Table.from_batches(held))
+                    yield edges(held)
                     held = []
                 now = tag
                 held.append(batch.slice(low, high - low))
         if held:
-            yield search(pa.Table.from_batches(held))
+            yield edges(held)
 
     return run
 
 
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
+    """The places of the two blocks that meet."""
+    part = rows.column("part").to_numpy()
+    i, j = rows.column("i").to_numpy()[0], rows.column("j").to_numpy()[0]
+    return np.flatnonzero(part == i), None if i == j else np.flatnonzero(part == j)
+
+
+def _estimated(most: int) -> Callable[[pa.Table], tuple[np.ndarray, list[tuple[int, int]]]]:
+    """Classes of a bucket that hang together by signatures with at most ``most`` differences."""
+
+    def work(rows: pa.Table) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        ids = rows.column("id").to_numpy()
+        numbers = rows.column("signature").combine_chunks().flatten().to_numpy()
+        lanes = numbers.reshape(-1, _LANES).view(np.uint64)
+
+        def linked(k: int, others: np.ndarray) -> np.ndarray:
+            x = lanes[others] ^ lanes[k]
+            for s in (1, 2):
+                x |= x >> np.uint64(s)
+            return np.bitwise_count(x & _NIBBLE).sum(axis=1) <= most
+
+        return ids, _forest(*_sides(rows), linked, len(ids))
+
+    return work
+
+
+def _confirmed(percent: int) -> Callable[[pa.Table], tuple[np.ndarray, list[tuple[int, int]]]]:
+    """Classes of a cluster that hang together by their full sets."""
+
+    def work(rows: pa.Table) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        ids = rows.column("id").to_numpy()
+        sets = []
+        for batch in rows.select(["text"]).to_batches():
+            for part in slices(batch, "text"):
+                sets += shingle_sets(as_texts(part.column("text")))
+        sizes = np.array([len(s) for s in sets], np.int64)
+        names = np.concatenate(sets)
+        order = np.argsort(names)
+        ranked = names[order]
+        owner = np.repeat(np.arange(len(sets)), sizes)[order]
+
+        def linked(k: int, others: np.ndarray) -> np.ndarray:
+            low = np.searchsorted(ranked, sets[k], "left")
+            count = np.searchsorted(ranked, sets[k], "right") - low
+            both = np.bincount(owner[ragged(low, count)], minlength=len(sets))[others]
+            return (both > 0) & (100 * both >= percent * (sizes[k] + sizes[others] - both))
+
+        return ids, _forest(*_sides(rows), linked, len(ids))
+
+    return work
+
+
+def _blocks(rows: DataFrame, key: str, parts: F.Column) -> DataFrame:
+    """Deal each group's rows to ``parts`` blocks, and to each two of them that must meet."""
+    return (
+        rows.withColumn("_parts", parts.cast("int"))
+        .withColumn("part", F.expr("pmod(xxhash64(id), _parts)").cast("int"))
+        .withColumn("_other", F.explode(F.expr("sequence(0, _parts - 1)")))
+        .withColumns({"i": F.least("part", "_other"), "j": F.greatest("part", "_other")})
+        .drop("_parts", "_other")
+        .repartition(key, "i", "j")
+        .sortWithinPartitions(key, "i", "j", "id")
+    )
+
+
 def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row of ``docs`` (``doc_id, text``)."""
     features = stored(per_slice(docs.select("doc_id", "text"), _signatures, _FEATURES), "signatures")
@@ -228,56 +244,25 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
         ),
         "classes",
     )
-    most = _most_differences(percent / 100)
-    buckets = classes.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = (
-        buckets.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("n"))
-        .filter("hub < last")
+    buckets = classes.select("id", F.explode("bands").alias("key"))
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    live = buckets.join(shared, "key").join(classes.select("id", "signature"), "id")
+    met = _blocks(live, "key", F.ceil(F.col("n") / BUCKET_BLOCK)).select(
+        "key", "id", "signature", "part", "i", "j"
     )
-    live = stored(buckets.join(shared, "key").select("key", "band", "id", "hub", "n"), "buckets")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    work = _estimated(_most_differences(percent / 100))
+    guessed = met.mapInArrow(_groups(("key", "i", "j"), work), "a long, b long")
+    clusters = stored(components(guessed), "clusters")
 
-    # Every class with the smallest of each of its buckets.
-    signature = classes.select("id", "signature")
-    stars = live.filter("id > hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    stars = (
-        stars.join(signature.alias("x"), F.expr("a = x.id"))
-        .join(signature.alias("y"), F.expr("b = y.id"))
-        .filter(F.expr(_differences("x.signature", "y.signature")) <= most)
-        .select("a", "b")
-        .distinct()
-    )
-    stars = stored(stars, "stars")
-    links = stored(confirmed(stars, _needed(stars, texts), percent), "links")
-    found = stored(components(links), "components")
-
-    # What buckets of several components still hide.
-    placed = live.filter("n > 2").join(found.alias("c"), F.expr("id = c.node"), "left").selectExpr(
-        "key", "band", "id", "n", "coalesce(c.component, id) AS component"
-    )
-    mixed = (
-        placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        .filter("_low < _high").select("key")
-    )
-    parts = F.ceil(F.col("n") / BUCKET_BLOCK).cast("int")
-    sides = (
-        placed.join(mixed, "key")
-        .join(classes.select("id", "signature", "bands"), "id")
-        .withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select(
-            "key", "band", "id", "component", "signature", "part",
-            F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-            # Enough of the bands' names to tell that two classes share one.
-            F.expr("unhex(array_join(transform(bands, b -> lpad(hex(b & 4294967295), 8, '0')), ''))").alias("prints"),
-        )
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
-    )
-    across = sides.mapInArrow(_across(most), "a long, b long").distinct()
-    across = stored(across.join(stars, ["a", "b"], "left_anti"), "across")
-    more = stored(confirmed(across, _needed(across, texts), percent), "more")
-    found = components(links.unionByName(more))
+    # Texts are shuffled once to find those in clusters, which then meet.
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.join(clusters, F.col("id") == F.col("node")).drop("node").distinct()
+    texts = stored(texts, "texts")
+    sizes = texts.groupBy("component").agg(F.sum(F.octet_length("text")).alias("_bytes"))
+    met = _blocks(texts.join(sizes, "component"), "component", F.ceil((F.col("_bytes") + 1) / CLUSTER_BYTES))
+    met = met.select("component", "id", "text", "part", "i", "j")
+    links = met.mapInArrow(_groups(("component", "i", "j"), _confirmed(percent)), "a long, b long")
+    found = components(links)
 
     placed = classes.join(found, F.col("id") == F.col("node"), "left").select(
         F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.coalesce("component", "id").alias("_component")
@@ -287,9 +272,3 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
         .selectExpr("doc_id", "n_shingles", "coalesce(_component, doc_id) AS component_id")
         .withColumn("kept", F.expr("doc_id <=> component_id"))
     )
-
-
-def _needed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The texts that pairs ask for, stored: they are read for either end."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    return stored(texts.join(ids, "id", "left_semi"), "texts")
