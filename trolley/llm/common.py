@@ -11,7 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trolley.llm.text import slices
-from trolley.session import shared_dir
+from trolley.session import prepare, shared_dir
+
+
+#: Rows of texts that go to Python at a time: with Spark's own 10,000, what both sides of the pipe
+#: hold is tens of megabytes a task and grows with the documents.
+ROWS_PER_BATCH = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings the operators rely on; smaller batches are left as they are."""
+    prepare(spark)
+    if not 0 < int(spark.conf.get(_BATCH)) <= ROWS_PER_BATCH:
+        spark.conf.set(_BATCH, str(ROWS_PER_BATCH))
+    return spark
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trolley.llm import oracles
-from trolley.llm.common import table
+from trolley.llm.common import prepared, table
 from trolley.llm.decontamination import decontaminate
 from trolley.llm.licenses import scan_licences
 from trolley.llm.near_dedup import near_dedup
@@ -18,14 +18,13 @@ from trolley.llm.token_counts import section_token_counts
 from trolley.llm.substring_dedup import substring_dedup
 from trolley.llm.toxicity import score_toxicity
 from trolley.llm.warc import round_trip
-from trolley.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = oracles.SQL
 
 
 def register(function: Callable[[SparkSession, str], DataFrame]) -> Callable:
-    QUERIES[function.__name__] = lambda spark, folder: function(prepare(spark), folder)
+    QUERIES[function.__name__] = lambda spark, folder: function(prepared(spark), folder)
     return function
 
 
