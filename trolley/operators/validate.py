@@ -15,6 +15,7 @@ NUMBER_RULES = ("user_id", "quantity", "price")
 
 _ALLOWED = text_list(S.EVENT_TYPES)
 _LISTED = ", ".join(sorted(S.EVENT_TYPES))
+# The error texts are part of the contract.
 RULES = {
     "event_id": ("coalesce(event_id, '') = ''", "'event_id cannot be empty'"),
     "user_id": ("user_id <= 0", "concat('Invalid user_id: ', user_id)"),

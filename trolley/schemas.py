@@ -71,6 +71,7 @@ RAW_MESSAGE = T.StructType(
     ]
 )
 
+# The columns of the fact table.
 FACT = T.StructType(
     [
         T.StructField("event_id", T.StringType()),

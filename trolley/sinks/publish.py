@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trolley.functions.times import ISO_MICROS
 from trolley.schemas import EVENT_FIELDS
 
+# The fields of an enriched message.
 ENRICHED_FIELDS = [
     *EVENT_FIELDS,
     "processing_lag",
