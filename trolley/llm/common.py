@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trolley.llm.text import slices
-from trolley.session import prepare, shared_dir
+from trolley.session import prepare, shared_dir, stored
 
 
+#: Partitions the edges of one node are dealt over, besides what adaptive execution splits.
+SALTS = 8
 #: Rows of texts that go to Python at a time: with Spark's own 10,000, what both sides of the pipe
 #: hold is tens of megabytes a task and grows with the documents.
 ROWS_PER_BATCH = 1_000
@@ -52,14 +54,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, and lineage ends there."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def carrying(df: DataFrame, carried: list[str], made: str) -> T.StructType:
     """The ``carried`` columns of ``df`` (as they are, whatever their names) and the ``made`` ones."""
     return T.StructType([*[df.schema[c] for c in carried], *T.StructType.fromDDL(made)])
@@ -70,7 +64,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large stars (every node's larger neighbours point to its smallest) and small stars
     (its smaller neighbours and itself do) until nothing changes. Stars of hub nodes are built by
-    joins, never in one task's memory. Nodes without an edge are not listed.
+    joins, salted, so that a hub is several tasks' work and in no task's memory. Nodes without an edge are not listed.
     """
     def keep(df: DataFrame) -> tuple[DataFrame, tuple]:
         kept = stored(df.distinct(), "edges")
@@ -82,7 +76,10 @@ def components(edges: DataFrame) -> DataFrame:
         # pairs: a is the centre
         smallest = pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         side = F.col("b") > F.col("a") if larger else F.col("b") <= F.col("a")
-        moved = pairs.filter(side).join(smallest, "a").select(
+        # A hub's neighbours are dealt over several partitions, which its smallest visits.
+        salted = pairs.filter(side).withColumn("salt", F.pmod(F.hash("b"), F.lit(SALTS)))
+        spread = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        moved = salted.join(spread, ["a", "salt"]).select(
             F.col("b").alias("a"), F.col("m").alias("b")
         )
         if not larger:

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import carrying, per_slice, stored
+from trolley.llm.common import carrying, per_slice
 from trolley.llm.text import ALNUM, Words, as_texts, ragged, runs_of, split_words
+from trolley.session import stored
 
 WINDOW = 10
 #: Words in a shift block.

@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import components, per_slice, stored
+from trolley.llm.common import components, per_slice
 from trolley.llm.text import SPACED, Texts, as_texts, mix, ragged, runs_of, slices, split_words
+from trolley.session import stored
 
 SHINGLE = 5
 HASHES = 128

@@ -30,7 +30,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import new_folder, stored
+from trolley.llm.common import new_folder
+from trolley.session import stored
 
 #: Uncompressed bytes after which a new archive begins.
 ARCHIVE_BYTES = 32 << 20
