@@ -93,6 +93,21 @@ def test_perplexity_rejects_noise_and_keeps_prose(spark):
     assert sum(r.kept for r in passed) >= 0.97 * len(passed)
 
 
+def test_a_language_of_copies_keeps_its_documents(spark, documents):
+    """Copies make up nine tenths of a language; neither they nor the others are cut for it."""
+    rows = [(r.doc_id, r.text, "en") for r in documents.filter("lang = 'en'").collect()]
+    alone = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    text = next(t for d, t, _ in rows if alone[d])
+    rows += [(10_000_000 + i, text, "en") for i in range(9 * len(rows))]
+    random.Random(4).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    assert quality_rules.distinct_texts(docs).count() == len({t for _, t, _ in rows})
+    found = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert {d: r.kept for d, r in found.items() if d < 10_000_000} == alone
+    copies = [r for d, r in found.items() if d >= 10_000_000]
+    assert all(r.kept for r in copies) and len({r.log_perplexity for r in copies}) == 1
+
+
 def test_decontamination(spark, documents, odd):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     items = [(r.item_id, r.text) for r in benchmark.collect()]
