@@ -205,6 +205,103 @@ def test_licences(spark):
     }
 
 
+_GNU = """    This {0} is free software{1} you can redistribute it and/or modify
+    it under the terms of the GNU {2}General Public License as published by
+    the Free Software Foundation{3} either version {4} of the License, or
+    (at your option) any later version.
+
+    This {0} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU {2}General Public License for more details.
+"""
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL ...
+"""
+_BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+"""
+#: Standard notices, verbatim, with the licence of each.
+NOTICES = [
+    (_APACHE, "Apache-2.0"),
+    (
+        _APACHE + """You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions.""",
+        "Apache-2.0",
+    ),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("#!/bin/sh\n# SPDX-License-Identifier: Apache-2.0\necho a", "Apache-2.0"),
+    (_MIT, "MIT"),
+    ("Released under the MIT License.", "MIT"),
+    ("Licensed under the MIT License.", "MIT"),
+    ("// SPDX-License-Identifier: MIT\nint a;\n", "MIT"),
+    ("/* SPDX-License-Identifier: GPL-3.0-or-later */\nint a;\n", "GPL-3.0"),
+    (
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+        "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+        "ISC",
+    ),
+    (_BSD, "BSD-2-Clause"),
+    (
+        _BSD + "\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse "
+        "or promote products derived from\n   this software without specific prior written permission.\n",
+        "BSD-3-Clause",
+    ),
+    (_GNU.format("program", ":", "", ",", "3"), "GPL-3.0"),
+    (_GNU.format("program", ";", "", ";", "3"), "GPL-3.0"),
+    (_GNU.format("program", ";", "", ";", "2"), "GPL-2.0"),
+    (_GNU.format("library", ";", "Lesser ", ";", "2.1"), "LGPL-2.1"),
+    (_GNU.format("program", ":", "Lesser ", ",", "3"), "LGPL-3.0"),
+    (_GNU.format("program", ":", "Affero ", ",", "3"), "AGPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    (
+        "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL "
+        "was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */",
+        "MPL-2.0",
+    ),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+    ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("Licensed under CC0 1.0.", "CC0-1.0"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    # Pieces that do not stand side by side, or stand alone, are nothing.
+    ("SPDX-License-Identifier: BSD-3-Clause\nMIT\n", ""),
+    ("MIT. Apache-2.0; 2.0", ""),
+]
+
+
+def test_standard_notices(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NOTICES)], "doc_id long, text string")
+    found = {r.doc_id: r.licences for r in licenses.scan_licences(docs).collect()}
+    assert [(t, found[i]) for i, (t, _) in enumerate(NOTICES)] == NOTICES
+    assert {name for _, name in NOTICES} >= {name for name, _ in licenses.RULES + licenses.FORM_RULES}
+
+
 def test_maximal_segments_are_the_definitions():
     """A segment is maximal if no other that overlaps it scores higher; found by brute force."""
     rng = random.Random(2)

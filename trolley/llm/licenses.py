@@ -7,6 +7,10 @@ line, so a licence line under other text is found, and so is a sentence wrapped
 is a licence with the sentences that must follow each other, others in between allowed. Where a
 longer rule of a family holds, the shorter ones it contains are not reported.
 
+Standard sentences with such a mark inside (``FORMS``) are known by their pieces, which must stand
+side by side with nothing in between; each counts as one licence sentence. The SQL the query is
+compared with has ``SENTENCES`` and ``RULES`` only and finds none of these.
+
 All of it is built-in functions on one row at a time: nothing is shuffled and no Python runs.
 
 Defined results: a null or empty text has no sentences. Repeated rows and null ids each give their
@@ -87,6 +91,39 @@ RULES = [
     ("CC0-1.0", ["cc-zero"]),
     ("Unlicense", ["unlicense"]),
 ]
+_LICENSE = "you can redistribute it and or modify it under the terms of the gnu {}general public license as published by the free software foundation"
+_HOPE = "this {} is distributed in the hope that it will be useful but without any warranty"
+_IMPLIED = "without even the implied warranty of merchantability or fitness for a particular purpose"
+_LATER = "either version {} of the license or at your option any later version"
+
+# Pairs of an identifier and the pieces, normalised, that ENDS leaves of a standard sentence.
+FORMS = [
+    ("spdx-mit", ["spdx license identifier", "mit"]),
+    ("spdx-apache", ["spdx license identifier", "apache 2 0"]),
+    ("spdx-gpl-3", ["spdx license identifier", "gpl 3 0 or later"]),
+    ("mpl-form", ["this source code form is subject to the terms of the mozilla public license v", "2 0"]),
+    ("gpl-hope", [_HOPE.format("program"), _IMPLIED]),
+    ("lgpl-hope", [_HOPE.format("library"), _IMPLIED]),
+    ("gpl-grant-2", [_LICENSE.format(""), _LATER.format("2")]),
+    ("gpl-grant-2", [f"{_LICENSE.format('')} {_LATER.format('2')}"]),
+    ("gpl-grant-3", [_LICENSE.format(""), _LATER.format("3")]),
+    ("lgpl-grant-2-1", [_LICENSE.format("lesser "), _LATER.format("2 1")]),
+    ("lgpl-grant-2-1", [f"{_LICENSE.format('lesser ')} {_LATER.format('2 1')}"]),
+    ("lgpl-grant-3", [_LICENSE.format("lesser "), _LATER.format("3")]),
+    ("lgpl-grant-3", [f"{_LICENSE.format('lesser ')} {_LATER.format('3')}"]),
+    ("agpl-grant-3", [_LICENSE.format("affero "), _LATER.format("3")]),
+    ("agpl-grant-3", [f"{_LICENSE.format('affero ')} {_LATER.format('3')}"]),
+]
+
+# Rules over FORMS, as RULES.
+FORM_RULES = [
+    ("GPL-2.0", ["gpl-grant-2", "gpl-hope"]),
+    ("LGPL-2.1", ["lgpl-grant-2-1", "lgpl-hope"]),
+    ("LGPL-2.1", ["lgpl-grant-2-1", "gpl-hope"]),
+    ("LGPL-3.0", ["lgpl-grant-3", "lgpl-hope"]),
+    ("LGPL-3.0", ["lgpl-grant-3", "gpl-hope"]),
+    ("AGPL-3.0", ["agpl-grant-3", "gpl-hope"]),
+]
 #: A licence that is not reported where another, whose rules contain its own, is.
 CONTAINED = {"BSD-2-Clause": "BSD-3-Clause"}
 
@@ -105,7 +142,10 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     ``sequence`` are the identifiers found, in order, between blanks; ``licences`` the licences
     whose rules hold, sorted, between commas.
     """
-    known = ", ".join(f"{quoted(s)}, {quoted(i)}" for i, s in SENTENCES.items())
+    # Pieces have the names ~0, ~1, ...; what is known as a whole has its identifier.
+    pieces = {p: f"~{k}" for k, p in enumerate(dict.fromkeys(p for _, form in FORMS for p in form))}
+    names_of = pieces | {s: i for i, s in SENTENCES.items()}
+    known = ", ".join(f"{quoted(s)}, {quoted(i)}" for s, i in names_of.items())
 
     def identifier(sentence: str) -> str:
         folded = f"translate({sentence}, '{UPPER}', '{LOWER}')"
@@ -124,12 +164,26 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     looked_up = looked_up.selectExpr(
         "doc_id",
         "CAST(size(found) AS BIGINT) AS n_sentences",
-        # A sentence that is not known as a whole: its lines.
-        "filter(flatten(transform(found, f -> CASE WHEN f.i IS NOT NULL OR instr(f.c, '\\n') = 0 THEN array(f.i) "
-        f"ELSE transform(split(f.c, '\\n'), c -> {identifier('c')}) END)), i -> i IS NOT NULL) AS ids",
+        # A sentence that is not known as a whole: its lines. What is not known is a dash.
+        "transform(flatten(transform(found, f -> CASE WHEN f.i IS NOT NULL OR instr(f.c, '\\n') = 0 THEN array(f.i) "
+        "ELSE transform(filter(split(f.c, '\\n'), c -> c RLIKE '[A-Za-z0-9]'), "
+        f"c -> {identifier('c')}) END)), i -> coalesce(i, '-')) AS units",
+    )
+    # Pieces side by side become their sentence; what is left of pieces is nothing.
+    joined = "concat('<', array_join(units, '><'), '>')"
+    for name, form in sorted(FORMS, key=lambda f: -len(f[1])):
+        parts = "".join(f"<{names_of[p]}>" for p in form)
+        joined = f"replace({joined}, {quoted(parts)}, {quoted(f'<{name}>')})"
+    looked_up = looked_up.selectExpr(
+        "doc_id",
+        "n_sentences",
+        "CASE WHEN exists(units, u -> startswith(u, '~')) THEN "
+        f"filter(split(substr({joined}, 2, length({joined}) - 2), '><'), u -> NOT u RLIKE '^[~-]') "
+        "ELSE filter(units, u -> u <> '-') END AS ids",
     )
-    names = sorted({name for name, _ in RULES})
-    tests = {n: " OR ".join(holds(r) for name, r in RULES if name == n) for n in names}
+    rules = RULES + FORM_RULES
+    names = sorted({name for name, _ in rules})
+    tests = {n: " OR ".join(holds(r) for name, r in rules if name == n) for n in names}
     for small, large in CONTAINED.items():
         tests[small] = f"({tests[small]}) AND NOT ({tests[large]})"
     found = ", ".join(f"CASE WHEN {tests[n]} THEN {quoted(n)} END" for n in names)
