@@ -38,6 +38,24 @@ def test_substrings(spark, documents, odd, monkeypatch):
     assert plan.count("Scan ExistingRDD") >= 1
 
 
+def test_substrings_of_rows_without_ids_and_of_one_id(spark, monkeypatch):
+    """They are dealt over all blocks, and neither lose bytes to their like nor keep others' from going."""
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, 30)) for i in range(60)]
+    rows += [(None, rows[i % 60][1] + sentence(rng, 3)) for i in range(120)]
+    rows += [(70, rows[i][1][20:] + rows[0][1]) for i in range(60)]
+    rows += [(None, None)] * 60 + [(80, rows[5][1])] * 60
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).localCheckpoint()
+    held = cut_module._dealt(docs, ["doc_id"], 8).groupBy("id", "block").count().collect()
+    for i in (None, 70, 80):
+        sizes = [r["count"] for r in held if r.id == i]
+        assert len(sizes) == 8 and max(sizes) < sum(sizes) / 3
+    monkeypatch.setattr(cut_module, "BLOCK_BYTES", 2_000)
+    cut = substring_dedup(docs)
+    assert rows_of(cut) == sorted(brute.without_substrings(rows), key=repr)
+
+
 def near_rows():
     rng = random.Random(7)
     rows = []

@@ -13,7 +13,8 @@ bytes, which is ranked by the pair (16-byte name, name of the whole segment):
    50 bytes, string by string.
 3. The decisions return to the blocks, which mark the bytes.
 
-Documents are dealt to blocks by id. A block sends each distinct pair once, with its smallest
+Rows are dealt to blocks one by one, so neither rows without an id nor those of one id gather in one;
+documents are compared by id, wherever their rows are. A block sends each distinct pair once, with its smallest
 document, so a passage in a third of all documents is a row per block wherever it is counted.
 
 Deviation from textbook prefix doubling, and why: sorting every byte position at every offset moves
@@ -320,6 +321,16 @@ def _removed(held: _Block, answers: pa.Table) -> Iterator[tuple[pa.RecordBatch,
 _BIT = np.arange(REACH, dtype=np.uint64)
 
 
+def _dealt(docs: DataFrame, carried: list[str], count: int) -> DataFrame:
+    """``block, id, text, row`` of each row, in ``count`` partitions by block."""
+    number = F.col("doc_id").cast("long").alias("id")
+    # A row's place in its partition: the same whenever the table is read again.
+    place = F.xxhash64(F.monotonically_increasing_id(), F.lit(7))
+    block = F.pmod(place, F.lit(count)).cast("int").alias("block")
+    row = F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")
+    return docs.select(block, number, F.col("text").alias("text"), row).repartition(count, "block")
+
+
 def cut_substrings(docs: DataFrame, carried: list[str], with_text: bool = False) -> DataFrame:
     """``carried`` (as a struct ``row``), ``n_bytes, n_removed, n_spans, kept_sha256`` per row, and
     with ``with_text`` what is left as ``kept_text`` (a character that lost bytes goes as a whole).
@@ -328,10 +339,7 @@ def cut_substrings(docs: DataFrame, carried: list[str], with_text: bool = False)
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(8, -(-size // BLOCK_BYTES))
-    number = F.col("doc_id").cast("long").alias("id")
-    block = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(count)).cast("int").alias("block")
-    row = F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row")
-    blocks = docs.select(block, number, F.col("text").alias("text"), row).repartition(count, "block")
+    blocks = _dealt(docs, carried, count)
 
     def bucket_of(held: _Block, chosen: np.ndarray) -> np.ndarray:
         return (held.buckets[chosen] % np.uint64(count)).astype(np.int64)
