@@ -96,6 +96,19 @@ def test_near_duplicates_of_odd_rows(odd):
     assert found[10] == {(10, True)} and found[11] == {(10, False)}
 
 
+def test_near_duplicates_of_one_id_with_several_texts(spark):
+    rng = random.Random(9)
+    a, b, c = (sentence(rng, 120) for _ in range(3))
+    near_b = b.rsplit(" ", 1)[0] + " zzz"
+    rows = [(5, a), (5, b), (5, ""), (3, a), (7, near_b), (8, c), (8, " "), (9, c), (10, sentence(rng, 120))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup(docs).collect())
+    assert found == [
+        (3, 3, True), (5, 3, False), (5, 3, False), (5, 3, False), (7, 3, False),
+        (8, 8, True), (8, 8, True), (9, 8, False), (10, 10, True),
+    ]
+
+
 def test_estimates_correct_for_chance():
     rng = np.random.default_rng(4)
     shared, own = rng.integers(0, 2**63, 900, np.uint64), rng.integers(0, 2**63, (2, 50), np.uint64)

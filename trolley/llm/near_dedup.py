@@ -263,13 +263,23 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     met = _blocks(texts.join(sizes, "component"), "component", F.ceil((F.col("_bytes") + 1) / CLUSTER_BYTES))
     met = met.select("component", "id", "text", "part", "i", "j")
     links = met.mapInArrow(_groups(("component", "i", "j"), _confirmed(percent)), "a long, b long")
-    found = components(links)
+    # Classes of one document hang together.
+    sets = F.struct("h1", "h2")
+    mixed = features.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_mixed"))
+    mixed = mixed.agg(F.min(sets).alias("_a"), F.max(sets).alias("_b")).filter("_a < _b").select("_mixed")
+    mixed = stored(mixed, "mixed")
+    theirs = features.filter("n_shingles > 0").join(mixed, F.col("doc_id") == F.col("_mixed"))
+    theirs = theirs.select("doc_id", "h1", "h2").join(classes.select("h1", "h2", "id"), ["h1", "h2"])
+    found = components(links.union(theirs.select("doc_id", "id").distinct()))
 
     placed = classes.join(found, F.col("id") == F.col("node"), "left").select(
         F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.coalesce("component", "id").alias("_component")
     )
+    # Their rows without a word are where the document is.
+    own = mixed.join(found, F.col("_mixed") == F.col("node")).select("_mixed", F.col("component").alias("_own"))
     return (
         features.join(placed, F.expr("h1 = _h1 AND h2 = _h2 AND doc_id IS NOT NULL AND n_shingles > 0"), "left")
-        .selectExpr("doc_id", "n_shingles", "coalesce(_component, doc_id) AS component_id")
+        .join(own, F.expr("doc_id = _mixed AND n_shingles = 0"), "left")
+        .selectExpr("doc_id", "n_shingles", "coalesce(_component, _own, doc_id) AS component_id")
         .withColumn("kept", F.expr("doc_id <=> component_id"))
     )
