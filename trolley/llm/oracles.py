@@ -71,6 +71,38 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes,
 FROM p JOIN w USING (h)
 """
 
+SQL["op12_source_divergence"] = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs
+  FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM t GROUP BY lang, term HAVING sum(docs) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, k.term, coalesce(t.n, 0) AS n, k.n AS lang_n, sum(coalesce(t.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+p AS MATERIALIZED (
+  SELECT c.lang, source, term, n,
+         CAST(1 + (1000000000 * (CAST(n AS HUGEINT) + 5)) // CAST(c.total + 5 * v AS HUGEINT) AS BIGINT) AS p,
+         CAST(1 + (1000000000 * (CAST(lang_n AS HUGEINT) + 5)) // CAST(v.total + 5 * v AS HUGEINT) AS BIGINT) AS q
+  FROM c JOIN v ON v.lang = c.lang),
+s AS (
+  SELECT x.lang, x.source, y.source AS item, CAST(sum(abs(x.p - y.p)) AS BIGINT) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def _licences() -> str:
     """Sentences and rules as tables; a rule holds if each of its sentences is found after the one

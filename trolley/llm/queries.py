@@ -14,7 +14,10 @@ from trolley.llm.near_dedup import near_dedup
 from trolley.llm.packing import pack
 from trolley.llm.quality_classifier import classify
 from trolley.llm.quality_rules import quality_rules
+from trolley.llm.token_alignment import align
 from trolley.llm.token_counts import section_token_counts
+from trolley.llm.simhash_dedup import simhash_dedup
+from trolley.llm.source_divergence import source_divergence
 from trolley.llm.substring_dedup import substring_dedup
 from trolley.llm.toxicity import score_toxicity
 from trolley.llm.warc import round_trip
@@ -78,3 +81,18 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op10_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup(table(spark, folder, "documents"))
+
+
+@register
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align(table(spark, folder, "documents"))
+
+
+@register
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(table(spark, folder, "documents"))
+
+
+@register
+def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_dedup(table(spark, folder, "documents"))
