@@ -338,6 +338,7 @@ SQL["event_outcomes"] = _upto(
     f"""SELECT seq, user_id, outcome, error, round(lateness, 6) AS lateness_seconds,
   {_number('after_total', 'cart_total_after')} FROM results""",
 )
+SQL["handed_over_outcomes"] = SQL["event_outcomes"]
 # Events taken one by one: a row per user and step, with all the user's state in it.
 _ONE_BY_ONE = f"""
 changed AS (

@@ -33,9 +33,11 @@ from trolley.plans.batch import (
     judged_outcomes,
     outcomes,
 )
+from trolley.plans.handover import stream_state
 from trolley.plans.ingest import Tables
-from trolley.session import prepare, shared_dir
+from trolley.session import prepare, shared_dir, stored
 from trolley.sinks import dead_letters
+from trolley.sinks.tables import write_batch
 from trolley.sources.arrivals import cart_arrivals, hot_users, shifted_arrivals
 from trolley.sources.messages import file_messages, typed_events
 from trolley.sources.replay import replay_events
@@ -448,6 +450,37 @@ def streamed_fact_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _money(spark.read.parquet(tables.fact).drop("processed_date", "batch_id"))
 
 
+@register
+def handed_over_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """The first half of the arrivals as a batch, the second as a stream that begins with its state."""
+    arrivals, hot = _arrivals(spark, folder)
+    arrivals = stored(arrivals, "arrivals")
+    middle = arrivals.agg(F.expr("(min(seq) + max(seq)) DIV 2")).first()[0]
+    settings = Settings()
+    first = stored(outcomes(arrivals.filter(F.col("seq") <= middle), settings, hot), "first-half")
+    run = f"{shared_dir(spark)}/handed-over-{uuid.uuid4().hex}"
+    arrivals.filter(F.col("seq") > middle).write.parquet(f"{run}/landed")
+    landed = file_messages(spark, f"{run}/landed", arrivals.schema, max_bytes=64 << 20)
+
+    def store(results: DataFrame, tables: Tables, batch_id: int) -> None:
+        write_batch(results, tables.path("outcomes"), batch_id)
+
+    tables = Tables(f"{run}/tables")
+    query = start_job(
+        landed, tables, f"{run}/state", settings, store=store, initial=stream_state(first, settings), first_batch=1
+    )
+    query.awaitTermination()
+    second = spark.read.parquet(tables.path("outcomes")).select(*first.columns)
+    return first.unionByName(second).select(
+        "seq",
+        "user_id",
+        "outcome",
+        "error",
+        F.round("lateness_seconds", 6).alias("lateness_seconds"),
+        F.round("cart_total_after", 2).alias("cart_total_after"),
+    )
+
+
 # Listings
 
 

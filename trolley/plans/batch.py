@@ -36,7 +36,11 @@ INVALID = "invalid"
 class Settings:
     """``clean_resends=True`` asserts that copies of an event repeat its event time and arrive
     within the TTL, and that no cart's total outgrows the fact table; the plan is then a single
-    lazy pass. A total that does outgrow it fails the query."""
+    lazy pass. A total that does outgrow it fails the query.
+
+    ``sweep_after`` is for streams: how far one partition's arrivals may be behind another's. Marks
+    leave the state when the newest arrival is that much past their end; without it they stay until
+    their id comes again."""
 
     policy: str = ACCEPT
     allowed_seconds: float = S.ALLOWED_LATENESS_SECONDS
@@ -44,6 +48,7 @@ class Settings:
     generate_ids: bool = False
     rules: tuple[str, ...] = CONSUMER_RULES
     clean_resends: bool = False
+    sweep_after: str | None = "1 day"
 
 
 # Columns only judged events have; invalid ones carry nulls of the same types.

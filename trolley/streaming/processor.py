@@ -3,6 +3,10 @@
 State lives in the state store under the user: the marks of stored events, the watermark, the
 cart's lines and its totals. Spark commits it with the micro-batch, after the sink has returned,
 so nothing counts as processed that was not stored. Times are microseconds since the epoch.
+
+A stream may begin where a batch ended: the rows of ``plans.handover`` are its initial state. Marks
+leave the state by timers, an hour of arrivals at a time, once the watermark of arrivals says that
+they have expired.
 """
 
 from __future__ import annotations
@@ -15,8 +19,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from trolley.operators.dedup import ttl_micros
 from trolley.operators.fold import DECISION, SAVED, SAVED_LATE, UserFold
 from trolley.plans.batch import Settings
+from trolley.streaming.marks import INDEX_SCHEMA, KEY_SCHEMA, PART_SCHEMA, SLICE_US, Marks
 
-MARKS, WATERMARK, ITEMS, TOTALS = "marks", "watermark", "items", "totals"
+MARKS, MARK_INDEX, WATERMARK, ITEMS, TOTALS = "marks", "mark_index", "watermark", "items", "totals"
 
 
 class CartProcessor(StatefulProcessor):
@@ -26,10 +31,13 @@ class CartProcessor(StatefulProcessor):
         self.ttl_us = ttl_micros(settings.ttl_hours)
         self.policy = settings.policy
         self.allowed_us = round(settings.allowed_seconds * 1_000_000)
+        self.sweeps = settings.sweep_after is not None
         self.result = Row(*columns, *DECISION.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.marks = handle.getMapState(MARKS, "dedup_key string", "processed_us long")
+        self.handle = handle
+        self.mark_index = handle.getValueState(MARK_INDEX, INDEX_SCHEMA)
+        self.mark_parts = handle.getMapState(MARKS, KEY_SCHEMA, PART_SCHEMA)
         self.watermark = handle.getValueState(
             WATERMARK,
             "max_us long, last_processed_us long, late_event_count long, "
@@ -41,18 +49,35 @@ class CartProcessor(StatefulProcessor):
             "total_value double, event_count long, last_updated_us long, cart_epoch long",
         )
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        """One piece of what a user's earlier batches left: an hour's marks, a line, the watermark
+        or the totals."""
+        piece = initialState
+        if piece.slice is not None:
+            marks = Marks(self.mark_index, self.mark_parts)
+            marks.add_part(piece.slice, piece.part, piece.dedup_keys, piece.processed_us)
+            self._save(marks)
+        elif piece.product_id is not None:
+            self.items.updateValue((piece.product_id,), (piece.quantity,))
+        elif piece.max_us is not None:
+            self.watermark.update(
+                (piece.max_us, piece.last_processed_us, piece.late_event_count, piece.adjusted_event_count)
+            )
+        else:
+            self.totals.update(
+                (piece.total_value, piece.event_count, piece.last_updated_us, piece.cart_epoch)
+            )
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         """Events of one user in one micro-batch, which the source's rate limit bounds.
 
-        The shuffle does not keep arrival order, so it is restored here. The watermark and the cart
-        are read before and written after the events; marks are read once per id of the batch, and
-        written once, after all events.
+        The shuffle does not keep arrival order, so it is restored here. The watermark, the cart and
+        marks are read before and written after the events.
         """
         mark = list(self.watermark.get()) if self.watermark.exists() else None
         fold = UserFold(self.policy, self.allowed_us, mark)
         stored: dict[int, int] | None = None
-        marks: dict[str, int | None] = {}
-        new: set[str] = set()
+        marks = Marks(self.mark_index, self.mark_parts)
         for row in sorted(rows, key=lambda r: r.seq):
             if self._is_duplicate(row, marks):
                 yield self.result(*row, *fold.duplicate(row.event_us))
@@ -63,15 +88,26 @@ class CartProcessor(StatefulProcessor):
                 row.event_type, row.product_id, row.quantity, row.price, row.event_us, row.arrived_us
             )
             if decision[1] in (SAVED, SAVED_LATE):
-                marks[row.dedup_key] = row.arrived_us
-                new.add(row.dedup_key)
+                marks.put(row.dedup_key, row.arrived_us)
             yield self.result(*row, *decision)
         self.watermark.update(tuple(fold.mark))
-        for name in new:
-            self.marks.updateValue((name,), (marks[name],))
+        self._save(marks)
         if stored is not None:
             self._store_cart(fold.cart, fold.lines, stored)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Drop the marks that have expired by now; results do not change."""
+        marks = Marks(self.mark_index, self.mark_parts)
+        marks.sweep(expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.ttl_us)
+        marks.save()
+        return iter(())
+
+    def _save(self, marks: Marks) -> None:
+        for slice_ in marks.save():
+            if self.sweeps:
+                # Rounded up: a mark is live until its whole time has passed.
+                self.handle.registerTimer(-(-((slice_ + 1) * SLICE_US + self.ttl_us) // 1000))
+
     def _load_cart(self, fold: UserFold) -> dict[int, int]:
         """Give the fold its cart; the lines as they are stored."""
         if self.totals.exists():
@@ -89,18 +125,14 @@ class CartProcessor(StatefulProcessor):
             if stored.get(product) != quantity:
                 self.items.updateValue((product,), (quantity,))
 
-    def _is_duplicate(self, row: Row, marks: dict[str, int | None]) -> bool:
+    def _is_duplicate(self, row: Row, marks: Marks) -> bool:
         """Whether a live mark exists; an expired one is removed when it is met."""
-        key = row.dedup_key
-        if key not in marks:
-            known = self.marks.getValue((key,))
-            marks[key] = known[0] if known else None
-        if marks[key] is None:
+        marked = marks.get(row.dedup_key)
+        if marked is None:
             return False
-        if row.arrived_us - marks[key] < self.ttl_us:
+        if row.arrived_us - marked < self.ttl_us:
             return True
-        self.marks.removeKey((key,))
-        marks[key] = None
+        marks.drop(row.dedup_key, marked)
         return False
 
     def close(self) -> None:

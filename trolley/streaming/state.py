@@ -31,9 +31,12 @@ def cart_lines(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 def committed_marks(spark: SparkSession, checkpoint: str) -> DataFrame:
-    marks = _entries(spark, checkpoint, MARKS, "dedup_key", "processed_us")
-    return marks.select(
-        "user_id", "dedup_key", F.timestamp_micros("processed_us").alias("processed_at")
+    marks = _state(spark, checkpoint, MARKS).select(
+        F.col("key.user_id").alias("user_id"),
+        F.explode(F.arrays_zip("user_map_value.dedup_keys", "user_map_value.processed_us")).alias("mark"),
+    )
+    return marks.selectExpr(
+        "user_id", "mark.dedup_keys AS dedup_key", "timestamp_micros(mark.processed_us) AS processed_at"
     )
 
 
