@@ -13,7 +13,13 @@ from trolley.operators.rollups import (
     summed_merge,
 )
 from trolley.plans.batch import fact_from_events
-from trolley.plans.ingest import Tables, compact_partials, partial_of, stored_rollup
+from trolley.plans.ingest import (
+    Tables,
+    compact_partials,
+    compaction_steps,
+    partial_of,
+    stored_rollup,
+)
 from trolley.sinks.tables import write_batch
 
 
@@ -112,3 +118,44 @@ def test_what_batches_leave_of_minutes_is_a_row_each(spark, fact, tmp_path):
     assert sorted(stored_rollup(spark, tables, "minute").collect()) == whole
     compact_partials(spark, tables, "minute", 2)
     assert spark.read.parquet(tables.partials("minute")).count() == len(whole)
+
+
+def _parts(fact, tables, name, batches):
+    for i in batches:
+        part = fact.filter(F.abs(F.hash("event_id")) % 3 == i % 3)
+        write_batch(partial_of(name, part), tables.partials(name), i)
+
+
+@pytest.mark.parametrize("name", ["minute", "hourly_user"])
+def test_a_compaction_may_break_off_anywhere(spark, fact, tmp_path, name):
+    """After every step readers see all batches once, and the next run finishes the work."""
+    whole = None
+    steps = ["merged", "deleted 0", "deleted 1", "deleted 2", "moved"]
+    for stop in range(1, len(steps) + 1):
+        tables = Tables(str(tmp_path / str(stop)))
+        _parts(fact, tables, name, range(3))
+        whole = whole or sorted(stored_rollup(spark, tables, name).collect(), key=str)
+        broken = compaction_steps(spark, tables, name, 2)
+        assert [next(broken) for _ in range(stop)] == steps[:stop]
+        broken.close()
+        assert sorted(stored_rollup(spark, tables, name).collect(), key=str) == whole
+        # Batches that came since are neither lost nor merged by the run that finishes.
+        _parts(fact, tables, name, [3])
+        compact_partials(spark, tables, name, 2)
+        found = spark.read.parquet(tables.partials(name))
+        assert {r.batch_id for r in found.select("batch_id").distinct().collect()} == {2, 3}
+        events = stored_rollup(spark, tables, name).count()
+        assert events == len(whole)
+    assert whole == sorted(ROLLUPS[name].of(fact).select(*stored_rollup(spark, tables, name).columns).collect(), key=str)
+
+
+def test_a_merge_that_was_not_finished_is_made_again(spark, fact, tmp_path):
+    tables = Tables(str(tmp_path))
+    _parts(fact, tables, "minute", range(3))
+    whole = sorted(stored_rollup(spark, tables, "minute").collect())
+    next(compaction_steps(spark, tables, "minute", 2))
+    (tmp_path / "partials_minute_compacted" / "batch_id=2" / "_SUCCESS").unlink()
+    assert sorted(stored_rollup(spark, tables, "minute").collect()) == whole
+    compact_partials(spark, tables, "minute", 2)
+    assert sorted(stored_rollup(spark, tables, "minute").collect()) == whole
+    assert not (tmp_path / "partials_minute_compacted" / "batch_id=2").exists()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,38 +89,91 @@ def partial_of(rollup: str, fact: DataFrame) -> DataFrame:
     return minute_sketches(fact) if rollup == "minute" else ROLLUPS[rollup].partial(fact)
 
 
+class _Partials:
+    """The folders of a roll-up's partials: one a batch, and aside of them what a compaction has merged.
+
+    A merge is there once Spark has marked it as finished. From then on it stands for all batches up to
+    its own, whichever of their folders are still left.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.path, self.aside = path, f"{path}_compacted"
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._fs = self._hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _numbers(self, path: str) -> list[int]:
+        root = self._hadoop.Path(path)
+        if not self._fs.exists(root):
+            return []
+        names = [status.getPath().getName() for status in self._fs.listStatus(root)]
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BATCH}="))
+
+    def batches(self) -> list[int]:
+        return self._numbers(self.path)
+
+    def merged(self) -> int | None:
+        """The last batch of a finished merge that has not taken its place yet."""
+        done = [n for n in self._numbers(self.aside) if self._exists(f"{self.aside}/{BATCH}={n}/_SUCCESS")]
+        return max(done, default=None)
+
+    def folders(self) -> list[str]:
+        """What readers read: every batch once."""
+        upto = self.merged()
+        if upto is None:
+            return [f"{self.path}/{BATCH}={n}" for n in self.batches()]
+        later = [f"{self.path}/{BATCH}={n}" for n in self.batches() if n > upto]
+        return [f"{self.aside}/{BATCH}={upto}", *later]
+
+    def _exists(self, path: str) -> bool:
+        return self._fs.exists(self._hadoop.Path(path))
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._hadoop.Path(path), True)
+
+    def move(self, source: str, target: str) -> None:
+        if not self._fs.rename(self._hadoop.Path(source), self._hadoop.Path(target)):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
 def stored_rollup(spark: SparkSession, tables: Tables, rollup: str) -> DataFrame:
     """A roll-up read from the partials all batches left. Distinct counts of minutes are estimates;
     the exact ones come from the fact table."""
-    partials = spark.read.parquet(tables.partials(rollup))
+    partials = spark.read.parquet(*_Partials(spark, tables.partials(rollup)).folders())
     if rollup == "minute":
         return minute_from_sketches(partials)
     return ROLLUPS[rollup].of_partials(partials)
 
 
+def compaction_steps(spark: SparkSession, tables: Tables, rollup: str, upto: int) -> Iterator[str]:
+    """``compact_partials`` step by step. It may stop after any step, or in the middle of one:
+    ``stored_rollup`` is right at any time, and the next run finishes what this one began."""
+    held = _Partials(spark, tables.partials(rollup))
+    merged = held.merged()
+    if merged is None:
+        old = [b for b in held.batches() if b <= upto]
+        if len(old) < 2:
+            return
+        partials = spark.read.parquet(*[f"{held.path}/{BATCH}={b}" for b in old])
+        rows = merged_sketches(partials) if rollup == "minute" else ROLLUPS[rollup].merged(partials)
+        merged = old[-1]
+        write_batch(rows, held.aside, merged)
+        yield "merged"
+    for batch in held.batches():
+        if batch <= merged:
+            held.delete(f"{held.path}/{BATCH}={batch}")
+            yield f"deleted {batch}"
+    held.move(f"{held.aside}/{BATCH}={merged}", f"{held.path}/{BATCH}={merged}")
+    yield "moved"
+
+
 def compact_partials(spark: SparkSession, tables: Tables, rollup: str, upto: int) -> None:
     """Merge the partials of all batches up to a finished one into that batch's.
 
-    The merged rows are stored aside first; then the older folders go and they take the last one's
-    place. Run it between micro-batches: a reader in that moment misses files. A run that breaks off
-    after the merge leaves ``<table>_compacted``, which holds all that was merged.
+    The merged rows are stored aside first and stand for the batches from the moment they are
+    complete; then the older folders go, and one rename puts the merged one in their place. A run that
+    broke off is finished first, before anything is merged anew.
     """
-    path = tables.partials(rollup)
-    aside = f"{path}_compacted"
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    batches = sorted(
-        int(s.getPath().getName().split("=", 1)[1])
-        for s in fs.listStatus(root)
-        if s.getPath().getName().startswith(f"{BATCH}=")
-    )
-    old = [b for b in batches if b <= upto]
-    if len(old) < 2:
-        return
-    partials = spark.read.parquet(*[f"{path}/{BATCH}={b}" for b in old])
-    merged = merged_sketches(partials) if rollup == "minute" else ROLLUPS[rollup].merged(partials)
-    merged.write.mode("overwrite").parquet(aside)
-    for batch in old:
-        fs.delete(hadoop.Path(f"{path}/{BATCH}={batch}"), True)
-    fs.rename(hadoop.Path(aside), hadoop.Path(f"{path}/{BATCH}={old[-1]}"))
+    for _ in range(2):
+        # The first round may only have finished an earlier run.
+        for _ in compaction_steps(spark, tables, rollup, upto):
+            pass
