@@ -13,8 +13,8 @@ Money is summed in whole cents, held in doubles: such sums are exact, so it make
 which order or in how many blocks they are taken. A price that cannot be stored counts as nothing;
 the job keeps such events from the cart.
 
-All of it is running aggregates, so one exchange by user serves every step and heavy users are cut
-into blocks by ``running``.
+All of it is running aggregates, so one exchange by user serves every step. Heavy users are cut into
+blocks, which ``runs`` composes.
 """
 
 from __future__ import annotations
@@ -27,12 +27,13 @@ from trolley.operators.prefix import (
     Group,
     Keys,
     Peak,
-    per_key,
+    in_blocks,
     running,
     running_groups,
     running_last,
     running_sum,
 )
+from trolley.operators.runs import replay_blocks
 from trolley.schemas import ADD, CHECKOUT, REMOVE, UPDATE
 
 _OUT, _IN, _SAME = 0, 1, 2
@@ -116,14 +117,17 @@ def _totals(rows: DataFrame) -> DataFrame:
     )
 
 
-def _replay(rows: DataFrame, applies: str) -> DataFrame:
-    rows = with_exprs(
+def _numbers(rows: DataFrame, applies: str) -> DataFrame:
+    return with_exprs(
         rows,
-        _kind=f"if({applies}, event_type, '')",
+        _kind=f"if({applies}, coalesce(event_type, ''), '')",
         _product="coalesce(product_id, 0L)",
         _units="CAST(quantity AS BIGINT)",
         _cents="CAST(try_cast(price AS DECIMAL(10,2)) * 100 AS DOUBLE)",
     )
+
+
+def _replay(rows: DataFrame) -> DataFrame:
     checkouts = f"CAST(_kind = '{CHECKOUT}' AS BIGINT)"
     updates = f"CAST(_kind = '{UPDATE}' AS BIGINT)"
     rows = running_groups(
@@ -151,7 +155,11 @@ def with_cart(events: DataFrame, hot: Keys, applies: str = "true") -> DataFrame:
 
     Events for which ``applies`` is false pass through untouched and leave the cart as it is.
     """
-    return per_key(events, "user_id", "seq", hot, lambda rows: _replay(rows, applies))
+    events = _numbers(events, applies)
+    heavy, others = in_blocks(events, "user_id", "seq", hot)
+    if heavy is None:
+        return _replay(others)
+    return _replay(others).unionByName(replay_blocks(heavy).drop(*_WORK))
 
 
 def cart_snapshot(carts: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.session import shared_dir, stored
+from trolley.session import stored
 
 BLOCK = "_block"
 BLOCK_ROWS = 1 << 20
@@ -41,6 +41,16 @@ def split_by_keys(df: DataFrame, key: str, keys: Keys) -> tuple[DataFrame, DataF
     return df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
 
 
+def in_blocks(
+    df: DataFrame, key: str, order: str, hot: Keys, block_rows: int | None = None
+) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of hot keys with their block, if there are any, and all others."""
+    if hot is None or isinstance(hot, list) and not hot:
+        return None, df
+    heavy, others = split_by_keys(df, key, hot)
+    return heavy.withColumn(BLOCK, F.floor(F.col(order) / F.lit(block_rows or BLOCK_ROWS))), others
+
+
 def per_key(
     df: DataFrame,
     key: str,
@@ -50,13 +60,9 @@ def per_key(
     block_rows: int | None = None,
 ) -> DataFrame:
     """Apply ``step`` to ordinary keys as they are and to hot keys in blocks of ``order``."""
-    if hot is None or isinstance(hot, list) and not hot:
-        return step(df)
-    heavy, others = split_by_keys(df, key, hot)
-    width = F.lit(block_rows or BLOCK_ROWS)
-    blocks = heavy.withColumn(BLOCK, F.floor(F.col(order) / width))
-    # The one shuffle of these rows: everything per block happens where it puts them.
-    blocks = blocks.repartition(key, BLOCK)
+    blocks, others = in_blocks(df, key, order, hot, block_rows)
+    if blocks is None:
+        return step(others)
     return step(others).unionByName(step(blocks).drop(BLOCK))
 
 
@@ -195,31 +201,6 @@ class Group:
         )
 
 
-# Settings under which a checkpoint remembers how its rows are partitioned, and a join uses it.
-_KEEP_PARTITIONING = {
-    "spark.sql.adaptive.enabled": "false",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
-}
-
-
-def kept(rows: DataFrame) -> DataFrame:
-    """The rows on checkpoint storage, still partitioned by their keys.
-
-    Users and blocks are of bounded size here, so there is no skew for adaptive execution to even
-    out, and with their partitioning kept the windows and joins of later steps move no rows again.
-    """
-    spark = rows.sparkSession
-    shared_dir(spark)
-    before = {name: spark.conf.get(name) for name in _KEEP_PARTITIONING}
-    try:
-        for name, value in _KEEP_PARTITIONING.items():
-            spark.conf.set(name, value)
-        return rows.checkpoint()
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-
-
 def running_groups(df: DataFrame, *groups: Group) -> DataFrame:
     """Add several groups of running aggregates none of which reads another's result."""
     if BLOCK not in df.columns:
@@ -227,7 +208,7 @@ def running_groups(df: DataFrame, *groups: Group) -> DataFrame:
             df = group.add_windows(df)
         return df
     # The rows feed both the carries and the result: keep them once, on storage that survives.
-    rows = result = kept(df)
+    rows = result = stored(df, "blocks")
     for group in groups:
         result = group.add_blocks(result, group.carries(rows))
     return result
