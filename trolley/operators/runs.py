@@ -92,7 +92,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 checkouts += 1
                 # Also of products that come only after it.
                 lines, rest = dict.fromkeys(lines, EMPTIED), EMPTIED
-            elif kind in (ADD, REMOVE, UPDATE):
+            elif kind:
                 lines[product] = then(lines.get(product, rest), kind, units or 0)
     if now is not None:
         yield done()
