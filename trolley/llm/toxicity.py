@@ -5,9 +5,11 @@ slots. Spark counts each slot's occurrences in all documents and in the labelled
 score is the log-odds of its rate in toxic against clean text under a Dirichlet prior in proportion
 to the whole corpus, taken one standard error towards zero; a word's is the largest of its slots',
 less ``DRIFT``, so that ordinary text scores below zero. A linear-time scan finds all maximal
-segments of positive total. Under the scores' distribution in clean text, a segment of score ``s`` in
-``n`` words is expected ``K n exp(-lambda s)`` times by chance; segments expected fewer than
-``EXPECTED`` times are significant. A document's evidence is its best segment's surprise (the negative
+segments of positive total. In clean text a segment of score ``s`` in ``n`` words is expected
+``K n exp(-lambda s)`` times by chance: ``lambda`` is taken from the words' scores, and ``K`` from each
+text's best segment, both of labelled clean rows that the weights were not learned from. Segments
+expected fewer than ``EXPECTED`` times are significant, or fewer still, so that no more than that share
+of those rows has one. A document's evidence is its best segment's surprise (the negative
 logarithm of how many are expected), the sum and number of its significant ones', and the pooled
 surprise of all segments that a single word seldom begins (fewer than ``SELDOM`` times), for what is
 spread thinly. A logistic curve fitted on other labelled rows than the counts makes it the score.
@@ -43,7 +45,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 #: The prior's weight, as a share of the labelled words.
 PRIOR = 0.1
 DRIFT = 0.3
-EXPECTED = 0.05
+#: Clean texts that may hold a significant passage: one in 200, since toxic ones are rare themselves.
+EXPECTED = 0.005
 SELDOM = 1e-3
 CUT = 0.3
 
@@ -140,31 +143,47 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass
 class Chance:
-    """What clean text gives: how often segments of a score are expected."""
+    """What clean text gives: how often segments of a score are expected, and the surprise from which
+    one is significant."""
 
-    rate: float
-    size: float
+    rate: float = 1.0
+    size: float = 1.0
+    need: float = -np.log(EXPECTED)
 
     def surprise(self, score: np.ndarray, words: np.ndarray) -> np.ndarray:
         """The negative logarithm of how many such segments are expected in so many words."""
         return self.rate * score - np.log(np.maximum(words, 1)) - np.log(self.size)
 
 
-def chance_of(values: np.ndarray, times: np.ndarray) -> Chance:
+def decay_of(values: np.ndarray, times: np.ndarray) -> float | None:
     """The rate at which clean segments' scores thin out: the positive root of
-    sum p exp(rate * score) = 1, by bisection; and the share of words at which one begins."""
+    sum p exp(rate * score) = 1, by bisection. Nothing if there is none."""
     share = times / max(times.sum(), 1)
-    positive = values > 0
-    if not share[positive].sum() or (values * share).sum() >= 0:
-        return Chance(1.0, 1.0)
+    if not share[values > 0].sum() or (values * share).sum() >= 0:
+        return None
     low, high = 0.0, 50.0
     for _ in range(80):
         middle = (low + high) / 2
         with np.errstate(over="ignore"):
             above = (share * np.exp(middle * values)).sum() > 1
         low, high = (low, middle) if above else (middle, high)
-    rate = max((low + high) / 2, 1e-3)
-    return Chance(rate, float(np.clip((share[positive]).sum(), 1e-9, 1)))
+    return max((low + high) / 2, 1e-3)
+
+
+def chance_of(values: np.ndarray, times: np.ndarray, words: np.ndarray, best: np.ndarray) -> Chance:
+    """The chance of clean texts, from how often each word score occurs in them and from each text's
+    words and best segment (zero without any)."""
+    rate = decay_of(values, times)
+    if rate is None:
+        return Chance()
+    # Of a text, words * exp(-rate * best) is exponential with rate K; without a segment it is cut off.
+    size = float(np.clip((best > 0).sum() / max((words * np.exp(-rate * best)).sum(), 1e-9), 1e-9, 1))
+    known = Chance(rate, size)
+    surprises = np.sort(known.surprise(best, words)[best > 0])
+    allowed = int(EXPECTED * len(best))
+    if len(surprises) > allowed:
+        known.need = max(known.need, float(np.nextafter(surprises[len(surprises) - 1 - allowed], np.inf)))
+    return known
 
 
 _BINS = np.linspace(-2 * DRIFT - 1e-6, 15, 400)
@@ -225,11 +244,11 @@ def find_passages(docs: DataFrame, table: np.ndarray, chance: Chance) -> DataFra
     best segment, the sum over significant ones, their number, the pooled surprise of all seldom
     ones, and the significant ones' byte spans."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    need, seldom = -np.log(EXPECTED), -np.log(SELDOM)
-    rate, size = chance.rate, chance.size
+    seldom = -np.log(SELDOM)
+    numbers = chance.rate, chance.size, chance.need
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Chance(rate, size)
+        known = Chance(*numbers)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = as_texts(part.column("text"))
@@ -243,7 +262,7 @@ def find_passages(docs: DataFrame, table: np.ndarray, chance: Chance) -> DataFra
                     single = gains + np.log(max(high - low, 1))
                     pooled.append(float(single[single >= seldom].sum()))
                     best.append(float(gains.max(initial=-10.0)))
-                    strong = np.flatnonzero(gains >= need)
+                    strong = np.flatnonzero(gains >= known.need)
                     total.append(float(gains[strong].sum()))
                     count.append(len(strong))
                     begin = texts.offsets[i]
@@ -266,22 +285,37 @@ def find_passages(docs: DataFrame, table: np.ndarray, chance: Chance) -> DataFra
 
 
 def _chance(docs: DataFrame, table: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> Chance:
-    """The scores of the words of clean labelled texts, as a histogram."""
+    """The chance of the clean ones of the given rows, of which there are no more than the sample."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        times = np.zeros(len(_BINS) + 1, np.int64)
+        times, words, best = np.zeros(len(_BINS) + 1, np.int64), [], []
         for batch in batches:
             batch = batch.filter(pa.array(_kinds(batch.column("doc_id"), ids, labels) == 0))
             for part in slices(batch, "text"):
-                scores = word_scores(slots_of(as_texts(part.column("text")))[0], shared.value)
+                slot, owner, _ = slots_of(as_texts(part.column("text")))
+                scores = word_scores(slot, shared.value)
                 times += np.bincount(np.searchsorted(_BINS, scores), minlength=len(times))
+                edges = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
+                for low, high in zip(edges[:-1], edges[1:], strict=True):
+                    words.append(high - low)
+                    best.append(max((s for _, _, s in maximal_segments(scores[low:high])), default=0.0))
         at = np.flatnonzero(times)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(times[at])], ["at", "n"])
+        columns = [[*at, *[None] * len(words)], [*times[at], *words], [*[None] * len(at), *best]]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["at", "n", "best"])
 
-    rows = docs.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.mapInArrow(run, "at long, n long, best double")
+    rows = rows.groupBy("at", "n", "best").agg(F.count("*").alias("rows")).toArrow().to_pandas()
     middles = np.append(_BINS, _BINS[-1])
-    return chance_of(middles[rows["at"].to_numpy()], rows["n"].to_numpy())
+    scores, texts = rows[rows["at"].notna()], rows[rows["at"].isna()]
+    times = texts["rows"].to_numpy(np.int64)
+    return chance_of(
+        middles[scores["at"].to_numpy(np.int64)],
+        (scores["n"] * scores["rows"]).to_numpy(),
+        np.repeat(texts["n"].to_numpy(np.float64), times),
+        np.repeat(texts["best"].to_numpy(np.float64), times),
+    )
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -290,7 +324,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     ids, marks, folds = _sample(labels, sample)
     learn = folds != CALIBRATE
     table = _table(docs, ids[learn], marks[learn])
-    chance = _chance(docs, table, ids[learn], marks[learn])
+    chance = _chance(docs, table, ids[~learn], marks[~learn])
     found = stored(find_passages(docs, table, chance), "passages")
 
     # At most the sample's rows come back.
