@@ -1,5 +1,6 @@
 """Straightforward versions of the operators, for small tables."""
 
+from collections import Counter
 import hashlib
 import re
 import zlib
@@ -99,3 +100,122 @@ def without_substrings(docs, length=50):
 
 def held_out(doc_id, folds, which):
     return zlib.crc32(str(doc_id).encode()) % folds == which
+
+
+def aligned(docs):
+    """One document after another with the libraries themselves."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    second = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    first = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    first.encode_special_tokens = True
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain}
+    byte_of |= {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in plain)}
+
+    def a_bytes(i):
+        return bytes(byte_of[c] for c in first.id_to_token(i))
+
+    def b_bytes(i):
+        piece = second.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if second.is_byte(i) else piece.replace("\u2581", " ").encode()
+
+    def ends(ids, spell):
+        found, at = [], 0
+        for i in ids:
+            at += len(spell(i))
+            found.append(at)
+        return found
+
+    rows, holding = [], Counter()
+    for doc, text in docs:
+        a = first.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = second.encode(text) if text else []
+        whole = (" " + (text or "")).encode()
+        if b"".join(map(a_bytes, a)) != whole or b"".join(map(b_bytes, b)) != whole:
+            a, b = [], []
+        ends_a, ends_b = ends(a, a_bytes), ends(b, b_bytes)
+        groups = _cut(a, b, ends_a, ends_b)
+        links = Counter((x, y) for left, right in groups for x in left for y in right)
+        holding.update(links.keys())
+        rows.append((doc, len(a), len(b), groups, links))
+    most = {}
+    for (x, _), n in holding.items():
+        most[x] = max(most.get(x, 0), n)
+    result = []
+    for doc, n_a, n_b, groups, links in rows:
+        spelled = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        result.append(
+            (
+                doc, n_a, n_b, len(groups), sum(links.values()),
+                sum(n for p, n in links.items() if holding[p] == most[p[0]]),
+                sum(n * holding[p] for p, n in links.items()),
+                hashlib.sha256(spelled.encode()).hexdigest() if n_a else "",
+            )
+        )
+    return result
+
+
+def _cut(a, b, ends_a, ends_b):
+    groups, x, y = [], 0, 0
+    for end in sorted(set(ends_a) & set(ends_b)):
+        i, j = x, y
+        while i < len(a) and ends_a[i] <= end:
+            i += 1
+        while j < len(b) and ends_b[j] <= end:
+            j += 1
+        groups.append((a[x:i], b[y:j]))
+        x, y = i, j
+    return groups
+
+
+LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(docs, least=30, ranks=50):
+    """``docs`` are (lang, source, text)."""
+    counts, held = {}, {}
+    for lang, source, text in docs:
+        lang, source = lang or "", source or ""
+        words = Counter(LETTERS.findall((text or "").translate(LOW)))
+        counts.setdefault(lang, {}).setdefault(source, Counter()).update(words)
+        held.setdefault(lang, Counter()).update(words.keys())
+    rows = []
+    for lang, sources in counts.items():
+        kept = [t for t, n in held[lang].items() if n >= least]
+        v = len(kept)
+
+        def rates(group):
+            total = sum(group[t] for t in kept)
+            return {t: 1 + 1_000_000_000 * (group[t] + 5) // (total + 5 * v) for t in kept}
+
+        q = rates(sum(sources.values(), Counter()))
+        p = {source: rates(group) for source, group in sources.items()}
+        for source in sources:
+            pairs = [(o, sum(abs(p[source][t] - p[o][t]) for t in kept)) for o in sources if o != source]
+            terms = [(t, p[source][t] - q[t]) for t in kept if sources[source][t] and p[source][t] > q[t]]
+            for part, found, limit in (("pair", pairs, None), ("term", terms, ranks)):
+                found = sorted(found, key=lambda x: (-x[1], x[0].encode()))[:limit]
+                rows += [(lang, source, part, item, value, n) for n, (item, value) in enumerate(found, 1)]
+    return rows
+
+
+def simhash(text):
+    import xxhash
+
+    words = SPACED.findall((text or "").translate(LOW))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def within(prints, errors=4):
+    """The smallest key reachable by links of at most ``errors`` differing bits."""
+    root = {}
+    for key in sorted(prints):
+        near = {root[o] for o in root if (prints[o] ^ prints[key]).bit_count() <= errors} | {key}
+        least = min(near)
+        root = {o: least if r in near else r for o, r in root.items()} | {key: least}
+    return root
