@@ -43,8 +43,8 @@ def odd_rows():
 @pytest.fixture(scope="session")
 def odd(spark):
     """Odd rows, with extra columns named like results."""
-    rows = [(*r, True, 5, "x", 7.5) for r in odd_rows()]
-    extra = ", kept boolean, n_words long, `_row` string, `the score` double"
+    rows = [(*r, True, 5, "x", 7.5, 1, 2) for r in odd_rows()]
+    extra = ", kept boolean, n_words long, `_row` string, `the score` double, `_gone` int, `_h1` int"
     return spark.createDataFrame(rows, DOCS + extra).repartition(3)
 
 

@@ -18,7 +18,7 @@ ODD_TEXTS = ["\u2581x", "a" * 30_000, " " * 3000 + "b", "\U0001f600\u65e5\u672c"
 
 
 def test_alignment(spark, documents, odd, monkeypatch):
-    extra = [(100 + n, t, "en", "s", 1, True, 5, "x", 7.5) for n, t in enumerate(ODD_TEXTS)]
+    extra = [(100 + n, t, "en", "s", 1, True, 5, "x", 7.5, 1, 2) for n, t in enumerate(ODD_TEXTS)]
     odd = odd.union(spark.createDataFrame(extra, odd.schema))
     for docs in (documents, odd):
         expected = brute.aligned([(r.doc_id, r.text) for r in docs.collect()])

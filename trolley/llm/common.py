@@ -45,6 +45,8 @@ def per_slice(
                 made = make(part)
                 if made is not None:
                     yield made
+        # Workers are kept for the next stage; what Arrow has set aside is not.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
