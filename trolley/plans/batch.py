@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trolley import schemas as S
 from trolley.functions.columns import with_exprs
+from trolley.operators import lateness
 from trolley.operators.cart import with_cart
 from trolley.operators.dedup import DEDUP_KEY, ttl_micros, with_dedup_key
 from trolley.operators.enrich import IS_ACCEPTED, enriched, fact_rows, misfit
@@ -23,8 +24,9 @@ from trolley.operators.fold import (
     SINK_RANGE,
     one_by_one,
 )
+from trolley.operators.expiry import flag_expiring, in_order
 from trolley.operators.lateness import ACCEPT
-from trolley.operators.prefix import Keys, hot_keys, per_key
+from trolley.operators.prefix import Keys, hot_keys, per_key, split_by_keys
 from trolley.operators.sequential import first_pass
 from trolley.operators.validate import CONSUMER_RULES, valid_events, with_errors
 from trolley.session import stored
@@ -70,26 +72,8 @@ OUTCOME_COLUMNS = {
 }
 
 
-def judged_outcomes(
-    valid: DataFrame, settings: Settings = Settings(), hot: Keys = None
-) -> DataFrame:
-    """Outcomes and carts of valid events.
-
-    Without the promise of ``clean_resends`` the first pass is stored, and the users it cannot
-    decide (a re-send that claims another time or comes after the TTL, a cart that outgrows the fact
-    table) go through one ordered pass; all others stay as they are.
-    """
-    hot = hot_keys(valid, "user_id") if hot is None else hot
-    keyed = with_exprs(with_dedup_key(valid, settings.generate_ids), misfit=misfit())
-    rows = per_key(
-        keyed,
-        "user_id",
-        "seq",
-        hot,
-        lambda part: first_pass(
-            part, settings.policy, settings.allowed_seconds, settings.ttl_hours
-        ),
-    )
+def _with_outcomes(rows: DataFrame, hot: Keys) -> DataFrame:
+    """Outcomes and carts of events that are judged and flagged as duplicates or not."""
     # A duplicate is never judged for lateness.
     rows = with_exprs(
         rows,
@@ -105,7 +89,7 @@ def judged_outcomes(
         action="if(is_duplicate, NULL, action)",
         watermark_after="if(is_duplicate, watermark_before, watermark_after)",
     ).drop("is_duplicate")
-    rows = with_exprs(
+    return with_exprs(
         with_cart(rows, hot, applies=IS_ACCEPTED),
         error=(
             f"CASE WHEN outcome = '{LATE_REJECTED}' THEN '{LATE_ERROR}' "
@@ -113,22 +97,80 @@ def judged_outcomes(
         ),
         _outgrown=f"coalesce(abs(cart_total_after) * 100 > {MAX_CENTS}.5D, false)",
     ).drop("misfit")
+
+
+def judged_outcomes(
+    valid: DataFrame, settings: Settings = Settings(), hot: Keys = None
+) -> DataFrame:
+    """Outcomes and carts of valid events.
+
+    Without the promise of ``clean_resends`` the first pass is stored, and the users it cannot
+    decide (a re-send that claims another time or comes after the TTL, a cart that outgrows the fact
+    table) go through one ordered pass; all others stay as they are. Heavy ones whose events come in
+    order are spared it: their marks are found in parallel.
+    """
+    hot = hot_keys(valid, "user_id") if hot is None else hot
+    keyed = with_exprs(with_dedup_key(valid, settings.generate_ids), misfit=misfit())
+    rows = per_key(
+        keyed,
+        "user_id",
+        "seq",
+        hot,
+        lambda part: first_pass(
+            part, settings.policy, settings.allowed_seconds, settings.ttl_hours
+        ),
+    )
+    rows = _with_outcomes(rows, hot)
     if settings.clean_resends:
         promise = "raise_error('a cart total outgrows the fact table, against clean_resends')"
         return with_exprs(rows, outcome=f"if(_outgrown, {promise}, outcome)").drop(
             "_outgrown", "irregular"
         )
-    rows = stored(rows, "first-pass")
-    undecided = rows.filter("irregular OR _outgrown").select("user_id").distinct()
+    rows = stored(rows.withColumn("_undecided", F.col("irregular") | F.col("_outgrown")).drop("irregular"), "first-pass")
+    undecided = stored(rows.filter("_undecided").select("user_id").distinct(), "undecided")
+    rows = rows.drop("_outgrown", "_undecided")
     if undecided.isEmpty():
-        return rows.drop("_outgrown", "irregular")
+        return rows
     own = [*valid.columns, DEDUP_KEY]
+    decided = rows.join(undecided, "user_id", "left_anti")
+    chained = _chained_outcomes(keyed, undecided, settings, hot)
+    if chained is not None:
+        decided = decided.unionByName(chained.select(*rows.columns))
+        undecided = stored(undecided.join(chained.select("user_id").distinct(), "user_id", "left_anti"), "undecided")
+        if undecided.isEmpty():
+            return decided
     again = keyed.select(*own).join(undecided, "user_id", "left_semi")
-    decided = rows.join(undecided, "user_id", "left_anti").drop("_outgrown", "irregular")
-    ordered = stored(ordered_outcomes(again, settings).select(*decided.columns), "ordered")
+    ordered = stored(ordered_outcomes(again, settings).select(*rows.columns), "ordered")
     return decided.unionByName(ordered)
 
 
+def _chained_outcomes(
+    keyed: DataFrame, undecided: DataFrame, settings: Settings, hot: Keys
+) -> DataFrame | None:
+    """Outcomes of the heavy undecided users whose events come in order, if there are any; those whose
+    cart outgrows the fact table after all are left out."""
+    if isinstance(hot, list) and not hot:
+        return None
+    heavy, _ = split_by_keys(undecided, "user_id", hot)
+    rows = keyed.join(stored(heavy, "heavy"), "user_id", "left_semi")
+    calm = stored(in_order(rows, hot), "calm")
+    if calm.isEmpty():
+        return None
+    flagged = stored(flag_expiring(rows.join(calm, "user_id", "left_semi"), ttl_micros(settings.ttl_hours)), "flagged")
+    judged = per_key(
+        flagged,
+        "user_id",
+        "seq",
+        hot,
+        lambda part: lateness.judged(
+            lateness.with_watermark(part, "NOT is_duplicate"), settings.policy, settings.allowed_seconds
+        ),
+    )
+    found = stored(_with_outcomes(judged, hot), "chained")
+    outgrown = found.filter("_outgrown").select("user_id").distinct()
+    return found.join(outgrown, "user_id", "left_anti").drop("_outgrown")
+
+
 def plain_numbers(keyed: DataFrame) -> DataFrame:
     """Times as microseconds, so that no time zone is involved on the way through Python."""
     return with_exprs(
