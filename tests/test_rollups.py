@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trolley.operators.rollups import (
     ROLLUPS,
     MINUTE,
+    PARTIALS,
     active_carts,
     minute_from_sketches,
     minute_sketches,
@@ -103,21 +104,39 @@ def test_active_carts_window_is_strict(fact):
     assert active_carts(fact, f"{edge}").count() == 0
 
 
-def test_what_batches_leave_of_minutes_is_a_row_each(spark, fact, tmp_path):
+@pytest.mark.parametrize("name", ROLLUPS)
+def test_what_batches_leave_merges_to_the_whole(spark, fact, tmp_path, name):
+    """A few rows a key, however many events; compacted or not."""
     tables = Tables(str(tmp_path))
-    for i in range(3):
-        part = fact.filter(F.abs(F.hash("event_id")) % 3 == i)
-        write_batch(partial_of("minute", part), tables.partials("minute"), i)
-        minutes = part.select(F.date_trunc("minute", "timestamp")).distinct().count()
-        stored = spark.read.parquet(f"{tables.partials('minute')}/batch_id={i}")
-        assert stored.count() == minutes
-    whole = sorted(MINUTE.of(fact).collect())
-    assert sorted(stored_rollup(spark, tables, "minute").collect()) == whole
-    compact_partials(spark, tables, "minute", 1)
-    assert {r.batch_id for r in spark.read.parquet(tables.partials("minute")).collect()} == {1, 2}
-    assert sorted(stored_rollup(spark, tables, "minute").collect()) == whole
-    compact_partials(spark, tables, "minute", 2)
-    assert spark.read.parquet(tables.partials("minute")).count() == len(whole)
+    _parts(fact, tables, name, range(3))
+    whole = ROLLUPS[name].of(fact)
+    same(stored_rollup(spark, tables, name).select(*whole.columns), whole)
+    compact_partials(spark, tables, name, 1)
+    assert {r.batch_id for r in spark.read.parquet(tables.partials(name)).collect()} == {1, 2}
+    same(stored_rollup(spark, tables, name).select(*whole.columns), whole)
+    compact_partials(spark, tables, name, 2)
+    assert spark.read.parquet(tables.partials(name)).count() == whole.count()
+
+
+def test_users_of_several_buckets_are_counted_once(fact):
+    ids = [1, 32_768, 32_769, 70_000, 5_000_000_000]
+    spread = fact.withColumn("user_id", F.element_at(F.lit(ids), F.pmod(F.hash("event_id"), F.lit(5)) + 1))
+    spread = spread.withColumn("timestamp", F.date_trunc("hour", "timestamp"))
+    parts = [spread.filter(F.pmod(F.hash("session_id", "event_id"), F.lit(2)) == i) for i in (0, 1)]
+    bitmaps = PARTIALS["minute"]
+    merged = bitmaps.of_partials(bitmaps.partial(parts[0]).unionByName(bitmaps.partial(parts[1])))
+    same(merged, MINUTE.of(spread).select(*merged.columns))
+    assert merged.agg(F.max("unique_users")).first()[0] == 5
+
+
+def test_theta_errors_are_within_what_is_stated(spark, fact):
+    """A set that errs, from ten sketches."""
+    row = fact.filter("event_type = 'add_to_cart' AND product_id > 0").limit(1).drop("user_id")
+    crowd = row.crossJoin(spark.range(1, 50_001).withColumnRenamed("id", "user_id"))
+    theta = PARTIALS["product"]
+    found = theta.of_partials(theta.partial(crowd.withColumn("part", F.col("user_id") % 10), "part").drop("part")).first()
+    assert found.add_count == 50_000 and found.unique_users != 50_000
+    assert abs(found.unique_users - 50_000) < 5 * 0.016 * 50_000
 
 
 def _parts(fact, tables, name, batches):

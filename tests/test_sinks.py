@@ -5,11 +5,12 @@ from conftest import at, event
 from pyspark.sql import functions as F
 
 from trolley import schemas as S
-from trolley.operators.listings import retained
+from trolley.operators.listings import latest_events, retained
 from trolley.operators.metrics import flush_errors
 from trolley.plans.batch import accepted_events, outcomes
+from trolley.plans.reads import active_carts_of_table, event_days, latest_events_of_table, newest_days
 from trolley.plans.ingest import Tables, ingest_batch, stored_rollup
-from trolley.operators.rollups import MINUTE
+from trolley.operators.rollups import MINUTE, active_carts
 from trolley.sinks.dead_letters import (
     dead_letters,
     failed_flush,
@@ -133,3 +134,49 @@ def test_expired_days_are_dropped(spark, accepted, tmp_path):
     assert drop_expired(spark, path, as_of) == ["processed_date=2025-12-29"]
     assert fact_events(spark, path).count() == 3
     assert retained(fact_events(spark, path), as_of).count() == before == 3
+
+
+def _three_days(spark, accepted, tables):
+    from trolley.operators.enrich import fact_rows
+
+    rows = fact_rows(accepted).cache()
+    for batch, days in enumerate((0, 1, 2)):
+        back = F.expr(f"INTERVAL {days} DAYS")
+        moved = rows.withColumns({"processed_at": F.col("processed_at") - back, "timestamp": F.col("timestamp") - back})
+        write_fact(moved.cache(), tables.fact, batch)
+        write_batch(event_days(moved), tables.event_days, batch)
+    return rows
+
+
+def _opened(df):
+    """The days whose files a query reads."""
+    return {p.split("processed_date=")[1][:10] for p in df.inputFiles()}
+
+
+def test_newest_rows_open_the_newest_days(spark, accepted, tmp_path):
+    tables = Tables(str(tmp_path))
+    n = _three_days(spark, accepted, tables).count()
+    assert newest_days(spark, tables.fact, 1) == ["2026-01-01"]
+    assert newest_days(spark, tables.fact, n + 1) == ["2026-01-01", "2025-12-31"]
+    assert len(newest_days(spark, tables.fact, 10 * n)) == 3
+    for rows in (1, n, n + 1, 10 * n):
+        expected = latest_events(fact_events(spark, tables.fact), rows).collect()
+        assert latest_events_of_table(spark, tables.fact, rows).collect() == expected
+    plan = latest_events_of_table(spark, tables.fact, n)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(processed_date" in plan and "2026-01-01" in plan
+
+
+def test_recent_carts_prune_days_by_their_events(spark, accepted, tmp_path):
+    """A late event of today's last hour that was processed yesterday by a clock that is behind."""
+    tables = Tables(str(tmp_path))
+    _three_days(spark, accepted, tables)
+    odd = fact_events(spark, tables.fact).filter("processed_date = DATE '2025-12-31'").drop("processed_date", "batch_id")
+    odd = odd.withColumns({"timestamp": F.col("timestamp") + F.expr("INTERVAL 1 DAY"), "user_id": F.lit(9).cast("bigint")}).cache()
+    write_fact(odd, tables.fact, 7)
+    write_batch(event_days(odd), tables.event_days, 7)
+    as_of = "2026-01-01 12:30:00"
+    found = active_carts_of_table(spark, tables.fact, tables.event_days, as_of)
+    expected = active_carts(fact_events(spark, tables.fact), as_of).collect()
+    assert found.collect() == expected and 9 in {r.user_id for r in expected}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "PartitionFilters: [" in plan

@@ -559,6 +559,14 @@ for _name in _ROLLUPS:
 SQL["minute_sums_from_batches"] = _rollup("minute", ("unique_users", "unique_checkout_users"))
 SQL["sketch_errors"] = """SELECT event_type, count(DISTINCT event_id) AS n, true AS within_bound
 FROM events GROUP BY event_type"""
+SQL["minute_rollup_from_bitmaps"] = SQL["minute_rollup"]
+SQL["hourly_user_rollup_from_sketches"] = SQL["hourly_user_rollup"]
+SQL["product_rollup_from_sketches"] = SQL["product_rollup"]
+SQL["product_sketch_errors"] = _upto(
+    "fact",
+    f"""SELECT date_trunc('year', "timestamp") AS window_start, {_kind('add_to_cart')} AS add_count,
+  {_kind('remove_item')} AS remove_count, true AS within_bound FROM fact GROUP BY 1""",
+)
 SQL["minute_uniques_from_sketches"] = _upto(
     "fact",
     """SELECT date_trunc('minute', "timestamp") AS minute, count(*) AS total_events,
@@ -574,6 +582,8 @@ SQL["active_carts"] = _upto(
 FROM fact WHERE "timestamp" > {AS_OF} - INTERVAL 1 HOUR AND event_type <> 'checkout'
 GROUP BY user_id HAVING net_adds > 0 ORDER BY last_activity DESC""",
 )
+SQL["active_carts_of_table"] = SQL["active_carts"]
+SQL["latest_events_of_table"] = SQL["latest_events"]
 SQL["events_processed"] = _upto(
     "results",
     """SELECT event_type, CASE WHEN outcome = 'invalid' THEN 'validation_error' ELSE 'success' END

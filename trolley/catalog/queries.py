@@ -26,6 +26,7 @@ from trolley.functions.times import (
 from trolley.operators import cart, dedup, lateness, listings, metrics, rollups
 from trolley.operators.prefix import Keys
 from trolley.operators.validate import PRODUCER_RULES, valid_events, with_errors
+from trolley.plans import reads
 from trolley.plans.batch import (
     Settings,
     accepted_events,
@@ -35,9 +36,10 @@ from trolley.plans.batch import (
 )
 from trolley.plans.handover import stream_state
 from trolley.plans.ingest import Tables
+from trolley.plans.reads import event_days
 from trolley.session import prepare, shared_dir, stored
 from trolley.sinks import dead_letters
-from trolley.sinks.tables import write_batch
+from trolley.sinks.tables import write_batch, write_fact
 from trolley.sources.arrivals import cart_arrivals, hot_users, shifted_arrivals
 from trolley.sources.messages import file_messages, typed_events
 from trolley.sources.replay import replay_events
@@ -589,15 +591,51 @@ def minute_sums_from_batches(spark: SparkSession, folder: str) -> DataFrame:
     """All that adds up, from one row per minute and arrival day."""
     fact = _fact(spark, folder).withColumn("_batch", _day_of_batch())
     # Rows of one minute that arrived on two days are two batches' partials.
-    partials = rollups.MINUTE.keyed(fact).groupBy("_batch", "minute").agg(
-        *rollups.MINUTE.partial_columns(),
-        F.hll_sketch_agg("user_id").alias("users"),
-        F.hll_sketch_agg("user_id").alias("checkout_users"),
-    )
-    minutes = rollups.minute_from_sketches(partials)
+    minutes = rollups.minute_from_sketches(rollups.minute_sketches(fact, "_batch").drop("_batch"))
     return _money(minutes.drop("unique_users", "unique_checkout_users"))
 
 
+def _from_partials(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A roll-up from what batches of one arrival day each leave."""
+    fact = _fact(spark, folder).withColumn("_batch", _day_of_batch())
+    partials = rollups.PARTIALS[name].partial(fact, "_batch").drop("_batch")
+    return _money(rollups.PARTIALS[name].of_partials(partials))
+
+
+@register
+def minute_rollup_from_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    return _from_partials(spark, folder, "minute")
+
+
+@register
+def hourly_user_rollup_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return _from_partials(spark, folder, "hourly_user")
+
+
+@register
+def product_rollup_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return _from_partials(spark, folder, "product")
+
+
+@register
+def product_sketch_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """One product whose users are as many as there are events, merged from a sketch a day: the distinct
+    count is five standard errors off at most, all sums are exact."""
+    crowd = {
+        "user_id": F.col("event_id").cast("bigint"),
+        "timestamp": F.date_trunc("YEAR", "timestamp"),
+        "product_id": F.lit(1).cast("bigint"),
+        "product_name": F.lit("all"),
+        "_batch": _day_of_batch(),
+    }
+    partials = rollups.PARTIALS["product"].partial(_fact(spark, folder).withColumns(crowd), "_batch")
+    merged = rollups.PARTIALS["product"].of_partials(partials.drop("_batch"))
+    users = F.col("add_count") + F.col("remove_count")
+    return merged.select(
+        "window_start", "add_count", "remove_count", (F.abs(F.col("unique_users") - users) <= 0.08 * users).alias("within_bound")
+    )
+
+
 @register
 def sketch_errors(spark: SparkSession, folder: str) -> DataFrame:
     """Estimates of sets of thousands, merged from ten sketches each: five standard errors off at
@@ -616,6 +654,27 @@ def active_carts(spark: SparkSession, folder: str) -> DataFrame:
     return _money(rollups.active_carts(_fact(spark, folder), AS_OF))
 
 
+def _stored_fact(spark: SparkSession, folder: str) -> Tables:
+    """The fact table as batches leave it, with the days its partitions hold."""
+    tables = Tables(f"{shared_dir(spark)}/table-{uuid.uuid4().hex}")
+    fact = stored(_fact(spark, folder), "fact")
+    write_fact(fact, tables.fact)
+    write_batch(event_days(fact), tables.event_days, 0)
+    return tables
+
+
+@register
+def active_carts_of_table(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _stored_fact(spark, folder)
+    return _money(reads.active_carts_of_table(spark, tables.fact, tables.event_days, AS_OF))
+
+
+@register
+def latest_events_of_table(spark: SparkSession, folder: str) -> DataFrame:
+    newest = reads.latest_events_of_table(spark, _stored_fact(spark, folder).fact)
+    return newest.select("event_id", "user_id", "event_type", "is_late", "processed_at")
+
+
 # Metrics
 
 

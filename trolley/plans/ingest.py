@@ -10,13 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.operators.enrich import fact_rows
 from trolley.operators.metrics import samples_of
 from trolley.operators.prefix import Keys
-from trolley.operators.rollups import (
-    ROLLUPS,
-    merged_sketches,
-    minute_from_sketches,
-    minute_sketches,
-)
+from trolley.operators.rollups import PARTIALS
 from trolley.plans.batch import Settings, accepted_events, outcomes
+from trolley.plans.reads import event_days
 from trolley.sinks.dead_letters import dead_letters
 from trolley.sinks.publish import enriched_messages
 from trolley.sinks.tables import BATCH, write_batch, write_fact
@@ -44,6 +40,10 @@ class Tables:
     def enriched(self) -> str:
         return self.path("enriched_events")
 
+    @property
+    def event_days(self) -> str:
+        return self.path("event_days")
+
     @property
     def metrics(self) -> str:
         return self.path("metrics")
@@ -63,7 +63,8 @@ def store_results(results: DataFrame, tables: Tables, batch_id: int) -> None:
     write_fact(fact, tables.fact, batch_id)
     write_batch(dead_letters(results), tables.dead_letter, batch_id)
     write_batch(enriched_messages(accepted), tables.enriched, batch_id)
-    for name in ROLLUPS:
+    write_batch(event_days(fact), tables.event_days, batch_id)
+    for name in PARTIALS:
         write_batch(partial_of(name, fact), tables.partials(name), batch_id)
     write_batch(samples_of(results), tables.metrics, batch_id)
 
@@ -85,8 +86,8 @@ def ingest_batch(
 
 
 def partial_of(rollup: str, fact: DataFrame) -> DataFrame:
-    """What a batch leaves: of minutes a row each, of the others exact partials."""
-    return minute_sketches(fact) if rollup == "minute" else ROLLUPS[rollup].partial(fact)
+    """What a batch leaves, of a size that does not grow with its events."""
+    return PARTIALS[rollup].partial(fact)
 
 
 class _Partials:
@@ -136,12 +137,10 @@ class _Partials:
 
 
 def stored_rollup(spark: SparkSession, tables: Tables, rollup: str) -> DataFrame:
-    """A roll-up read from the partials all batches left. Distinct counts of minutes are estimates;
-    the exact ones come from the fact table."""
+    """A roll-up read from the partials all batches left. Minutes are exact; distinct counts of more than
+    4,096 sessions or users of an hour or product are estimates, the exact ones come from the fact table."""
     partials = spark.read.parquet(*_Partials(spark, tables.partials(rollup)).folders())
-    if rollup == "minute":
-        return minute_from_sketches(partials)
-    return ROLLUPS[rollup].of_partials(partials)
+    return PARTIALS[rollup].of_partials(partials)
 
 
 def compaction_steps(spark: SparkSession, tables: Tables, rollup: str, upto: int) -> Iterator[str]:
@@ -154,9 +153,8 @@ def compaction_steps(spark: SparkSession, tables: Tables, rollup: str, upto: int
         if len(old) < 2:
             return
         partials = spark.read.parquet(*[f"{held.path}/{BATCH}={b}" for b in old])
-        rows = merged_sketches(partials) if rollup == "minute" else ROLLUPS[rollup].merged(partials)
         merged = old[-1]
-        write_batch(rows, held.aside, merged)
+        write_batch(PARTIALS[rollup].merged(partials), held.aside, merged)
         yield "merged"
     for batch in held.batches():
         if batch <= merged:
