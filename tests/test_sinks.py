@@ -9,7 +9,7 @@ from trolley.operators.listings import latest_events, retained
 from trolley.operators.metrics import flush_errors
 from trolley.plans.batch import accepted_events, outcomes
 from trolley.plans.reads import active_carts_of_table, event_days, latest_events_of_table, newest_days
-from trolley.plans.ingest import Tables, ingest_batch, stored_rollup
+from trolley.plans.ingest import Tables, flush_batch, ingest_batch, stored_rollup
 from trolley.operators.rollups import MINUTE, active_carts
 from trolley.sinks.dead_letters import (
     dead_letters,
@@ -60,6 +60,29 @@ def test_flush_errors_are_counted_by_row_and_batch(spark, accepted, tmp_path):
     assert (row.event_type, row.value, row.failed_batches) == (S.ADD, 6, 2)
 
 
+def test_failed_batches_are_in_the_metrics(spark, accepted, tmp_path):
+    tables = Tables(str(tmp_path))
+    accepted = accepted.cache()
+
+    def broken(df):
+        raise OSError("disk full")
+
+    for batch_id, write in ((1, None), (2, broken), (3, broken)):
+        if write:
+            with pytest.raises(FlushError):
+                flush_batch(accepted, tables, batch_id, write)
+        else:
+            assert flush_batch(accepted, tables, batch_id)
+    samples = spark.read.parquet(tables.metrics).filter("name = 'events_processed_total'")
+    counts = samples.groupBy("labels.status").agg(F.sum("value")).collect()
+    assert {r[0]: r[1] for r in counts} == {"success": 3.0, "flush_error": 6.0}
+    assert fact_events(spark, tables.fact).count() == 3
+    # What is written at last is no longer counted as lost.
+    flush_batch(accepted, tables, 2)
+    samples = spark.read.parquet(tables.metrics).filter("labels.status = 'flush_error'")
+    assert samples.agg(F.sum("value")).first()[0] == 3.0
+
+
 def test_empty_flush_does_nothing(accepted):
     written = Recorder()
     assert not flush(accepted.limit(0), written, written)

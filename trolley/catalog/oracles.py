@@ -582,6 +582,11 @@ SQL["active_carts"] = _upto(
 FROM fact WHERE "timestamp" > {AS_OF} - INTERVAL 1 HOUR AND event_type <> 'checkout'
 GROUP BY user_id HAVING net_adds > 0 ORDER BY last_activity DESC""",
 )
+SQL["flush_errors"] = _upto(
+    "fact",
+    """SELECT event_type, count(*) AS counted, CAST(count(*) AS BIGINT) AS value, CAST(1 AS BIGINT) AS failed_batches
+FROM fact WHERE CAST(event_id AS BIGINT) % 2 = 1 GROUP BY event_type""",
+)
 SQL["active_carts_of_table"] = SQL["active_carts"]
 SQL["latest_events_of_table"] = SQL["latest_events"]
 SQL["events_processed"] = _upto(

@@ -6,6 +6,7 @@ Every query works on the whole ``events`` table or on what is derived from it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import wraps
 import uuid
 
@@ -35,10 +36,11 @@ from trolley.plans.batch import (
     outcomes,
 )
 from trolley.plans.handover import stream_state
-from trolley.plans.ingest import Tables
+from trolley.plans.ingest import Tables, flush_batch
 from trolley.plans.reads import event_days
 from trolley.session import prepare, shared_dir, stored
 from trolley.sinks import dead_letters
+from trolley.sinks.flush import FlushError
 from trolley.sinks.tables import write_batch, write_fact
 from trolley.sources.arrivals import cart_arrivals, hot_users, shifted_arrivals
 from trolley.sources.messages import file_messages, typed_events
@@ -683,6 +685,27 @@ def events_processed(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.events_processed(_results(spark, folder))
 
 
+@register
+def flush_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of failed writes, from what a job leaves that could not store one of its two batches."""
+    arrivals, hot = _arrivals(spark, folder)
+    accepted = stored(accepted_events(judged_outcomes(valid_events(arrivals), CLEAN, hot)), "accepted")
+    tables = Tables(f"{shared_dir(spark)}/flushed-{uuid.uuid4().hex}")
+
+    def broken(fact: DataFrame) -> None:
+        raise OSError("disk full")
+
+    for batch_id, write in ((0, None), (1, broken)):
+        batch = accepted.filter(F.expr(f"CAST(event_id AS BIGINT) % 2 = {batch_id}"))
+        with suppress(FlushError):
+            flush_batch(batch, tables, batch_id, write)
+    counted = spark.read.parquet(tables.metrics).filter("labels['status'] = 'flush_error'").groupBy(
+        F.expr("labels['event_type']").alias("event_type")
+    ).agg(F.sum("value").cast("bigint").alias("counted"))
+    letters = metrics.flush_errors(spark.read.parquet(tables.dead_letter))
+    return counted.join(letters, "event_type").select("event_type", "counted", "value", "failed_batches")
+
+
 @register
 def duplicate_events(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.duplicate_events(_results(spark, folder))

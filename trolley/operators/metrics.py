@@ -17,6 +17,8 @@ BUCKETS = [
 ]
 OPEN = float("inf")
 LOOK_BACK_MINUTES = 15
+#: The outcome of events whose batch could not be written.
+FLUSH_FAILED = "flush_failed"
 
 
 def status() -> Column:
@@ -27,7 +29,7 @@ def status() -> Column:
         F.when(F.col("outcome").isin("saved", "saved_late"), "success")
         .when(error.startswith("validation_error"), "validation_error")
         .when(F.col("outcome") == "invalid", "error")
-        .when(F.col("outcome") == "sink_range", "flush_error")
+        .when(F.col("outcome").isin("sink_range", FLUSH_FAILED), "flush_error")
     )
 
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trolley.operators.enrich import fact_rows
-from trolley.operators.metrics import samples_of
+from trolley.operators.metrics import FLUSH_FAILED, samples_of
 from trolley.operators.prefix import Keys
 from trolley.operators.rollups import PARTIALS
 from trolley.plans.batch import Settings, accepted_events, outcomes
 from trolley.plans.reads import event_days
 from trolley.sinks.dead_letters import dead_letters
+from trolley.sinks.flush import flush
 from trolley.sinks.publish import enriched_messages
 from trolley.sinks.tables import BATCH, write_batch, write_fact
 from trolley.session import stored
@@ -85,6 +88,35 @@ def ingest_batch(
     return results
 
 
+def flush_batch(
+    accepted: DataFrame,
+    tables: Tables,
+    batch_id: int,
+    write: Callable[[DataFrame], None] | None = None,
+    on_success: Callable[[], None] = lambda: None,
+) -> bool:
+    """Write a batch of accepted events as ``flush`` does, and count it.
+
+    A batch that is stored leaves its counters; one that is not leaves its dead letters and counters of
+    failed writes, and ``FlushError`` is raised. Repeating the batch replaces either.
+    """
+    if write is None:
+        write = partial(write_fact, path=tables.fact, batch_id=batch_id)
+
+    def count(rows: DataFrame) -> None:
+        write_batch(samples_of(rows), tables.metrics, batch_id)
+
+    def lost(letters: DataFrame) -> None:
+        write_batch(letters, tables.dead_letter, batch_id)
+        count(accepted.withColumn("outcome", F.lit(FLUSH_FAILED)))
+
+    def kept() -> None:
+        count(accepted)
+        on_success()
+
+    return flush(accepted, write, lost, kept)
+
+
 def partial_of(rollup: str, fact: DataFrame) -> DataFrame:
     """What a batch leaves, of a size that does not grow with its events."""
     return PARTIALS[rollup].partial(fact)
