@@ -16,7 +16,10 @@ deviations short with 1e-9. What passes is confirmed on the full sets of shingle
 No link is lost: a pair is left out only when its ends are in one component already, or its estimate
 does not pass. What is handed on is linear in the classes, however many pairs a group has. A bucket
 of more than ``BUCKET_BLOCK`` classes, or a cluster of more than ``CLUSTER_BYTES`` of text, is cut
-into blocks, and every two blocks meet in a task of their own.
+into blocks. Each block is searched by itself; then a few of each block's largest part meet, which joins
+the blocks of a group of near copies; then what still hangs with nothing of the group's largest part is
+met with all blocks, and with its like. So a group of near copies costs in proportion to its size, and
+only rows outside its largest part go to every block.
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with
 nothing. A row without an id is linked with nothing: its component is null and it is kept. Rows of
@@ -30,7 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.common import components, per_slice
@@ -45,6 +48,8 @@ LOW_BITS = 4
 MARGIN = 6.0
 BUCKET_BLOCK = 2_000
 CLUSTER_BYTES = 4 << 20
+#: Members of a block's largest part that stand for it when blocks are joined.
+ENVOYS = 4
 
 _LANES = HASHES * LOW_BITS // 64
 _random = np.random.default_rng(20240229)
@@ -223,19 +228,86 @@ def _confirmed(percent: int) -> Callable[[pa.Table], tuple[np.ndarray, list[tupl
     return work
 
 
-def _blocks(rows: DataFrame, key: str, parts: F.Column) -> DataFrame:
-    """Deal each group's rows to ``parts`` blocks, and to each two of them that must meet."""
+_PLACE = ["slot", "i", "j"]
+
+
+def _sizes(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """``_parts``: how many blocks of about ``limit`` of ``weight`` a group has."""
+    return rows.groupBy(key).agg(F.ceil((F.sum("weight") + 1) / limit).cast("int").alias("_parts"))
+
+
+def _cut(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
+    """Add the ``part`` of its group that a row is dealt to."""
+    return rows.join(sizes, key).withColumn("part", F.expr("pmod(xxhash64(id), _parts)").cast("int"))
+
+
+def _every_two(rows: DataFrame) -> DataFrame:
+    """Each row in each two blocks of its group that it is one of."""
     return (
-        rows.withColumn("_parts", parts.cast("int"))
-        .withColumn("part", F.expr("pmod(xxhash64(id), _parts)").cast("int"))
-        .withColumn("_other", F.explode(F.expr("sequence(0, _parts - 1)")))
-        .withColumns({"i": F.least("part", "_other"), "j": F.greatest("part", "_other")})
-        .drop("_parts", "_other")
-        .repartition(key, "i", "j")
-        .sortWithinPartitions(key, "i", "j", "id")
+        rows.withColumn("_other", F.explode(F.expr("sequence(0, _parts - 1)")))
+        .withColumns({"slot": F.lit(0), "i": F.least("part", "_other"), "j": F.greatest("part", "_other")})
+        .drop("_other")
     )
 
 
+def _across(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Each block of one side with each block of the other side of its group."""
+    counts = [side.groupBy(key).agg(F.first("_parts").alias("_facing")) for side in (left, right)]
+
+    def facing(side: DataFrame, other: DataFrame, number: int, slot: str) -> DataFrame:
+        met = side.join(other, key).withColumn("_other", F.explode(F.expr("sequence(0, _facing - 1)")))
+        return met.withColumns(
+            {"slot": F.expr(slot), "part": F.lit(number), "i": F.lit(0), "j": F.lit(1)}
+        ).drop("_other", "_facing")
+
+    left = facing(left, counts[1], 0, "part + _other * _parts")
+    return left.unionByName(facing(right, counts[0], 1, "_other + part * _facing"))
+
+
+def _hanging_together(rows: DataFrame, key: str, sizes: DataFrame, limit: int, work: Callable) -> DataFrame:
+    """Edges that hang together what ``work`` finds linked in groups of ``key``; ``rows`` have an
+    ``id`` and a ``weight``, and ``sizes`` has the groups to look at."""
+
+    def met(dealt: DataFrame) -> DataFrame:
+        placed = dealt.repartition(key, *_PLACE).sortWithinPartitions(key, *_PLACE, "id")
+        return placed.mapInArrow(_groups((key, *_PLACE), work), "a long, b long")
+
+    def cut(some: DataFrame) -> DataFrame:
+        return _cut(some, key, _sizes(some, key, limit))
+
+    dealt = _cut(rows, key, sizes)
+    alone = met(dealt.withColumns({"slot": F.lit(0), "i": F.col("part"), "j": F.col("part")}))
+    if sizes.filter("_parts > 1").isEmpty():
+        return alone
+    crowded, alone = stored(dealt.filter("_parts > 1"), "crowded"), stored(alone, "edges")
+
+    def placed(edges: DataFrame) -> DataFrame:
+        found = components(edges)
+        return crowded.join(found, F.col("id") == F.col("node"), "left").withColumn(
+            "component", F.coalesce("component", "id")
+        ).drop("node")
+
+    # A few of each block's largest part, and of each group's.
+    now = placed(alone)
+    by_part = now.groupBy(key, "part", "component").agg(F.count("*").alias("_n"))
+    largest = by_part.groupBy(key, "part").agg(F.max_by("component", F.struct("_n", "component")).alias("component"))
+    members = now.join(largest, [key, "part", "component"])
+    order = Window.partitionBy(key, "part").orderBy("id")
+    envoys = members.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= ENVOYS)
+    envoys = envoys.select(*rows.columns)
+    edges = stored(alone.unionByName(met(_every_two(cut(envoys)))), "edges")
+
+    now = placed(edges)
+    sizes = now.groupBy(key, "component").agg(F.count("*").alias("_n"))
+    main = sizes.groupBy(key).agg(F.max_by("component", F.struct("_n", "component")).alias("_main"))
+    now = now.join(main, key)
+    rest = stored(now.filter("component <> _main").select(*rows.columns), "rest")
+    if rest.isEmpty():
+        return edges
+    rest, main = cut(rest), cut(now.filter("component = _main").select(*rows.columns))
+    return edges.unionByName(met(_across(main, rest, key))).unionByName(met(_every_two(rest)))
+
+
 def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row of ``docs`` (``doc_id, text``)."""
     features = stored(per_slice(docs.select("doc_id", "text"), _signatures, _FEATURES), "signatures")
@@ -247,22 +319,19 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     buckets = classes.select("id", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    live = buckets.join(shared, "key").join(classes.select("id", "signature"), "id")
-    met = _blocks(live, "key", F.ceil(F.col("n") / BUCKET_BLOCK)).select(
-        "key", "id", "signature", "part", "i", "j"
-    )
-    work = _estimated(_most_differences(percent / 100))
-    guessed = met.mapInArrow(_groups(("key", "i", "j"), work), "a long, b long")
+    shared = stored(shared.select("key", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("_parts")), "shared")
+    live = buckets.join(shared.select("key"), "key").join(classes.select("id", "signature"), "id")
+    live = live.select("key", "id", "signature", F.lit(1).alias("weight"))
+    guessed = _hanging_together(live, "key", shared, BUCKET_BLOCK, _estimated(_most_differences(percent / 100)))
     clusters = stored(components(guessed), "clusters")
 
     # Texts are shuffled once to find those in clusters, which then meet.
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.join(clusters, F.col("id") == F.col("node")).drop("node").distinct()
+    texts = texts.select(F.col("component").alias("key"), "id", "text", F.octet_length("text").alias("weight"))
     texts = stored(texts, "texts")
-    sizes = texts.groupBy("component").agg(F.sum(F.octet_length("text")).alias("_bytes"))
-    met = _blocks(texts.join(sizes, "component"), "component", F.ceil((F.col("_bytes") + 1) / CLUSTER_BYTES))
-    met = met.select("component", "id", "text", "part", "i", "j")
-    links = met.mapInArrow(_groups(("component", "i", "j"), _confirmed(percent)), "a long, b long")
+    sizes = stored(_sizes(texts, "key", CLUSTER_BYTES), "sizes")
+    links = _hanging_together(texts, "key", sizes, CLUSTER_BYTES, _confirmed(percent))
     # Classes of one document hang together.
     sets = F.struct("h1", "h2")
     mixed = features.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_mixed"))
