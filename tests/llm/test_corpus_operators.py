@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -179,6 +180,39 @@ def test_a_cut_archive_is_noticed():
         list(warc.inflated_records(iter([gzip.compress(record + record[:50])])))
 
 
+def test_archives_from_elsewhere(spark, tmp_path):
+    """Other types, odd headers, missing digests, hexadecimal ones, blank lines and padded members."""
+    body = b"HTTP/1.1 200 OK\r\ncontent-type:text/html\r\nX-Folded: a\r\n\tb\r\n\r\n<p>h\xc3\xa9</p>"
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Type: application/warc-fields\r\nContent-Length: 9\r\n\r\nsoft: own"
+    lower = b"WARC/1.1\r\nwarc-type:response\r\nwarc-record-id:<urn:uuid:2>\r\nwarc-target-uri: http://x/\r\n y\r\ncontent-type:application/http; msgtype=response\r\ncontent-length:%d\r\n\r\n%b" % (len(body), body)
+    hexed = lower.replace(b"<urn:uuid:2>", b"<urn:uuid:3>\r\nWARC-Payload-Digest: sha1:" + hashlib.sha1(b"x").hexdigest().encode())
+    seen = b"WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:4>\r\nContent-Length: 0\r\n\r\n"
+    end = b"\r\n\r\n"
+    stream = gzip.compress(info + end + b"\r\n" + lower + end) + b"\0" * 7 + gzip.compress(hexed + end + seen + end + b"\r\n\r\n")
+    (tmp_path / "foreign.warc.gz").write_bytes(stream)
+    archives = spark.createDataFrame([(f"file://{tmp_path}/foreign.warc.gz", 4, 0)], "archive string, records long, bytes long")
+    rows = {r.record_id: r for r in warc.read_records(warc.normalise(archives, f"file://{tmp_path}/out")).collect()}
+    payload = base64.b32encode(hashlib.sha1("<p>hé</p>".encode()).digest()).decode()
+    found = {k: (r.record_type, r.payload_bytes, r.payload_digest, r.page_id) for k, r in rows.items()}
+    assert found == {
+        "<urn:uuid:1>": ("warcinfo", 9, base64.b32encode(hashlib.sha1(b"soft: own").digest()).decode(), None),
+        "<urn:uuid:2>": ("response", 10, payload, None),
+        "<urn:uuid:3>": ("response", 10, payload, None),
+        "<urn:uuid:4>": ("revisit", None, None, None),
+    }
+    assert rows["<urn:uuid:2>"].url == "http://x/ y"
+
+
+def test_inflating_holds_a_record_and_a_chunk():
+    record = warc.make_record(1, "u", b"x" * 100_000, 100_000, "D", None)
+    stream = gzip.compress(record * 1_500)
+    tracemalloc.start()
+    assert sum(len(r) for r in warc.inflated_records(iter([stream]))) == 1_500 * len(record)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(record) * 1_500 > 140 << 20 and peak < 12 << 20
+
+
 def labelled(spark):
     rng = random.Random(11)
     bad = ["awfulnet", "grimble", "vorkish"]

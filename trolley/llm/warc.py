@@ -5,12 +5,17 @@ files do. ``normalise`` inflates each stream once, front to back, rewrites every
 member of its own and writes a sidecar with each member's offset and length. ``read_records`` goes
 through the sidecars and inflates members one by one, as a random reader would.
 
-All three hold one record and one chunk of a stream at a time. Files go to a folder all executors
+Archives may come from elsewhere: header names are read whatever their case, with or without a blank
+after the colon and over folded lines; records of any type, without digests, and blank lines between
+records are carried over. A record that is no HTTP message is its own payload.
+
+All three hold one record and one chunk of a stream at a time, however far a chunk inflates. Files go to a folder all executors
 share, through Arrow's file systems (local or network file systems, HDFS, object stores). Every
 attempt of a task writes under a name of its own and only files of finished tasks are listed, so a
 lost executor or a second attempt leaves no half-written archive behind in the lists.
 
-Defined results: a null payload is empty. Of records with equal payloads (empty ones included) the
+Defined results: a null payload is empty. A record of another archive has no page id; a digest it declares
+is checked if it is a base32 SHA-1, and one that is missing is made. Of records with equal payloads (empty ones included) the
 one with the largest id is the response and others revisit it; rows that share the largest id are
 all responses. A row without an id is a response under an empty id unless another row with its
 payload has an id: it then revisits that. Control characters in URLs are percent-encoded. An empty
@@ -22,6 +27,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 import hashlib
+import re
 import uuid
 import zlib
 
@@ -78,37 +84,63 @@ def make_record(
 
 
 def headers(record: bytes) -> tuple[dict[str, str], int]:
-    """A record's headers, and where its block begins."""
-    end = record.index(_END)
-    lines = record[:end].decode().split("\r\n")[1:]
-    return dict(line.split(": ", 1) for line in lines), end + len(_END)
+    """A record's headers by lower-case name (the first of a name), and where its block begins."""
+    end = record.find(_END)
+    if end < 0:
+        raise ValueError("a record has no end of its headers")
+    lines: list[str] = []
+    for line in record[:end].decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and lines:
+            lines[-1] += " " + line.strip()
+        else:
+            lines.append(line)
+    found: dict[str, str] = {}
+    for line in lines:
+        name, _, value = line.partition(":")
+        found.setdefault(name.strip().lower(), value.strip())
+    return found, end + len(_END)
+
+
+def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """A gzip stream, of one member or of many, in pieces of at most ``CHUNK`` bytes."""
+    stream = zlib.decompressobj(31)
+    for data in chunks:
+        while True:
+            piece = stream.decompress(data, CHUNK)
+            if piece:
+                yield piece
+            if stream.eof:
+                # Some writers pad members with zeros.
+                data, stream = stream.unused_data.lstrip(b"\0"), zlib.decompressobj(31)
+                if not data:
+                    break
+            else:
+                data = stream.unconsumed_tail
+                if not data and len(piece) < CHUNK:
+                    break
 
 
 def inflated_records(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """The records of a gzip stream, whether of one member or of many."""
-    stream, held = zlib.decompressobj(31), bytearray()
-    needed = 0
-    for chunk in chunks:
-        while chunk:
-            held += stream.decompress(chunk)
-            chunk = b""
-            if stream.eof:
-                chunk = stream.unused_data
-                stream = zlib.decompressobj(31)
-            done = 0
-            while True:
-                if not needed:
-                    end = held.find(_END, done)
-                    if end < 0:
-                        break
-                    size = headers(bytes(held[done : end + 4]))[0]["Content-Length"]
-                    needed = end + 4 + int(size) + 4 - done
-                if len(held) - done < needed:
+    """The records of a gzip stream; each ends with its two line breaks."""
+    held, needed = bytearray(), 0
+    for piece in _inflated(chunks):
+        held += piece
+        done = 0
+        while True:
+            if not needed:
+                while held.startswith(b"\r\n", done):
+                    done += 2
+                end = held.find(_END, done)
+                if end < 0:
                     break
-                yield bytes(held[done : done + needed])
-                done, needed = done + needed, 0
-            del held[:done]
-    if held:
+                size = headers(bytes(held[done : end + 4]))[0]["content-length"]
+                needed = end + 4 + int(size) + 4 - done
+            if len(held) - done < needed:
+                break
+            yield bytes(held[done : done + needed])
+            done, needed = done + needed, 0
+        del held[:done]
+    if held.strip():
         raise ValueError(f"the archive ends inside a record, after {len(held)} bytes of it")
 
 
@@ -208,8 +240,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                         out.stream.write(data)
                         named, _ = headers(record)
                         line = (
-                            offset, len(data), named["WARC-Record-ID"], named["WARC-Type"],
-                            named["WARC-Payload-Digest"],
+                            offset, len(data), named.get("warc-record-id", ""), named.get("warc-type", ""),
+                            named.get("warc-payload-digest", ""),
                         )
                         index.write(("\t".join(map(str, line)) + "\n").encode())
                         offset, count = offset + len(data), count + 1
@@ -219,13 +251,15 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def _page(name: str | None) -> int | None:
-    number = (name or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(number) if number else None
+    """The page of a record this module has named."""
+    number = (name or "").strip("<>").removeprefix("urn:page:")
+    return int(number) if number.removeprefix("-").isdecimal() else None
 
 
 def read_records(archives: DataFrame) -> DataFrame:
-    """``page_id, payload_bytes, payload_digest, record_type, refers_to, url, archive, offset`` of
-    every record, member by member; a response's digest is that of the payload read."""
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to, url, record_id, archive,
+    offset`` of every record, member by member; the digest is that of the payload read, of a revisit
+    the declared one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,28 +281,40 @@ def read_records(archives: DataFrame) -> DataFrame:
     return _spread(archives).mapInArrow(
         run,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long,"
-        " url string, archive string, offset long",
+        " url string, record_id string, archive string, offset long",
     )
 
 
+def _declared(named: dict[str, str]) -> str | None:
+    """The payload's digest by its headers, if it is a SHA-1 in base32."""
+    kind, _, digest = named.get("warc-payload-digest", "").partition(":")
+    digest = digest.strip().upper()
+    return digest if kind.strip().lower() == "sha1" and re.fullmatch("[A-Z2-7]{32}", digest) else None
+
+
 def _parsed(member: bytes) -> tuple:
     record = zlib.decompress(member, 31)
     named, begin = headers(record)
-    block = record[begin : begin + int(named["Content-Length"])]
-    inner, payload = headers(block)
-    size, digest = int(inner["Content-Length"]), named["WARC-Payload-Digest"].removeprefix("sha1:")
-    if named["WARC-Type"] == "response":
-        found = base32_sha1(hashlib.sha1(block[payload:]).digest())
-        if (len(block) - payload, found) != (size, digest):
-            raise ValueError(f"the payload of {named['WARC-Record-ID']} is not what its headers say")
-    refers = _page(named.get("WARC-Refers-To"))
+    block = record[begin : begin + int(named["content-length"])]
+    kind, inner, payload = named.get("warc-type", "").lower(), {}, 0
+    if named.get("content-type", "").lower().startswith("application/http") and _END in block:
+        inner, payload = headers(block)
+    declared, size = _declared(named), len(block) - payload
+    if kind == "revisit":
+        told = inner.get("content-length", "")
+        digest, size = declared, int(told) if told.isdecimal() else None
+    else:
+        digest = base32_sha1(hashlib.sha1(block[payload:]).digest())
+        if declared not in (None, digest):
+            raise ValueError(f"the payload of {named.get('warc-record-id')} is not what its headers say")
     return (
-        _page(named["WARC-Record-ID"]), size, digest, named["WARC-Type"], refers, named["WARC-Target-URI"],
+        _page(named.get("warc-record-id")), size, digest, kind, _page(named.get("warc-refers-to")),
+        named.get("warc-target-uri"), named.get("warc-record-id"),
     )
 
 
-_NAMES = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive", "offset"]
-_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+_NAMES = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "record_id", "archive", "offset"]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3, pa.int64()]
 
 
 def _read(rows: list[tuple]) -> pa.RecordBatch:
