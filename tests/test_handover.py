@@ -16,7 +16,7 @@ from trolley.sources.tables import fact_events
 from trolley.plans.ingest import ingest_batch
 from trolley.streaming import marks as marks_module, state
 from trolley.streaming.job import stream_outcomes
-from trolley.streaming.marks import PARTS, SLICE_US, Marks, part_of
+from trolley.streaming.marks import PARTS, SLICE_US, BloomMarks, Marks, part_of
 
 
 @pytest.fixture
@@ -191,6 +191,42 @@ def test_of_a_spread_slice_only_the_parts_of_new_ids_are_read(monkeypatch):
     assert again.save() == []
 
 
+def test_bloom_filters_miss_no_mark():
+    rng = random.Random(8)
+    filters, known, now, wrong, asked = Map(), {}, 0, 0, 0
+    filters.iterator = lambda: iter([(k, v) for k, v in filters.items()])
+    for _ in range(60):
+        marks = BloomMarks(filters, 1 << 12)
+        for _ in range(40):
+            now += SLICE_US // 60
+            key = f"id{rng.randint(0, 4000)}"
+            latest = marks.get(key)
+            if key in known:
+                assert known[key] <= latest
+                assert known[key] // SLICE_US == latest // SLICE_US or latest > known[key]
+            else:
+                asked += 1
+                wrong += latest is not None
+                marks.put(key, now)
+                known[key] = now
+        marks.sweep(now - 24 * SLICE_US)
+        known = {k: t for k, t in known.items() if (t // SLICE_US + 1) * SLICE_US > now - 24 * SLICE_US}
+        marks.save()
+        assert len(filters) <= 26 and {len(v[0]) for v in filters.values()} == {512}
+    assert asked > 1500 and wrong < 0.02 * asked
+
+
+def test_a_stream_with_bloom_filters_misses_no_duplicate(frame, feed):
+    events = model.random_events(random.Random(33), 120, ids=40)
+    settings = Settings(bloom_bits=1 << 12)
+    first = outcomes(frame(*events[:50]), settings, hot=[])
+    feed.add(frame(*events[50:]))
+    got = streamed(feed, settings, stream_state(first, settings))
+    expected = {s: r[0] for s, r in model.run(events)[0].items() if s >= events[50]["seq"]}
+    assert {s for s, o in expected.items() if o == "duplicate"} <= {s for s, r in got.items() if r[0] == "duplicate"}
+    assert sum(r[0] == "duplicate" and expected.get(s) != "duplicate" for s, r in got.items()) <= 2
+
+
 def test_no_plan_of_the_state_gathers_a_user(spark, frame):
     results = outcomes(frame(event(0), event(1)), hot=[]).cache()
     pieces = stream_state(results).groupBy("user_id").agg(F.count("*").alias("n")).collect()

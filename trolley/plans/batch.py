@@ -42,7 +42,8 @@ class Settings:
 
     ``sweep_after`` is for streams: how far one partition's arrivals may be behind another's. Marks
     leave the state when the newest arrival is that much past their end; without it they stay until
-    their id comes again."""
+    their id comes again. ``bloom_bits`` makes a stream keep marks as Bloom filters of so many bits an
+    hour and user: no duplicate is missed, some events are taken for one."""
 
     policy: str = ACCEPT
     allowed_seconds: float = S.ALLOWED_LATENESS_SECONDS
@@ -51,6 +52,7 @@ class Settings:
     rules: tuple[str, ...] = CONSUMER_RULES
     clean_resends: bool = False
     sweep_after: str | None = "1 day"
+    bloom_bits: int | None = None
 
 
 # Columns only judged events have; invalid ones carry nulls of the same types.

@@ -8,6 +8,7 @@ of a user is bounded by ``WHOLE`` marks an hour and the parts its events touch.
 
 from __future__ import annotations
 
+from hashlib import blake2b
 import zlib
 
 SLICE_US = 3_600_000_000
@@ -21,6 +22,12 @@ KEY_SCHEMA = "slice bigint, part int"
 PART_SCHEMA = "dedup_keys array<string>, processed_us array<bigint>"
 
 
+BLOOM_KEY_SCHEMA = "slice bigint"
+BLOOM_SCHEMA = "bits binary"
+#: Bits a mark sets in its slice's filter.
+BLOOM_HASHES = 4
+
+
 def part_of(key: str) -> int:
     return zlib.crc32(key.encode()) % PARTS
 
@@ -114,3 +121,63 @@ class Marks:
         if self.slices != self._known:
             self._index_state.update((list(self.slices), list(self.slices.values())))
         return new
+
+
+class BloomMarks:
+    """The approximate alternative: a Bloom filter of ``bits`` bits a slice (map state ``filters``), which
+    is of one size whatever a user stores.
+
+    An id that is marked is always found. An id that is not may be, at the rate the filters are full, and a
+    mark counts until its whole slice has expired, an hour longer at most.
+    """
+
+    def __init__(self, filters, bits: int) -> None:
+        self._state, self._bits = filters, bits
+        self._held: dict[int, bytearray] | None = None
+        self._changed: set[int] = set()
+        self._known: set[int] = set()
+
+    @property
+    def _filters(self) -> dict[int, bytearray]:
+        if self._held is None:
+            self._held = {key[0]: bytearray(value[0]) for key, value in self._state.iterator()}
+            self._known = set(self._held)
+        return self._held
+
+    def _places(self, key: str) -> list[int]:
+        digest = blake2b(key.encode(), digest_size=16).digest()
+        first, step = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little") | 1
+        return [(first + k * step) % self._bits for k in range(BLOOM_HASHES)]
+
+    def get(self, key: str) -> int | None:
+        """The latest moment the id can have been marked at."""
+        places = self._places(key)
+        found = [s for s, f in self._filters.items() if all(f[p >> 3] >> (p & 7) & 1 for p in places)]
+        return (max(found) + 1) * SLICE_US - 1 if found else None
+
+    def put(self, key: str, arrived_us: int) -> None:
+        slice_ = arrived_us // SLICE_US
+        held = self._filters.setdefault(slice_, bytearray(-(-self._bits // 8)))
+        for p in self._places(key):
+            held[p >> 3] |= 1 << (p & 7)
+        self._changed.add(slice_)
+
+    def drop(self, key: str, marked_us: int) -> None:
+        """An expired mark goes with its slice."""
+
+    def add_part(self, slice_: int, part: int, keys: list[str], times: list[int]) -> None:
+        for key, marked in zip(keys, times, strict=True):
+            self.put(key, marked)
+
+    def sweep(self, upto_us: int) -> None:
+        for slice_ in [s for s in self._filters if (s + 1) * SLICE_US <= upto_us]:
+            del self._filters[slice_]
+            self._changed.add(slice_)
+
+    def save(self) -> list[int]:
+        for slice_ in self._changed:
+            if slice_ in self._filters:
+                self._state.updateValue((slice_,), (bytes(self._filters[slice_]),))
+            elif slice_ in self._known:
+                self._state.removeKey((slice_,))
+        return [s for s in self._changed if s in self._filters and s not in self._known]

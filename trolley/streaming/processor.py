@@ -19,9 +19,19 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from trolley.operators.dedup import ttl_micros
 from trolley.operators.fold import DECISION, SAVED, SAVED_LATE, UserFold
 from trolley.plans.batch import Settings
-from trolley.streaming.marks import INDEX_SCHEMA, KEY_SCHEMA, PART_SCHEMA, SLICE_US, Marks
+from trolley.streaming.marks import (
+    BLOOM_KEY_SCHEMA,
+    BLOOM_SCHEMA,
+    INDEX_SCHEMA,
+    KEY_SCHEMA,
+    PART_SCHEMA,
+    SLICE_US,
+    BloomMarks,
+    Marks,
+)
 
-MARKS, MARK_INDEX, WATERMARK, ITEMS, TOTALS = "marks", "mark_index", "watermark", "items", "totals"
+MARKS, MARK_INDEX, MARK_FILTERS = "marks", "mark_index", "mark_filters"
+WATERMARK, ITEMS, TOTALS = "watermark", "items", "totals"
 
 
 class CartProcessor(StatefulProcessor):
@@ -32,12 +42,16 @@ class CartProcessor(StatefulProcessor):
         self.policy = settings.policy
         self.allowed_us = round(settings.allowed_seconds * 1_000_000)
         self.sweeps = settings.sweep_after is not None
+        self.bloom_bits = settings.bloom_bits
         self.result = Row(*columns, *DECISION.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.mark_index = handle.getValueState(MARK_INDEX, INDEX_SCHEMA)
-        self.mark_parts = handle.getMapState(MARKS, KEY_SCHEMA, PART_SCHEMA)
+        if self.bloom_bits:
+            self.mark_filters = handle.getMapState(MARK_FILTERS, BLOOM_KEY_SCHEMA, BLOOM_SCHEMA)
+        else:
+            self.mark_index = handle.getValueState(MARK_INDEX, INDEX_SCHEMA)
+            self.mark_parts = handle.getMapState(MARKS, KEY_SCHEMA, PART_SCHEMA)
         self.watermark = handle.getValueState(
             WATERMARK,
             "max_us long, last_processed_us long, late_event_count long, "
@@ -54,7 +68,7 @@ class CartProcessor(StatefulProcessor):
         or the totals."""
         piece = initialState
         if piece.slice is not None:
-            marks = Marks(self.mark_index, self.mark_parts)
+            marks = self._marks()
             marks.add_part(piece.slice, piece.part, piece.dedup_keys, piece.processed_us)
             self._save(marks)
         elif piece.product_id is not None:
@@ -77,7 +91,7 @@ class CartProcessor(StatefulProcessor):
         mark = list(self.watermark.get()) if self.watermark.exists() else None
         fold = UserFold(self.policy, self.allowed_us, mark)
         stored: dict[int, int] | None = None
-        marks = Marks(self.mark_index, self.mark_parts)
+        marks = self._marks()
         for row in sorted(rows, key=lambda r: r.seq):
             if self._is_duplicate(row, marks):
                 yield self.result(*row, *fold.duplicate(row.event_us))
@@ -97,12 +111,17 @@ class CartProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Drop the marks that have expired by now; results do not change."""
-        marks = Marks(self.mark_index, self.mark_parts)
+        marks = self._marks()
         marks.sweep(expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.ttl_us)
         marks.save()
         return iter(())
 
-    def _save(self, marks: Marks) -> None:
+    def _marks(self) -> Marks | BloomMarks:
+        if self.bloom_bits:
+            return BloomMarks(self.mark_filters, self.bloom_bits)
+        return Marks(self.mark_index, self.mark_parts)
+
+    def _save(self, marks: Marks | BloomMarks) -> None:
         for slice_ in marks.save():
             if self.sweeps:
                 # Rounded up: a mark is live until its whole time has passed.
@@ -125,7 +144,7 @@ class CartProcessor(StatefulProcessor):
             if stored.get(product) != quantity:
                 self.items.updateValue((product,), (quantity,))
 
-    def _is_duplicate(self, row: Row, marks: Marks) -> bool:
+    def _is_duplicate(self, row: Row, marks: Marks | BloomMarks) -> bool:
         """Whether a live mark exists; an expired one is removed when it is met."""
         marked = marks.get(row.dedup_key)
         if marked is None:
