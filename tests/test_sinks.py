@@ -1,5 +1,7 @@
+import glob
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import at, event
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from trolley import schemas as S
 from trolley.operators.listings import latest_events, retained
 from trolley.operators.metrics import flush_errors
-from trolley.plans.batch import accepted_events, outcomes
+from trolley.plans.batch import Settings, accepted_events, outcomes
 from trolley.plans.reads import active_carts_of_table, event_days, latest_events_of_table, newest_days
 from trolley.plans.ingest import Tables, flush_batch, ingest_batch, stored_rollup
 from trolley.operators.rollups import MINUTE, active_carts
@@ -19,7 +21,8 @@ from trolley.sinks.dead_letters import (
 )
 from trolley.sinks.flush import FlushError, flush
 from trolley.sinks.publish import enriched_messages, wire_messages
-from trolley.sinks.tables import drop_expired, write_batch, write_fact
+from trolley.sinks.clustering import two_ways
+from trolley.sinks.tables import drop_expired, laid_out, write_batch, write_fact
 from trolley.sources.tables import fact_events
 
 
@@ -203,3 +206,35 @@ def test_recent_carts_prune_days_by_their_events(spark, accepted, tmp_path):
     assert found.collect() == expected and 9 in {r.user_id for r in expected}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan and "PartitionFilters: [" in plan
+
+
+def _ranges(path, column):
+    """The least and largest value of a column in each file, as its footer says."""
+    found = []
+    for file in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(file).metadata
+        at = [meta.schema.column(i).name for i in range(meta.num_columns)].index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        found.append((min(s.min for s in stats), max(s.max for s in stats)))
+    return found
+
+
+def test_two_way_clustering_opens_few_files_either_way(spark, frame, tmp_path):
+    from trolley.operators.enrich import fact_rows
+
+    minutes, users = 64, 64
+    rows = [event(m * users + u, user_id=u + 1, timestamp=at(60 * m), arrived_at=at(60 * m)) for m in range(minutes) for u in range(users)]
+    fact = fact_rows(accepted_events(outcomes(frame(*rows), Settings(clean_resends=True), hot=[]))).cache()
+    opened = {}
+    for name, layout in (("one", laid_out), ("two", two_ways)):
+        path = str(tmp_path / name)
+        write_fact(fact, path, files=16, layout=layout)
+        assert sorted(fact_events(spark, path).select(fact.columns).collect()) == sorted(fact.collect())
+        by_user, by_time = _ranges(path, "user_id"), _ranges(path, "timestamp")
+        assert len(by_user) == 16
+        moments = [at(60 * m).replace(tzinfo=by_time[0][0].tzinfo) for m in range(minutes)]
+        opened[name] = (
+            sum(low <= u + 1 <= high for u in range(users) for low, high in by_user) / users,
+            sum(low <= t <= high for t in moments for low, high in by_time) / minutes,
+        )
+    assert opened["one"][0] == 16 and max(opened["two"]) < 8

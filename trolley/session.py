@@ -34,6 +34,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the run-time settings the operators depend on for a session somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # The older form of timestamps has no least and largest value in a file's footer.
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

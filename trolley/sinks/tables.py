@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +30,18 @@ def laid_out(fact: DataFrame, files: int | None = None) -> DataFrame:
     return spread.sortWithinPartitions("processed_date", *keys)
 
 
-def write_fact(fact: DataFrame, path: str, batch_id: int = 0, files: int | None = None) -> None:
+def write_fact(
+    fact: DataFrame,
+    path: str,
+    batch_id: int = 0,
+    files: int | None = None,
+    layout: Callable[[DataFrame, int | None], DataFrame] = laid_out,
+) -> None:
     """Append a batch to the fact table, partitioned for retention and idempotent per batch.
 
+    ``layout`` clusters the rows: ``laid_out`` for reads of a time range, ``clustering.two_ways`` for those
+    of a user as well.
+
     ``fact`` is read twice (the ranges are sampled first), so it should come from storage or a
     cache, as it does in ``store_results``. Min/max statistics come with Parquet; ``user_id`` gets a Bloom filter for point reads.
     """
@@ -38,7 +49,7 @@ def write_fact(fact: DataFrame, path: str, batch_id: int = 0, files: int | None
         {"processed_date": F.to_date("processed_at"), BATCH: F.lit(batch_id).cast("bigint")}
     )
     (
-        laid_out(dated, files)
+        layout(dated, files)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**{"parquet.bloom.filter.enabled#user_id": "true"})
