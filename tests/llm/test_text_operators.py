@@ -1,6 +1,7 @@
 """Operators on one text at a time against straightforward versions."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -339,3 +340,48 @@ def test_trees_learn_an_interaction_and_flat_arrays_are_trees():
 def test_digest_of_nothing():
     assert brute.decontaminated([(1, None)], [])[0][4] == hashlib.sha256(b"").hexdigest()
     assert len(odd_rows()) == 15
+
+
+def test_passages_against_a_plain_version(documents):
+    """Words one at a time, bytes counted by hand."""
+    table = np.random.default_rng(3).normal(-0.4, 1.2, 1 << toxicity.HASH_BITS).astype(np.float32)
+    chance = toxicity.Chance(0.7, 0.2, 4.0)
+    scores = {}
+
+    def score(word):
+        if word not in scores:
+            slot, _, _ = toxicity.slots_of(as_texts(pa.array([word])))
+            scores[word] = float(toxicity.word_scores(slot, table)[0])
+        return scores[word]
+
+    text = {r.doc_id: r.text or "" for r in documents.collect()}
+    some = 0
+    for r in toxicity.find_passages(documents.select("doc_id", "text"), table, chance).collect():
+        words = list(brute.ALNUM.finditer(text[r.doc_id].translate(brute.LOW)))
+        begins = [len(text[r.doc_id][: w.start()].encode()) for w in words] + [len(text[r.doc_id].encode())]
+        found = toxicity.maximal_segments(np.array([score(w.group()) for w in words]))
+        gains = [0.7 * s - math.log(len(words)) - math.log(0.2) for _, _, s in found]
+        strong = [(begins[a], begins[b]) for (a, b, _), g in zip(found, gains, strict=True) if g >= 4.0]
+        some += len(strong)
+        assert (r.n_words, r.n_found) == (len(words), len(strong))
+        assert r.passages == [x for span in strong for x in span]
+        assert r.best == pytest.approx(max([-10.0, *gains])) and r.total == pytest.approx(sum(g for g in gains if g >= 4.0))
+    assert some > 50
+
+
+def test_chance_is_what_clean_texts_give():
+    """Segments no rarer than stated among the texts it is taken from, and among others like them."""
+    rng = np.random.default_rng(5)
+
+    def texts():
+        words = [rng.normal(-0.8, 1.0, rng.integers(20, 400)) for _ in range(4000)]
+        best = [max((s for _, _, s in toxicity.maximal_segments(w)), default=0.0) for w in words]
+        return np.concatenate(words), np.array([len(w) for w in words], float), np.array(best)
+
+    every, words, best = texts()
+    values, times = np.unique(np.round(every, 2), return_counts=True)
+    chance = toxicity.chance_of(values, times, words, best)
+    assert chance.rate == pytest.approx(1.6, rel=0.1) and chance.need >= -np.log(toxicity.EXPECTED)
+    assert (chance.surprise(best, words)[best > 0] >= chance.need).sum() <= toxicity.EXPECTED * 4000
+    _, words, best = texts()
+    assert (chance.surprise(best, words)[best > 0] >= chance.need).mean() < 2 * toxicity.EXPECTED
