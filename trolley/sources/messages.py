@@ -104,16 +104,18 @@ def coerced_timestamp(text: Column, arrived_at: Column) -> Column:
 
 def typed_events(messages: DataFrame) -> DataFrame:
     """Messages to arrivals plus, of unreadable ones only, ``decode_error`` and the ``value``."""
-    events = with_defaults(decode(messages))
-    ts = coerced_timestamp(F.col("timestamp"), F.col("arrived_at"))
+    # Times are read once and problems told once: each step is a projection of its own.
+    events = with_defaults(decode(messages)).withColumn(
+        "_ts", coerced_timestamp(F.col("timestamp"), F.col("arrived_at"))
+    )
     problem = (
         F.when(F.col(CORRUPT).isNotNull(), F.lit("decode_error: not a cart event"))
-        .when(ts.isNull(), F.concat(F.lit("decode_error: timestamp "), F.col("timestamp")))
+        .when(F.col("_ts").isNull(), F.concat(F.lit("decode_error: timestamp "), F.col("timestamp")))
     )
-    return events.select(
+    return events.withColumn("decode_error", problem).select(
         "seq",
         "arrived_at",
-        *[ts.alias(f) if f == "timestamp" else F.col(f) for f in S.EVENT_FIELDS],
-        problem.alias("decode_error"),
-        F.when(problem.isNotNull(), F.col("value")).alias("value"),
+        *[F.col("_ts").alias(f) if f == "timestamp" else F.col(f) for f in S.EVENT_FIELDS],
+        "decode_error",
+        F.when(F.col("decode_error").isNotNull(), F.col("value")).alias("value"),
     )
