@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import suppress
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -34,6 +36,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def release() -> None:
+    """Give back what a task has freed: workers are kept for the next stage, and its tasks count with
+    what is left of this one's."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def per_slice(
     df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType, text: str = "text"
 ) -> DataFrame:
@@ -45,8 +55,7 @@ def per_slice(
                 made = make(part)
                 if made is not None:
                     yield made
-        # Workers are kept for the next stage; what Arrow has set aside is not.
-        pa.default_memory_pool().release_unused()
+        release()
 
     return df.mapInArrow(run, schema)
 

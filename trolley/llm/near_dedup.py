@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.llm.common import components, per_slice
+from trolley.llm.common import components, per_slice, release
 from trolley.llm.text import SPACED, Texts, as_texts, mix, ragged, runs_of, slices, split_words
 from trolley.session import stored
 
@@ -172,6 +172,7 @@ def _groups(
                 held.append(batch.slice(low, high - low))
         if held:
             yield edges(held)
+        release()
 
     return run
 

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.llm.common import release
 from trolley.llm.text import as_texts, slices
 from trolley.llm.tokens import vocabulary
 from trolley.session import stored
@@ -65,6 +66,7 @@ def token_ids(docs: DataFrame, paths: tuple[str, str | None]) -> DataFrame:
                     ["doc_id", "part", "before", "n", "ids"],
                 )
                 before += int(stops[-1])
+        release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, part int, before long, n long, ids binary"
@@ -112,6 +114,7 @@ def pack(
                     columns["ids"] = pa.array(pieces, pa.binary())
                 arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]
                 yield pa.RecordBatch.from_arrays(arrays, list(columns))
+        release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbers = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

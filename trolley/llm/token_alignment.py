@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.llm.common import release
 from trolley.llm.text import Texts, as_texts, eights, ragged, slices, span_names, sums_by
 from trolley.llm.tokens import Vocabulary, vocabulary
 from trolley.session import stored
@@ -401,6 +402,7 @@ def encoded(docs: DataFrame, paths: tuple[str, str | None, str]) -> DataFrame:
                 )
                 shard.add(n, *groups.links())
         yield from closed(shard)
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
