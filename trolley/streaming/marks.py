@@ -107,6 +107,15 @@ class Marks:
                 self._held[slice_, part] = {}
                 self._changed.add((slice_, part))
 
+    @property
+    def oldest(self) -> int | None:
+        return min(self.slices, default=None)
+
+    @property
+    def first(self) -> bool:
+        """Nothing was marked before."""
+        return bool(self.slices) and not self._known
+
     def save(self) -> list[int]:
         """Write what has changed; the slices that are new."""
         if not self._changed:
@@ -174,6 +183,14 @@ class BloomMarks:
             del self._filters[slice_]
             self._changed.add(slice_)
 
+    @property
+    def oldest(self) -> int | None:
+        return min(self._filters, default=None)
+
+    @property
+    def first(self) -> bool:
+        return bool(self._filters) and not self._known
+
     def save(self) -> list[int]:
         for slice_ in self._changed:
             if slice_ in self._filters:

@@ -105,6 +105,9 @@ class CartProcessor(StatefulProcessor):
                 marks.put(row.dedup_key, row.arrived_us)
             yield self.result(*row, *decision)
         self.watermark.update(tuple(fold.mark))
+        if self.sweeps:
+            # Of a backlog, what has expired by two TTLs is never written.
+            marks.sweep(row.arrived_us - 2 * self.ttl_us)
         self._save(marks)
         if stored is not None:
             self._store_cart(fold.cart, fold.lines, stored)
@@ -112,8 +115,9 @@ class CartProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Drop the marks that have expired by now; results do not change."""
         marks = self._marks()
-        marks.sweep(expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.ttl_us)
+        marks.sweep(max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000 - self.ttl_us)
         marks.save()
+        self._watch(marks)
         return iter(())
 
     def _marks(self) -> Marks | BloomMarks:
@@ -122,10 +126,16 @@ class CartProcessor(StatefulProcessor):
         return Marks(self.mark_index, self.mark_parts)
 
     def _save(self, marks: Marks | BloomMarks) -> None:
-        for slice_ in marks.save():
-            if self.sweeps:
-                # Rounded up: a mark is live until its whole time has passed.
-                self.handle.registerTimer(-(-((slice_ + 1) * SLICE_US + self.ttl_us) // 1000))
+        first = marks.first
+        marks.save()
+        if first:
+            self._watch(marks)
+
+    def _watch(self, marks: Marks | BloomMarks) -> None:
+        """One timer a user, for the hour that expires first."""
+        if self.sweeps and marks.oldest is not None:
+            # Rounded up: a mark is live until its whole time has passed.
+            self.handle.registerTimer(-(-((marks.oldest + 1) * SLICE_US + self.ttl_us) // 1000))
 
     def _load_cart(self, fold: UserFold) -> dict[int, int]:
         """Give the fold its cart; the lines as they are stored."""
