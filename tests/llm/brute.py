@@ -2,6 +2,7 @@
 
 from collections import Counter
 import hashlib
+import math
 import re
 import zlib
 
@@ -29,6 +30,41 @@ def base_rules(text):
     )
 
 
+def perplexities(rows, kinds, order=5):
+    """``{(lang, text): nats a byte}`` of a modified Kneser-Ney model of each language's distinct texts.
+
+    ``kinds`` has the class of each byte; 0 is what comes before a text.
+    """
+    result = {}
+    for lang in {lang for _, lang in rows}:
+        texts = {t for t, of in rows if of == lang and t}
+        ends = {}
+        for text in texts:
+            symbols = (0,) * (order - 1) + tuple(int(kinds[b]) for b in text.encode())
+            ends[text] = [symbols[i : i + order] for i in range(len(symbols) - order + 1)]
+        counts = {order: Counter(g for found in ends.values() for g in found)}
+        for k in range(order - 1, 0, -1):
+            counts[k] = Counter(g[1:] for g in counts[k + 1])
+        cuts, contexts = {}, {}
+        for k, found in counts.items():
+            seen = Counter(found.values())
+            y = seen[1] / (seen[1] + 2 * seen[2]) if seen[1] + 2 * seen[2] else None
+            rough = [0.5 if y is None or not seen[n] else n - (n + 1) * y * seen[n + 1] / seen[n] for n in (1, 2, 3)]
+            cuts[k] = [min(max(r, 0.1), n) for n, r in enumerate(rough, 1)]
+            for g, n in found.items():
+                total, cut = contexts.get(g[:-1] + (k,), (0, 0))
+                contexts[g[:-1] + (k,)] = total + n, cut + cuts[k][min(n, 3) - 1]
+
+        def chance(g):
+            n, (total, cut) = counts[len(g)][g], contexts[g[:-1] + (len(g),)]
+            lower = chance(g[1:]) if len(g) > 1 else 1 / 64
+            return max(n - cuts[len(g)][min(n, 3) - 1], 0) / total + cut / total * lower
+
+        logs = {g: math.log(chance(g)) for g in counts[order]}
+        result |= {(lang, t): -sum(map(logs.get, found)) / len(found) for t, found in ends.items()}
+    return result
+
+
 def decontaminated(docs, items, window=10):
     windows = {}
     for item, text in items:

@@ -109,6 +109,31 @@ def test_a_language_of_copies_keeps_its_documents(spark, documents):
     assert all(r.kept for r in copies) and len({r.log_perplexity for r in copies}) == 1
 
 
+def test_scores_are_those_of_a_plain_model(spark, monkeypatch):
+    """Every n-gram counts with its own probability, whether it is held by the workers or joined."""
+    rng = random.Random(11)
+    words = ["the", "Cat", "sat", "on", "mats", "été", "日本語", "12", "(so)"]
+
+    def text(noise):
+        made = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz.,!#é日\n", k=6)) if rng.random() < noise else rng.choice(words) for _ in range(80)]
+        return " ".join(made)
+
+    rows = [(i, text(rng.random()), rng.choice(["en", "de", None])) for i in range(200)]
+    rows += [(1000, rows[0][1], rows[0][2]), (1001, rows[0][1], "xx"), (1002, None, "en"), (1003, "", None), (None, "a", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    expected = brute.perplexities([(t, lang) for _, t, lang in rows], quality_rules._KIND)
+    made = []
+    for held in (None, 500, 0):
+        if held is not None:
+            monkeypatch.setattr(quality_rules, "HELD_MODEL", held)
+        found = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+        for doc, t, lang in rows:
+            assert found[doc].log_perplexity == (pytest.approx(expected[lang, t], rel=1e-6) if t else None)
+        assert found[0].log_perplexity == found[1000].log_perplexity
+        made.append({d: r.kept for d, r in found.items()})
+    assert made[0] == made[1] == made[2]
+
+
 def test_decontamination(spark, documents, odd):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     items = [(r.item_id, r.text) for r in benchmark.collect()]
