@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.common import carrying
+from trolley.llm.common import carrying, release
 from trolley.llm.text import Texts, as_texts, eights, mix, ragged, slices
 
 LENGTH = 50
@@ -43,11 +43,15 @@ FIRST = 16
 REACH = LENGTH - FIRST + 1
 #: Bytes of text in a block.
 BLOCK_BYTES = 12 << 20
+#: Bytes worked on at once: every one takes some sixty while strings are named.
+PART_BYTES = 1 << 19
 
 _RECORDS = "bucket int, block int, base long, n int, data binary"
 _ALL = np.uint64((1 << REACH) - 1)
 _SEVERAL = np.uint64(1 << 63)
 _SENDS = np.uint64(1 << 62)
+_BIT = np.arange(REACH, dtype=np.uint64)
+_BIT_AT = np.uint64(1) << _BIT
 
 
 def _smallest(names: np.ndarray, width: int) -> np.ndarray:
@@ -132,7 +136,7 @@ class _Block:
         self.rows = []
         found = []
         for batch in rows.to_batches() if isinstance(rows, pa.Table) else [rows]:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 texts = as_texts(part.column("text"))
                 start, held, short, whole = segments(texts)
                 ids = part.column("id")
@@ -142,18 +146,19 @@ class _Block:
                 start, held, short, whole, owner = (x[mine] for x in (start, held, short, whole, owner))
                 docs = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)[owner]
                 self.rows.append((part, texts, start, held, docs, len(start)))
-                found.append((short & np.uint64(0xFFFFFFFF), whole >> np.uint64(16) << np.uint64(16), short, docs))
-        short, whole, full, docs = (
+                found.append((short, whole >> np.uint64(16) << np.uint64(16), docs))
+        full, whole, docs = (
             [np.concatenate(c) for c in zip(*found, strict=True)]
             if found
-            else [np.zeros(0, np.uint64)] * 3 + [np.zeros(0, np.int64)]
+            else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)]
         )
-        self.key = _keys(full, whole)
-        self.pairs, self.first, self.place = np.unique(self.key, return_index=True, return_inverse=True)
+        del found
+        keys = _keys(full, whole)
+        self.pairs, self.first, self.place = np.unique(keys, return_index=True, return_inverse=True)
         self.smallest = np.full(len(self.pairs), np.iinfo(np.int64).max)
         np.minimum.at(self.smallest, self.place, docs)
-        self.short, self.whole = short[self.first], whole[self.first]
-        self.buckets = full[self.first] >> np.uint64(32)
+        full = full[self.first]
+        self.short, self.whole, self.buckets = full & np.uint64(0xFFFFFFFF), whole[self.first], full >> np.uint64(32)
 
 
 def _alike(tags: np.ndarray) -> list[np.ndarray]:
@@ -213,8 +218,8 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(fresh) - 1
 
 
-def _first_round(table: pa.Table) -> pa.Table:
-    """Decide the segments whose 16-byte rank has no other segment; call for the bytes of others."""
+def _decisions(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Blocks, rank pairs and masks of the segments of a bucket that are decided or whose bytes are called for."""
     short, whole, docs, block = _records(table)
     order = np.lexsort((docs, whole, short))
     short, whole, docs, block = short[order], whole[order], docs[order], block[order]
@@ -231,54 +236,92 @@ def _first_round(table: pa.Table) -> pa.Table:
     later = least[by_pair] < docs
     mask = np.where(several, _SEVERAL | np.where(sends, _SENDS, np.uint64(0)), _ALL)
     chosen = several | later
-    return _answers(block[chosen], short[chosen], whole[chosen], mask[chosen])
+    return block[chosen], short[chosen], whole[chosen], mask[chosen]
+
+
+def _first_round(table: pa.Table) -> pa.Table:
+    """Decide the segments whose 16-byte rank has no other segment; call for the bytes of others."""
+    made = _answers(*_decisions(table))
+    release()
+    return made
+
+
+def _runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Consecutive items of at most ``most`` in all; a larger one is a run of its own."""
+    ends = np.cumsum(sizes)
+    first = done = 0
+    while first < len(ends):
+        stop = max(first + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield slice(first, stop)
+        first, done = stop, int(ends[stop - 1])
+
+
+def _string_names(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Names of all 50-byte strings of some spans of ``data``, end to end."""
+    made = []
+    for run in _runs(size, PART_BYTES):
+        sizes = size[run]
+        _, fifty = _full_names(data[ragged(start[run], sizes)])
+        made.append(fifty[ragged(np.cumsum(sizes) - sizes, sizes - LENGTH + 1)])
+    return np.concatenate(made)
+
+
+def _earliest(names: np.ndarray, group: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Per string, the smallest document of its group that has it."""
+    order = np.lexsort((names, group))
+    string = _groups(group[order], names[order])
+    heads = np.flatnonzero(np.append(True, string[1:] != string[:-1]))
+    made = np.empty_like(docs)
+    made[order] = np.minimum.reduceat(docs[order], heads)[string]
+    return made
 
 
 def _second_round(table: pa.Table) -> pa.Table:
-    """Rerank the strings of segments that share a 16-byte rank."""
+    """Rerank the strings of segments that share a 16-byte rank, some ranks at a time."""
     short, whole, docs, block = _records(table)
-    at, texts = [], []
-    done = 0
-    for n, sent, data in zip(*(table.column(c).to_pylist() for c in ("n", "sent", "bytes")), strict=True):
-        places = np.frombuffer(sent, np.uint32)
-        at.append(done + places[0::2])
-        texts.append((places[1::2], data))
-        done += n
     order = np.lexsort((docs, whole, short))
-    by_pair = np.empty(len(order), np.int64)
-    by_pair[order] = _groups(short[order], whole[order])
-    by_short = np.empty(len(order), np.int64)
-    by_short[order] = _groups(short[order])
-    least = np.full(by_pair.max() + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, by_pair, docs)
+    short, whole, docs, block = short[order], whole[order], docs[order], block[order]
+    by_short, by_pair = _groups(short), _groups(short, whole)
+    opens = np.flatnonzero(np.append(True, by_pair[1:] != by_pair[:-1]))
+    least, rank = docs[opens], by_short[opens]
     # Each pair's bytes came once, with its smallest document.
-    sizes = np.concatenate([s for s, _ in texts]).astype(np.int64)
-    data = np.frombuffer(b"".join(d for _, d in texts), np.uint8)
-    owner = np.concatenate(at).astype(np.int64)
-    counts = sizes - LENGTH + 1
-    starts = ragged(np.cumsum(sizes) - sizes, counts)
-    _, fifty = _full_names(data)
-    names = fifty[starts]
-    group = np.repeat(by_short[owner], counts)
-    order = np.lexsort((names, group))
-    string = np.empty(len(order), np.int64)
-    string[order] = _groups(group[order], names[order])
-    earliest = np.full(string.max() + 1, np.iinfo(np.int64).max)
-    np.minimum.at(earliest, string, np.repeat(least[by_pair[owner]], counts))
-    earliest = earliest[string]
-    # Per record, which strings of its segment an earlier document has.
-    begin = np.zeros(len(least), np.int64)
-    count = np.zeros(len(least), np.int64)
-    begin[by_pair[owner]] = np.cumsum(counts) - counts
-    count[by_pair[owner]] = counts
-    record = np.repeat(np.arange(len(docs)), count[by_pair])
-    place = ragged(begin[by_pair], count[by_pair])
-    bit = np.uint64(1) << (place - begin[by_pair][record]).astype(np.uint64)
-    earlier = earliest[place] < docs[record]
+    at, sizes, done = [], [], 0
+    for n, sent in zip(*(table.column(c).to_pylist() for c in ("n", "sent")), strict=True):
+        places = np.frombuffer(sent, np.uint32)
+        at.append(done + places[0::2].astype(np.int64))
+        sizes.append(places[1::2].astype(np.int64))
+        done += n
+    number = np.empty(len(order), np.int64)
+    number[order] = by_pair
+    size = np.concatenate(sizes)
+    start = np.cumsum(size) - size
+    order = np.argsort(number[np.concatenate(at)])
+    size, start = size[order], start[order]
+    data = as_texts(table.column("bytes")).data
     mask = np.zeros(len(docs), np.uint64)
-    np.bitwise_or.at(mask, record[earlier], bit[earlier])
+    for run in _runs(np.bincount(rank, size).astype(np.int64), PART_BYTES):
+        pairs = slice(*np.searchsorted(rank, [run.start, run.stop]).tolist())
+        records = slice(*np.searchsorted(by_short, [run.start, run.stop]).tolist())
+        counts = size[pairs] - LENGTH + 1
+        names = _string_names(data, start[pairs], size[pairs])
+        earliest = _earliest(names, np.repeat(rank[pairs], counts), np.repeat(least[pairs], counts))
+        mask[records] = _earlier(docs[records], by_pair[records] - pairs.start, counts, earliest)
     chosen = mask > 0
-    return _answers(block[chosen], short[chosen], whole[chosen], mask[chosen])
+    made = _answers(block[chosen], short[chosen], whole[chosen], mask[chosen])
+    release()
+    return made
+
+
+def _earlier(docs: np.ndarray, pair: np.ndarray, counts: np.ndarray, earliest: np.ndarray) -> np.ndarray:
+    """Per record, which strings of its segment an earlier document has."""
+    begin = np.cumsum(counts) - counts
+    made = np.zeros(len(docs), np.uint64)
+    for run in _runs(counts[pair], PART_BYTES):
+        held = counts[pair[run]]
+        later = earliest[ragged(begin[pair[run]], held)] < np.repeat(docs[run], held)
+        bits = np.where(later, _BIT_AT[ragged(np.zeros(len(held), np.int64), held)], np.uint64(0))
+        made[run] = np.bitwise_or.reduceat(bits, np.cumsum(held) - held)
+    return made
 
 
 def _received(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -318,9 +361,6 @@ def _removed(held: _Block, answers: pa.Table) -> Iterator[tuple[pa.RecordBatch,
         yield part, texts, np.cumsum(change)[:-1] > 0
 
 
-_BIT = np.arange(REACH, dtype=np.uint64)
-
-
 def _dealt(docs: DataFrame, carried: list[str], count: int) -> DataFrame:
     """``block, id, text, row`` of each row, in ``count`` partitions by block."""
     number = F.col("doc_id").cast("long").alias("id")
@@ -356,7 +396,12 @@ def cut_substrings(docs: DataFrame, carried: list[str], with_text: bool = False)
             held = _Block(pa.Table.from_batches(rows.pop(tag)))
             every = np.arange(len(held.pairs))
             sent = _send(bucket_of(held, every), tag, held.short, held.whole, held.smallest)
-            yield _rows(list(sent), _RECORD_NAMES, _RECORD_KINDS)
+            made = _rows(list(sent), _RECORD_NAMES, _RECORD_KINDS)
+            del held, every, sent
+            release()
+            yield made
+            del made
+        release()
 
     first = (
         # All columns, so that every pass reads one and the same shuffle.
@@ -396,7 +441,10 @@ def cut_substrings(docs: DataFrame, carried: list[str], with_text: bool = False)
             sent = [(i, data[k]) for i, k in enumerate(chosen.tolist()) if k in data]
             index = np.array([(i, len(d)) for i, d in sent], np.uint32).reshape(-1, 2)
             made.append([*record, index.tobytes(), b"".join(d for _, d in sent)])
-        return pa.Table.from_batches([_rows(made, names, kinds)])
+        made = pa.Table.from_batches([_rows(made, names, kinds)])
+        del held, data
+        release()
+        return made
 
     grouped = blocks.groupBy("block")
     second = (
@@ -435,6 +483,7 @@ def cut_substrings(docs: DataFrame, carried: list[str], with_text: bool = False)
                 )
                 names.append("kept_text")
             made.append(pa.RecordBatch.from_arrays(columns, names))
+        release()
         if made:
             return pa.Table.from_batches(made)
         fields = [rows.schema.field("row"), *[pa.field(n, pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")]]
